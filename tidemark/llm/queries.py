@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.ngram_join import ngram_groups
+from tidemark.llm.packing import pack
+from tidemark.llm.shared import scratch_dir
+from tidemark.llm.token_store import read_store, write_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +38,24 @@ SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 1024 ids."""
+    return pack(table(spark, sf_dir, "documents"), length=1024, end_id=0)
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token-id files in doc_id order, and read back through the index."""
+    path = f"{scratch_dir(spark).rstrip('/')}/tidemark/token-store-{uuid.uuid4().hex}"
+    write_store(table(spark, sf_dir, "documents"), path, end_id=2)
+    return read_store(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+    return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op5_packing": op5_packing,
+        "op10_token_store": op10_token_store,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

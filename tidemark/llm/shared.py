@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SHINGLE_WORDS = 5
@@ -155,3 +156,18 @@ def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Calla
     for r in df.mapInPandas(part, "slice int, data binary").groupBy("slice").applyInPandas(merge, "slice int, data binary").toLocalIterator():
         out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(r["data"])), dtype=dtype)
     return out
+
+
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+
+
+def as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """rows as a record batch of a schema such as "doc_id long, text string"; integers keep their nulls."""
+    fields = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=_ARROW[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
