@@ -1,0 +1,73 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm.quality_model import FEATURES, dual_coordinate_descent, features, fit, log_count_ratios, quality_scores
+
+
+def corpus(words, n=400):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(n):
+        own = rng.choices(words, k=rng.randint(5, 120))
+        good = i % 4 != 0
+        rows.append((i, " ".join(own) + "." if good else " | ".join(own) if i % 8 else " ".join(w + "!!" for w in own)))
+        if i % 3:
+            labels.append((i, int(good), 0))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark, make_docs, words):
+    rows, labels = corpus(words)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality_scores(make_docs(rows), known, 100).collect()}
+    assert len(got) == len(rows)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for i, r in got.items())
+    unseen = [i for i in got if got[i].held_out or i % 3 == 0]
+    assert np.mean([got[i].predicted == (i % 4 != 0) for i in unseen]) > 0.95
+
+
+def test_held_out_labels_do_not_bear_on_scores(spark, make_docs, words):
+    rows, labels = corpus(words, 150)
+    schema, docs = "doc_id long, quality int, toxic int", make_docs(rows)
+    turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, 1) for i, q, _ in labels]
+    a, b = ({r.doc_id: r.score for r in quality_scores(docs, spark.createDataFrame(x, schema), 50).collect()} for x in (labels, turned))
+    assert a == b
+
+
+def test_odd_rows(spark, make_docs, odd_texts, words):
+    rows, labels = corpus(words, 60)
+    docs = make_docs([*rows, *((1000 + i, t) for i, t in enumerate(odd_texts)), (7, "again"), (None, "no id"), (None, None)]).selectExpr("*", "1 AS score", "2 AS quality")
+    known = spark.createDataFrame([*labels, (None, 1, 0), (3, None, 0), (1000, 7, 0), labels[0]], "doc_id long, quality int, toxic int")
+    assert quality_scores(docs, known, 30).count() == len(rows) + len(odd_texts) + 3
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert len({r.score for r in quality_scores(docs, none, 30).collect()}) == 1
+    assert quality_scores(make_docs([]), known, 30).count() == 0
+
+
+def test_features_do_not_depend_on_pieces(monkeypatch, words):
+    from tidemark.llm import quality_model
+
+    seen, text = np.zeros(FEATURES, dtype=bool), " ".join(words * 3).encode()
+    whole = features(text, seen)
+    assert not seen.any()
+    monkeypatch.setattr(quality_model, "PIECE", 1000)
+    assert set(whole) == set(features(text, seen)) and len(features(b"", seen)) == 0
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_descent_reaches_the_optimum(seed):
+    rng = np.random.default_rng(seed)
+    rows = [np.sort(rng.choice(50, 8, replace=False)) for _ in range(80)]
+    y = np.array([int(r[0] < 4) for r in rows])
+    values = [rng.normal(1, 0.2, 8) for _ in rows]
+    w, b = dual_coordinate_descent(rows, values, y, 1.0, 400, seed)
+    sign, share = np.where(y > 0, 1, -1), {1: len(y) / (2 * (y == 1).sum()), 0: len(y) / (2 * (y == 0).sum())}
+    slack = np.array([max(0, 1 - s * (w[r] @ v + b)) for r, v, s in zip(rows, values, sign, strict=True)])
+    grad = w.copy()
+    for r, v, s, e, label in zip(rows, values, sign, slack, y, strict=True):
+        grad[r] -= 2 * share[label] * e * s * v
+    assert np.abs(grad).max() < 1e-3
+    assert log_count_ratios(rows, y)[:50].std() > 0 and fit(rows, y).slope > 0

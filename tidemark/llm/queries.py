@@ -6,11 +6,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
+from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.shared import scratch_dir
 from tidemark.llm.token_store import read_store, write_store
+from tidemark.llm.topk import top_k
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +41,32 @@ SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.
 """
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best rows of every vector whose vec_id is divisible by 100."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+OP2_SQL = """
+WITH ok AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM ok),
+score AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(sum(q.x * r.x) AS BIGINT) AS score FROM flat q JOIN flat r ON q.i = r.i AND q.vec_id <> r.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM score)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), length=1024, end_id=0)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document; the model is fitted to at most 2000 labelled rows of each class."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), per_class=2000, threshold=0.3)
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token-id files in doc_id order, and read back through the index."""
     path = f"{scratch_dir(spark).rstrip('/')}/tidemark/token-store-{uuid.uuid4().hex}"
@@ -53,10 +77,12 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_exact_topk": op2_exact_topk,
         "op5_packing": op5_packing,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_token_store": op10_token_store,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL}
