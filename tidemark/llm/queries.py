@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.line_rules import BOILERPLATE, NAVIGATION, SENTENCE_END, line_rules
 from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
+from tidemark.llm.personal_data import FORMATS, personal_data, spans_string
 from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.shared import scratch_dir
 from tidemark.llm.token_store import read_store, write_store
@@ -62,6 +64,46 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), length=1024, end_id=0)
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and whether it stays once its failing lines are removed."""
+    out = line_rules(table(spark, sf_dir, "documents"), max_loss_percent=50)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+OP7_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) > 5)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+step AS (SELECT doc_id, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM twice),
+rep AS (SELECT doc_id, CAST(sum(least(5, coalesce(s, 5))) AS BIGINT) AS n FROM step GROUP BY 1),
+l AS (SELECT doc_id, length(x) AS c, regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS x FROM (SELECT doc_id, unnest(ls) AS x FROM w)),
+r AS (SELECT doc_id, c, x, len(string_split_regex(x, '[\x20\x09-\x0D]+')) AS n, length(x) - length(translate(x, '#*$%&|<>', '')) AS sym FROM l),
+f AS (SELECT doc_id, sum(c) AS whole, sum(CASE WHEN (n < 6 AND NOT regexp_matches(x, {_quoted(SENTENCE_END)}))
+    OR length(x) - length(replace(x, '|', '')) >= 2 OR (n <= 4 AND regexp_matches(lower(x), {_quoted(NAVIGATION)}))
+    OR (n <= 30 AND regexp_matches(lower(x), {_quoted(BOILERPLATE)})) OR (sym >= 3 AND sym * 10 > n * 3)
+    OR (n >= 4 AND (length(x) - length(replace(x, '!', ''))) * 2 > n) THEN c ELSE 0 END) AS lost FROM r GROUP BY 1),
+b AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  coalesce(rep.n, 0) AS n_repeat_words, coalesce(whole, 0) AS whole, coalesce(lost, 0) AS lost
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id LEFT JOIN f ON f.doc_id = w.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed,
+  NOT (n_words < 10 OR n_repeat_words * 100 > n_words * 20) AND lost * 100 <= whole * 50 AS kept FROM b
+"""
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and a digest of every document's format spans, and all its spans."""
+    out = personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(FORMATS)]
+    return out.select("doc_id", *counts, F.sha2(spans_string(F.col("base")), 256).alias("base_sha256"), spans_string(F.concat("base", "added")).alias("spans"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of every document; the model is fitted to at most 2000 labelled rows of each class."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), per_class=2000, threshold=0.3)
@@ -79,10 +121,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_exact_topk": op2_exact_topk,
         "op5_packing": op5_packing,
+        "op7_line_rules": op7_line_rules,
+        "op8_personal_data": op8_personal_data,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_store": op10_token_store,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op7_line_rules": OP7_SQL}
