@@ -9,19 +9,21 @@ ones first. The work, at no point more than a few rows a document or one posting
 2. *Classes.* Documents with the same set are one class, a node; a fingerprint numbers it (clashes are found, and reseeded).
 3. *Candidates.* Two sets that link share one of their first n - ceil(0.8 n) + 1 shingles in the global order. Those are
    posted, packed into blocks by hash range; a shingle that one node posts is dropped in the reducer. In each
-   remaining bucket every member is paired with the smallest one (a star, not all pairs).
-4. *Fragments.* The global order is cut into fragments. For each candidate pair that the length and signature bounds
-   leave (both exact bounds), the overlap is counted within each fragment separately and summed per pair.
-5. *The rest.* Links give components. A bucket whose members are then in one component needs nothing more. In a mixed
-   bucket, the members outside its largest component are held against the members of other components, with the same
-   bounds and the same fragment counts. So every pair that could join two components is decided exactly.
+   remaining bucket every member is paired with the smallest one (a star, not all pairs), and goes on with the leaders
+   that seem closest after exact bounds on sizes and signatures.
+4. *Fragments.* The global order is cut into fragments. For each candidate pair the overlap is counted within each
+   fragment separately and summed per pair. Links give components. Further steps pair members outside a bucket's largest
+   component with other members of it.
+5. *The rest.* A bucket whose members are then in one component needs nothing more. In a mixed bucket, the members
+   outside its largest component are held against the members of other components, with bounds on sizes, signatures
+   and shared prefixes and the same fragment counts. So every pair that could join two components is decided exactly.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import connected_components
@@ -36,6 +38,8 @@ SKETCH_BITS = (16, 22)
 POSTINGS_PER_RANGE = 1 << 20
 #: Bits of the filter that keeps other documents out of a verification, at least and at most.
 BLOOM_BITS = (16, 27)
+#: Leaders that a node is held against in each star step, and further star steps before the rest is taken pair by pair.
+KEPT, STEPS = 2, 3
 #: Cuts of the hash within a frequency class; a fragment is one (class, cut).
 CUTS = 4
 
@@ -196,49 +200,79 @@ def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFra
                 out += [(key, int(frag[x[0]]), s[x].view(np.int64)) for x in np.split(order, ends)]
             yield pd.DataFrame(out, columns=["node", "fragment", "toks"])
 
+    # Copies come from several tasks. Both steps deal rows by node, so that one shuffle serves them.
     found = docs.select("text").mapInPandas(cut, "node long, fragment int, toks array<long>").join(wanted, "node", "left_semi")
     return found.dropDuplicates(["node", "fragment"])
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b) that the exact bounds on sizes and signatures leave, with n_a and n_b."""
+    """pairs (a, b) that the exact bounds on sizes and signatures leave: a, b, n_a, n_b, gap (how unlike they seem)."""
     for side in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), *[F.col(f"s{k}").alias(f"{side}{k}") for k in range(SIG)]), side)
-    return pairs.where(_may_link(percent)).select("a", "b", "n_a", "n_b")
+    return pairs.where(_may_link(percent)).select("a", "b", "n_a", "n_b", (_differ() / (F.col("n_a") + F.col("n_b"))).alias("gap"))
+
+
+def _closest(pairs: DataFrame, keep: int) -> DataFrame:
+    """The keep pairs of each a that seem most alike."""
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("gap", "b"))
+    return pairs.withColumn("place", rank).where(F.col("place") <= keep).select("a", "b", "n_a", "n_b")
+
+
+def _differ():
+    return sum(F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SIG))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def _may_link(percent: int):
     # J >= p/100 needs |A xor B| <= (n_a + n_b) (100 - p) / (100 + p), and |A xor B| >= the bits in which the signatures differ.
-    differ = sum(F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SIG))
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return sizes & (differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    return sizes & (_differ() * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
 
 
-def _overlaps(docs: DataFrame, pairs: DataFrame, classes, seed: int, percent: int, name: str) -> DataFrame:
-    """The pairs that link: overlaps counted in each fragment and summed."""
-    wanted = stored(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), f"{name}-wanted")
-    segments = stored(_segments(docs, wanted, classes, seed), f"{name}-segments")
+def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: overlaps counted in each fragment and summed."""
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("toks").alias("left"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("toks").alias("right"))
     part = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("shared"))
     total = part.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("overlap"))
-    return total.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
+    return total.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent).select("a", "b")
 
 
-def _mixed_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components within a bucket: members outside its largest component against the others."""
+def _mixed(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(tok, node, comp, main) of the buckets that hold several components; main is the largest there."""
     member = buckets.join(comps, "node", "left").select("tok", "node", F.coalesce("component", "node").alias("comp"))
     counts = member.groupBy("tok", "comp").agg(F.count("*").alias("members"))
     mixed = counts.groupBy("tok").agg(F.count("*").alias("comps"), F.max(F.struct("members", "comp"))["comp"].alias("main")).where("comps > 1").select("tok", "main")
-    side = member.join(mixed, "tok").join(nodes.select("node", "n", *[f"s{k}" for k in range(SIG)]), "node")
+    return member.join(mixed, "tok")
+
+
+def _next_stars(mixed: DataFrame, step: int) -> DataFrame:
+    """Members outside a bucket's largest component, each with one member of it; another one at each step."""
+    chosen = mixed.where("comp = main").groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)), "node"))["node"].alias("b"))
+    return mixed.where("comp <> main").select("tok", F.col("node").alias("a")).join(chosen, "tok").select("a", "b").distinct()
+
+
+def _rest(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs across components that the bounds leave: members outside a bucket's largest component against the others.
+
+    A pair meets once in every bucket that both are in, so the rows count their shared prefix c exactly. Beyond the
+    prefix that ends first, a set has n - p shingles: overlap <= c + max(n_a - p_a, n_b - p_b).
+    """
+    side = mixed.join(nodes.select("node", "n", *[f"s{k}" for k in range(SIG)]), "node")
 
     def as_side(x):
         return [F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}"), *[F.col(f"s{k}").alias(f"{x}{k}") for k in range(SIG)]]
 
     few = side.where("comp <> main").select("tok", "main", *as_side("a"))
-    # Two members outside the largest component meet twice; the smaller one then comes first.
+    # Two members outside the largest component meet from both sides; one of them counts.
     both = few.join(side.select("tok", *as_side("b")), "tok").where("comp_a <> comp_b AND (comp_b = main OR a < b)").where(_may_link(percent))
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
+    low = F.col("a") < F.col("b")
+    pair = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
+    beyond = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
+    return pair.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")).where((F.col("c") + beyond) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).drop("c")
 
 
 def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -265,12 +299,28 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     ranges = max(parallelism(spark), -(-postings // POSTINGS_PER_RANGE))
     buckets = stored(_buckets(docs, classes, seed, percent, ranges), "ngram-buckets")
     stars = buckets.where("leader <> node").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = stored(_overlaps(docs, stored(_likely(stars, nodes, percent), "ngram-stars"), classes, seed, percent, "ngram-stars").select("a", "b"), "ngram-links")
+    likely = stored(_likely(stars, nodes, percent), "ngram-stars")
+    wanted = stored(_ends(likely), "ngram-wanted")
+    segments = stored(_segments(docs, wanted, classes, seed), "ngram-segments")
+    tried = stored(_closest(likely, KEPT), "ngram-tried")
+    links = stored(_linked(tried, segments, percent), "ngram-links")
     comps = connected_components(links, "ngram-components")
-    more = stored(_mixed_pairs(buckets, nodes, comps, percent).join(links, ["a", "b"], "left_anti"), "ngram-mixed")
-    if not more.isEmpty():
-        rest = _overlaps(docs, more, classes, seed, percent, "ngram-mixed").select("a", "b")
-        links = stored(links.union(rest), "ngram-links")
+    for step in range(STEPS):
+        again = _next_stars(_mixed(buckets, comps), step).join(wanted.withColumnRenamed("node", "a"), "a", "left_semi").join(wanted.withColumnRenamed("node", "b"), "b", "left_semi")
+        now = stored(_closest(_likely(again.join(tried, ["a", "b"], "left_anti"), nodes, percent), KEPT), "ngram-tried")
+        more = stored(_linked(now, segments, percent), "ngram-links")
+        tried = tried.union(now)
+        if more.isEmpty():
+            break
+        links = stored(links.union(more), "ngram-links")
+        comps = connected_components(links, "ngram-components")
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(stored(_rest(_mixed(buckets, comps), nodes, percent), "ngram-mixed").join(known, ["a", "b"], "left_anti"), "ngram-rest")
+    if not rest.isEmpty():
+        new = stored(_ends(rest).join(wanted, "node", "left_anti"), "ngram-wanted")
+        if not new.isEmpty():
+            segments = segments.union(stored(_segments(docs, new, classes, seed), "ngram-segments"))
+        links = stored(links.union(_linked(rest, segments, percent)), "ngram-links")
         comps = connected_components(links, "ngram-components")
 
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
