@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.line_rules import BOILERPLATE, NAVIGATION, SENTENCE_END, line_rules
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import FORMATS, personal_data, spans_string
@@ -59,6 +60,22 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed so that each source's share goes with the root of its size, as large as the input."""
+    return mix_sources(table(spark, sf_dir, "documents"), power=0.5, epochs=1.0, seed=0)
+
+
+OP4_SQL = """
+WITH s AS (SELECT source, CAST(sum(length(coalesce(text, ''))) AS DOUBLE) AS z FROM documents GROUP BY 1),
+p AS (SELECT source, CASE WHEN z = 0 THEN 1.0 ELSE sqrt(z) / sum(sqrt(z)) OVER () * sum(z) OVER () / z END AS rate FROM s),
+c AS (SELECT source, j, sum(exp(-rate + j * ln(rate) - lgamma(j + 1))) OVER (PARTITION BY source ORDER BY j) AS f FROM p, (SELECT unnest(range(0, 60)) AS j)),
+d AS (SELECT *, CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+k AS (SELECT c.source, c.f, lead(c.f) OVER (PARTITION BY c.source ORDER BY j) AS g, j + 1 AS copies FROM c)
+SELECT doc_id, text, lang, d.source, n_chars, CAST(copy AS INTEGER) AS copy, md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(copy AS VARCHAR)) AS shuffle_key
+FROM (SELECT d.*, unnest(range(1, k.copies + 1)) AS copy FROM d JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.f <= d.u AND (k.g > d.u OR k.g IS NULL)) d
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), length=1024, end_id=0)
@@ -120,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_exact_topk": op2_exact_topk,
+        "op4_source_mixing": op4_source_mixing,
         "op5_packing": op5_packing,
         "op7_line_rules": op7_line_rules,
         "op8_personal_data": op8_personal_data,
@@ -129,4 +147,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op7_line_rules": OP7_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op4_source_mixing": OP4_SQL, "op7_line_rules": OP7_SQL}
