@@ -17,6 +17,7 @@ from tidemark.llm.quality_model import quality_scores
 from tidemark.llm.shared import scratch_dir
 from tidemark.llm.token_store import read_store, write_store
 from tidemark.llm.topk import top_k
+from tidemark.llm.url_templates import url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,45 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by rule or template; a page is labelled bad if its document is of low quality or toxic."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("key"), F.expr("quality = 0 OR toxic = 1").alias("bad"))
+    return url_filter(table(spark, sf_dir, "pages"), labels, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op3_level(k: int) -> str:
+    """SQL for the tree's next level: t<k> to t<k + 1>."""
+    return f"""
+e{k} AS (SELECT *, shape[{k + 1}] AS seg FROM t{k}),
+c{k} AS (SELECT template, seg, count(*) AS n, count(bad) AS l, coalesce(sum(CAST(bad AS INTEGER)), 0) AS b FROM e{k} WHERE seg IS NOT NULL AND seg NOT IN ('*', '**') GROUP BY 1, 2),
+p{k} AS (SELECT *, count(*) OVER (PARTITION BY template) AS kinds, sum(l) OVER (PARTITION BY template) AS pl, sum(b) OVER (PARTITION BY template) AS pb FROM c{k}),
+s{k} AS (SELECT template, seg FROM p{k} WHERE kinds <= 50 AND n >= 5 AND CAST(pb AS DOUBLE) * (pl - pb) * l * (pl - l) > 0
+  AND CAST(b * (pl - l) - (pb - b) * l AS DOUBLE) * CAST(b * (pl - l) - (pb - b) * l AS DOUBLE) * pl >= CAST(pb AS DOUBLE) * (pl - pb) * l * (pl - l) * 3.84),
+t{k + 1} AS (SELECT e.page_id, e.host, e.path, e.shape, e.bad, CASE WHEN e.seg IS NULL THEN e.template
+  WHEN s.seg IS NOT NULL OR e.seg = '**' THEN e.template || '/' || e.seg ELSE e.template || '/*' END AS template
+  FROM e{k} e LEFT JOIN s{k} s ON s.template = e.template AND s.seg = e.seg),"""
+
+
+OP3_SQL = rf"""
+WITH k AS (SELECT CAST(doc_id AS VARCHAR) AS key, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+g AS (SELECT u.*, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs, nullif(regexp_extract(path, '([0-9]+)[^0-9]*$', 1), '') AS key FROM u),
+t0 AS (SELECT page_id, host, path, list_concat(list_transform(segs[1:4], lambda s: CASE WHEN regexp_matches(s, '[0-9]') OR length(s) > 40 OR s = '**' THEN '*' ELSE s END),
+  CASE WHEN len(segs) > 4 THEN ['**'] ELSE [] END) AS shape, bad, host AS template FROM g LEFT JOIN k ON k.key = g.key),
+{"".join(_op3_level(k) for k in range(5)).strip()}
+q AS (SELECT template, (coalesce(sum(CAST(bad AS INTEGER)), 0) + 5.0 * coalesce((SELECT avg(CAST(bad AS INTEGER)) FROM t0), 0)) / (count(bad) + 5.0) AS purity FROM t5 GROUP BY 1),
+r(rule, verdict) AS (VALUES {", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)}),
+f AS (SELECT t.page_id, t.host, t.path, q.purity, r.rule, r.verdict, row_number() OVER (PARTITION BY t.page_id ORDER BY length(r.rule) DESC NULLS LAST) AS n
+  FROM t5 t JOIN q ON q.template = t.template LEFT JOIN r ON (t.host = string_split(r.rule, '/')[1] OR t.host LIKE '%.' || string_split(r.rule, '/')[1])
+  AND starts_with(t.path, substr(r.rule, strpos(r.rule, '/'))))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM f WHERE n = 1
+"""
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed so that each source's share goes with the root of its size, as large as the input."""
     return mix_sources(table(spark, sf_dir, "documents"), power=0.5, epochs=1.0, seed=0)
@@ -137,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_exact_topk": op2_exact_topk,
+        "op3_url_filter": op3_url_filter,
         "op4_source_mixing": op4_source_mixing,
         "op5_packing": op5_packing,
         "op7_line_rules": op7_line_rules,
@@ -147,4 +188,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op4_source_mixing": OP4_SQL, "op7_line_rules": OP7_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_source_mixing": OP4_SQL, "op7_line_rules": OP7_SQL}
