@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.line_rules import BOILERPLATE, NAVIGATION, SENTENCE_END, line_rules
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_groups
@@ -121,6 +122,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), length=1024, end_id=0)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat an earlier line, up to one edit."""
+    return line_dedup(table(spark, sf_dir, "documents"), min_chars=20).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, and whether it stays once its failing lines are removed."""
     out = line_rules(table(spark, sf_dir, "documents"), max_loss_percent=50)
@@ -180,6 +186,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": op3_url_filter,
         "op4_source_mixing": op4_source_mixing,
         "op5_packing": op5_packing,
+        "op6_line_dedup": op6_line_dedup,
         "op7_line_rules": op7_line_rules,
         "op8_personal_data": op8_personal_data,
         "op9_quality_classifier": op9_quality_classifier,
