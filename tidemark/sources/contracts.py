@@ -155,7 +155,7 @@ def _all(v: Column, contract: dict, path: str) -> Column:
     arrays = [(k, sub) for k, sub in contract.get("properties", {}).items() if "items" in sub]
     for k, sub in arrays:
         items = F.coalesce(F.try_variant_get(v, f"$['{k}']", "array<variant>"), F.array().cast("array<variant>"))
-        each = F.flatten(F.transform(items, lambda x, sub=sub, k=k: _all(x, sub["items"], f"{path}.{k}[]")))
+        each = F.flatten(F.transform(items, _item_check(sub["items"], f"{path}.{k}[]")))
         found = F.concat(found, F.array_distinct(each))
     for k, sub in contract.get("properties", {}).items():
         if sub.get("type") == "object" and any("items" in s for s in sub.get("properties", {}).values()):
@@ -164,6 +164,10 @@ def _all(v: Column, contract: dict, path: str) -> Column:
     return found
 
 
+def _item_check(contract: dict, path: str):
+    return lambda x: _all(x, contract, path)
+
+
 def with_violations(captures: DataFrame, contract: dict, text: str = "value") -> DataFrame:
     """captures (a JSON text a row) with `violations`, an array of messages; a text that isn't JSON has one."""
     check_contract(contract)
