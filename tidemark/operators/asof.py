@@ -1,10 +1,11 @@
 """Nearest-match join: every energy row with the weather row nearest in time, from six hours before to one hour after it.
 
 Nearest is by whole seconds, then the later weather row; of rows at the same instant the smallest city, then record id. There
-is no equality key, so a literal join compares every pair. Here both sides are dealt into six-hour buckets (an
-energy row into its own, a weather row into those that it can reach: two or three) and each bucket is one pass of two
-running windows: the last weather row at or before, and the first whole second of weather at or after. The work is
-linear in rows and parallel over buckets.
+is no equality key, so a literal join compares every pair. Here both sides are dealt into short buckets of time. Each
+bucket also gets two weather rows from outside: the last one before it and the first one after it, which come from one row
+a bucket. Within a bucket two running windows find the last weather row at or before each energy row, and the first whole
+second of weather at or after. The work is linear in rows, nothing is replicated, and there are as many parallel buckets as
+the data has spans of ten minutes.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from tidemark.functions.measures import age_minutes, gap_minutes, minute_crossin
 from tidemark.schemas import ENERGY_KEY
 
 HOUR_US = 3_600_000_000
-BEFORE_US, AFTER_US, BUCKET_US = 6 * HOUR_US, HOUR_US, 6 * HOUR_US
+BEFORE_US, AFTER_US, BUCKET_US = 6 * HOUR_US, HOUR_US, HOUR_US // 6
 WEATHER_PART = ["city", "country_code", "temperature_c", "feels_like_c", "humidity_pct", "pressure_hpa", "cloud_cover_pct", "wind_speed_mps", "weather_main", "weather_description"]
 ENERGY_PART = ["demand_mw", "generation_mw", "import_mw", "solar_mw", "wind_mw", "stor_mw", "other_mw"]
 
@@ -29,6 +30,17 @@ def _bucket(us: Column) -> Column:
     return F.floor(us / BUCKET_US)
 
 
+def _carried(w: DataFrame) -> DataFrame:
+    """For each bucket in reach of weather, the last row before it and the first row after it, of rows of one an instant."""
+    row = F.struct("us", "side", "w", "ahead")
+    ends = w.groupBy("bucket").agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    later = F.explode(F.sequence(F.col("bucket") + 1, F.col("bucket") + BEFORE_US // BUCKET_US + 1))
+    earlier = F.explode(F.sequence(F.col("bucket") - AFTER_US // BUCKET_US - 1, F.col("bucket") - 1))
+    before = ends.select(later.alias("to"), "last").groupBy("to").agg(F.max("last").alias("r"))
+    after = ends.select(earlier.alias("to"), "first").groupBy("to").agg(F.min("first").alias("r"))
+    return before.union(after).select(F.col("to").alias("bucket"), "r.*")
+
+
 def _rank_by_second(us: Column) -> Column:
     return F.floor(us / 1_000_000)
 
@@ -47,8 +59,8 @@ def _matched(energy: DataFrame, weather: DataFrame, unit) -> DataFrame:
     packed = F.struct("us", F.col("event_timestamp_utc").alias("at"), F.col("ingestion_timestamp_utc").alias("came"), *WEATHER_PART)
     w = w.select("us", unit(F.col("us")).alias("u"), packed.alias("w"))
     w = w.withColumn("ahead", F.collect_list("w").over(Window.partitionBy("u")))
-    reach = F.sequence(_bucket(F.col("us") - AFTER_US), _bucket(F.col("us") + BEFORE_US))
-    w = w.select(F.explode(reach).alias("bucket"), "us", F.lit(0).alias("side"), "w", "ahead", F.lit(None).alias("e"))
+    w = w.select(_bucket(F.col("us")).alias("bucket"), "us", F.lit(0).alias("side"), "w", "ahead")
+    w = w.unionByName(_carried(w)).withColumn("e", F.lit(None))
     e = energy.select(_bucket(us).alias("bucket"), us.alias("us"), F.lit(1).alias("side"), F.lit(None).alias("w"), F.lit(None).alias("ahead"), F.struct(*energy.columns).alias("e"))
     both = w.unionByName(e)
     back = Window.partitionBy("bucket").orderBy("us", "side").rowsBetween(Window.unboundedPreceding, 0)
