@@ -10,7 +10,7 @@ ones first. The work, at no point more than a few rows a document or one posting
 3. *Candidates.* Two sets that link share one of their first n - ceil(0.8 n) + 1 shingles in the global order. Those are
    posted, packed into blocks by hash range; a shingle that one node posts is dropped in the reducer. In each
    remaining bucket every member is paired with the smallest one (a star, not all pairs), and goes on with the leaders
-   that seem closest after exact bounds on sizes and signatures.
+   with which it shares the most buckets, of those the ones that seem closest by exact bounds on sizes and signatures.
 4. *Fragments.* The global order is cut into fragments. For each candidate pair the overlap is counted within each
    fragment separately and summed per pair. Links give components. Further steps pair members outside a bucket's largest
    component with other members of it.
@@ -252,7 +252,13 @@ def _mixed(buckets: DataFrame, comps: DataFrame) -> DataFrame:
 def _next_stars(mixed: DataFrame, step: int) -> DataFrame:
     """Members outside a bucket's largest component, each with one member of it; another one at each step."""
     chosen = mixed.where("comp = main").groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)), "node"))["node"].alias("b"))
-    return mixed.where("comp <> main").select("tok", F.col("node").alias("a")).join(chosen, "tok").select("a", "b").distinct()
+    return _most_shared(mixed.where("comp <> main").select("tok", F.col("node").alias("a")).join(chosen, "tok"))
+
+
+def _most_shared(stars: DataFrame) -> DataFrame:
+    """The pairs (a, b) of each a that share the most buckets, 2 * KEPT of them."""
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
+    return stars.groupBy("a", "b").agg(F.count("*").alias("shared")).withColumn("place", rank).where(F.col("place") <= 2 * KEPT).select("a", "b")
 
 
 def _rest(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -298,7 +304,7 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     ranges = max(parallelism(spark), -(-postings // POSTINGS_PER_RANGE))
     buckets = stored(_buckets(docs, classes, seed, percent, ranges), "ngram-buckets")
-    stars = buckets.where("leader <> node").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    stars = _most_shared(buckets.where("leader <> node").select(F.col("node").alias("a"), F.col("leader").alias("b")))
     likely = stored(_likely(stars, nodes, percent), "ngram-stars")
     wanted = stored(_ends(likely), "ngram-wanted")
     segments = stored(_segments(docs, wanted, classes, seed), "ngram-segments")
