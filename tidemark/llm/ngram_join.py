@@ -15,8 +15,8 @@ ones first. The work, at no point more than a few rows a document or one posting
    fragment separately and summed per pair. Links give components. Further steps pair members outside a bucket's largest
    component with other members of it.
 5. *The rest.* A bucket whose members are then in one component needs nothing more. In a mixed bucket, the members
-   outside its largest component are held against the members of other components, with bounds on sizes, signatures
-   and shared prefixes and the same fragment counts. So every pair that could join two components is decided exactly.
+   outside its largest component are held against the members of other components, with bounds on sizes and on
+   larger signatures, and the same fragment counts. So every pair that could join two components is decided exactly.
 """
 
 from __future__ import annotations
@@ -27,19 +27,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import connected_components
-from tidemark.llm.shared import encoded, merged_array, mix, parallelism, shingle_set, stored, words_of
+from tidemark.llm.membership import maybe_in, member_bits
+from tidemark.llm.shared import as_batch, encoded, merged_array, mix, parallelism, shingle_set, slices, stored, words_of
 
-#: Longs of a signature; its bit k is the parity of the shingles that hash to k.
-SIG = 8
+#: Longs of a signature; its bit k is the parity of the shingles that hash to k. A larger one is kept beside the rows.
+SIG, BIG = 8, 32
 #: The sketch has a counter for about this many shingles, within SKETCH_BITS.
 SHINGLES_PER_COUNTER = 32
 SKETCH_BITS = (16, 22)
 #: Postings that one reducer group gets, about.
 POSTINGS_PER_RANGE = 1 << 20
-#: Bits of the filter that keeps other documents out of a verification, at least and at most.
-BLOOM_BITS = (16, 27)
 #: Leaders that a node is held against in each star step, and further star steps before the rest is taken pair by pair.
-KEPT, STEPS = 2, 3
+KEPT, STEPS = 3, 2
 #: Cuts of the hash within a frequency class; a fragment is one (class, cut).
 CUTS = 4
 
@@ -48,8 +47,8 @@ def _sets(texts):
         yield i, shingle_set(words)
 
 
-def _signature(s: np.ndarray) -> np.ndarray:
-    bits = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=64 * SIG) & 1
+def _signature(s: np.ndarray, longs: int) -> np.ndarray:
+    bits = np.bincount((s >> np.uint64(64 - (64 * longs - 1).bit_length())).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -59,21 +58,20 @@ def _node(s: np.ndarray, seed: int) -> int:
 
 
 def measured(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, n, node, check and the signature s0..s7 of every document. check is a second fingerprint."""
-    schema = "doc_id long, n long, node long, check long, " + ", ".join(f"s{k} long" for k in range(SIG))
+    """doc_id, n, node, check, big and s0..s7 of every document: a second fingerprint and the signatures."""
+    schema = "doc_id long, n long, node long, check long, big array<long>, " + ", ".join(f"s{k} long" for k in range(SIG))
 
-    def run(frames):
-        for pdf in frames:
-            n, node, check = (np.zeros(len(pdf), dtype=np.int64) for _ in range(3))
-            sigs = np.zeros((len(pdf), SIG), dtype=np.int64)
-            for i, s in _sets(pdf["text"].tolist()):
-                n[i], node[i] = len(s), _node(s, seed)
-                if len(s):
-                    check[i] = np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-                    sigs[i] = _signature(s)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n": n, "node": node, "check": check} | {f"s{k}": sigs[:, k] for k in range(SIG)})
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, 1024):
+                rows = [(i, 0, 0, 0, None, *[0] * SIG) for i in batch.column("doc_id").to_pylist()]
+                for i, s in _sets(batch.column("text").to_pylist()):
+                    if len(s):
+                        check = np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+                        rows[i] = (rows[i][0], len(s), _node(s, seed), int(check), _signature(s, BIG), *_signature(s, SIG).tolist())
+                yield as_batch(rows, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
@@ -90,30 +88,6 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
     return np.log2(1 + merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add).astype(float)).astype(np.uint8)
 
 
-def _member_bits(nodes: DataFrame, count: int) -> np.ndarray:
-    """A Bloom filter of the nodes with a fixed bound on its size; more nodes only make it let more through."""
-    bits = min(max((16 * count).bit_length(), BLOOM_BITS[0]), BLOOM_BITS[1])
-
-    def fill(frames):
-        out = np.zeros(1 << (bits - 3), dtype=np.uint8)
-        for pdf in frames:
-            for h in _bloom_places(pdf["node"].to_numpy().view(np.uint64), bits):
-                np.bitwise_or.at(out, (h >> np.uint64(3)).astype(np.int64), np.uint8(1) << (h & np.uint64(7)).astype(np.uint8))
-        return out
-
-    return merged_array(nodes.select("node"), fill, 1 << (bits - 3), np.uint8, np.bitwise_or)
-
-
-def _bloom_places(node: np.ndarray, bits: int):
-    h = mix(node)
-    return h >> np.uint64(64 - bits), (h & np.uint64(0xFFFFFFFF)) * np.uint64(0x9E3779B1) % np.uint64(1 << bits)
-
-
-def _maybe_in(node: int, table: np.ndarray) -> bool:
-    bits = (len(table) * 8).bit_length() - 1
-    return all(table[int(h[0]) >> 3] >> (int(h[0]) & 7) & 1 for h in _bloom_places(np.array([node], dtype=np.int64).view(np.uint64), bits))
-
-
 def _class_of(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return classes[(s >> np.uint64(64 - (len(classes).bit_length() - 1))).astype(np.int64)]
 
@@ -183,7 +157,7 @@ def _buckets(docs: DataFrame, classes, seed: int, percent: int, ranges: int) ->
 
 def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFrame:
     """(node, fragment, toks) of the wanted nodes: their sets, cut at the bounds of the fragments."""
-    table = docs.sparkSession.sparkContext.broadcast(_member_bits(wanted, wanted.count()))
+    table = docs.sparkSession.sparkContext.broadcast(member_bits(wanted, wanted.count()))
 
     def cut(frames):
         seen = set()
@@ -191,7 +165,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFra
             out = []
             for _, s in _sets(pdf["text"].tolist()):
                 key = _node(s, seed)
-                if not len(s) or key in seen or not _maybe_in(key, table.value):
+                if not len(s) or key in seen or not maybe_in(np.array([key]).view(np.uint64), table.value)[0]:
                     continue
                 seen.add(key)
                 frag = _class_of(s, classes.value).astype(np.int64) * CUTS + (s >> np.uint64(62)).astype(np.int64) % CUTS
@@ -222,6 +196,11 @@ def _differ():
     return sum(F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SIG))
 
 
+def _contracted(links: DataFrame, comps: DataFrame) -> DataFrame:
+    """links and the components so far, as edges."""
+    return links.select("a", "b").union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
@@ -261,24 +240,31 @@ def _most_shared(stars: DataFrame) -> DataFrame:
     return stars.groupBy("a", "b").agg(F.count("*").alias("shared")).withColumn("place", rank).where(F.col("place") <= 2 * KEPT).select("a", "b")
 
 
-def _rest(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components that the bounds leave: members outside a bucket's largest component against the others.
+def _rest(mixed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """All pairs across components that sizes and signatures leave, of those that meet in a mixed bucket.
 
-    A pair meets once in every bucket that both are in, so the rows count their shared prefix c exactly. Beyond the
-    prefix that ends first, a set has n - p shingles: overlap <= c + max(n_a - p_a, n_b - p_b).
+    members has every node with its component. A member outside a bucket's largest component is held against that whole
+    component once, whatever number of buckets they share; members outside it against each other within the bucket.
     """
-    side = mixed.join(nodes.select("node", "n", *[f"s{k}" for k in range(SIG)]), "node")
 
     def as_side(x):
         return [F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}"), *[F.col(f"s{k}").alias(f"{x}{k}") for k in range(SIG)]]
 
-    few = side.where("comp <> main").select("tok", "main", *as_side("a"))
-    # Two members outside the largest component meet from both sides; one of them counts.
-    both = few.join(side.select("tok", *as_side("b")), "tok").where("comp_a <> comp_b AND (comp_b = main OR a < b)").where(_may_link(percent))
+    few = mixed.where("comp <> main")
+    attached = few.select("node", "main").distinct().join(members, "node").select("main", *as_side("a"))
+    to_main = attached.join(members.select(*as_side("b")), F.col("main") == F.col("comp_b")).where(_may_link(percent))
+    several = few.groupBy("tok").agg((F.min("comp") != F.max("comp")).alias("several")).where("several").select("tok")
+    outside = few.select("tok", "node").join(several, "tok").join(members, "node")
+    among = outside.select("tok", *as_side("a")).join(outside.select("tok", *as_side("b")), "tok").where("a < b AND comp_a <> comp_b").where(_may_link(percent))
     low = F.col("a") < F.col("b")
-    pair = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
-    beyond = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
-    return pair.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c")).where((F.col("c") + beyond) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).drop("c")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")]
+    return to_main.select(*ordered).union(among.select(*ordered)).distinct()
+
+
+def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> DataFrame:
+    both = pairs.join(bigs.select(F.col("node").alias("a"), F.col("big").alias("big_a")), "a").join(bigs.select(F.col("node").alias("b"), F.col("big").alias("big_b")), "b")
+    differ = F.aggregate(F.zip_with("big_a", "big_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return both.where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b", "n_a", "n_b")
 
 
 def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -318,16 +304,19 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         tried = tried.union(now)
         if more.isEmpty():
             break
-        links = stored(links.union(more), "ngram-links")
-        comps = connected_components(links, "ngram-components")
+        links = links.union(more)
+        comps = connected_components(_contracted(more, comps), "ngram-components")
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(stored(_rest(_mixed(buckets, comps), nodes, percent), "ngram-mixed").join(known, ["a", "b"], "left_anti"), "ngram-rest")
+    members = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    pairs = stored(_rest(_mixed(buckets, comps), members, percent), "ngram-mixed").join(known, ["a", "b"], "left_anti")
+    rest = stored(_after_big_signatures(pairs, rows.where("n > 0").select("node", "big").dropDuplicates(["node"]), percent), "ngram-rest")
     if not rest.isEmpty():
         new = stored(_ends(rest).join(wanted, "node", "left_anti"), "ngram-wanted")
         if not new.isEmpty():
             segments = segments.union(stored(_segments(docs, new, classes, seed), "ngram-segments"))
-        links = stored(links.union(_linked(rest, segments, percent)), "ngram-links")
-        comps = connected_components(links, "ngram-components")
+        more = stored(_linked(rest, segments, percent), "ngram-links")
+        links = links.union(more)
+        comps = connected_components(_contracted(more, comps), "ngram-components")
 
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     classed = nodes.join(comps, "node", "left").join(degree, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
