@@ -39,8 +39,8 @@ SKETCH_BITS = (16, 22)
 POSTINGS_PER_RANGE = 1 << 20
 #: Leaders that a node is held against in each star step, and further star steps before the rest is taken pair by pair.
 KEPT, STEPS = 3, 2
-#: Cuts of the hash within a frequency class; a fragment is one (class, cut).
-CUTS = 4
+#: Fragments of the global order, of about equal mass; their bounds lie on these cuts of the hash within a class.
+FRAGMENTS, CUTS = 4, 4
 
 def _sets(texts):
     for i, words in words_of(encoded(texts)):
@@ -88,6 +88,13 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
     return np.log2(1 + merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add).astype(float)).astype(np.uint8)
 
 
+def fragment_bounds(classes: np.ndarray) -> np.ndarray:
+    """The fragment of each (class, cut), which follow each other in the global order."""
+    cells = np.repeat(np.bincount(classes, weights=np.exp2(classes.astype(float)), minlength=64) / CUTS, CUTS)
+    before = np.cumsum(cells) - cells
+    return np.minimum(before / max(cells.sum(), 1) * FRAGMENTS, FRAGMENTS - 1).astype(np.int64)
+
+
 def _class_of(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return classes[(s >> np.uint64(64 - (len(classes).bit_length() - 1))).astype(np.int64)]
 
@@ -158,6 +165,7 @@ def _buckets(docs: DataFrame, classes, seed: int, percent: int, ranges: int) ->
 def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFrame:
     """(node, fragment, toks) of the wanted nodes: their sets, cut at the bounds of the fragments."""
     table = docs.sparkSession.sparkContext.broadcast(member_bits(wanted, wanted.count()))
+    bounds = fragment_bounds(classes.value)
 
     def cut(frames):
         seen = set()
@@ -168,7 +176,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFra
                 if not len(s) or key in seen or not maybe_in(np.array([key]).view(np.uint64), table.value)[0]:
                     continue
                 seen.add(key)
-                frag = _class_of(s, classes.value).astype(np.int64) * CUTS + (s >> np.uint64(62)).astype(np.int64) % CUTS
+                frag = bounds[_class_of(s, classes.value).astype(np.int64) * CUTS + (s >> np.uint64(62)).astype(np.int64)]
                 order = np.argsort(frag, kind="stable")
                 ends = np.flatnonzero(np.diff(frag[order])) + 1
                 out += [(key, int(frag[x[0]]), s[x].view(np.int64)) for x in np.split(order, ends)]
@@ -264,7 +272,8 @@ def _rest(mixed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(bigs.select(F.col("node").alias("a"), F.col("big").alias("big_a")), "a").join(bigs.select(F.col("node").alias("b"), F.col("big").alias("big_b")), "b")
     differ = F.aggregate(F.zip_with("big_a", "big_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    return both.where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b", "n_a", "n_b")
+    total = F.col("n_a") + F.col("n_b")
+    return both.where(differ * (100 + percent) <= total * (100 - percent)).select("a", "b", "n_a", "n_b", (differ / total).alias("gap"))
 
 
 def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -314,9 +323,15 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         new = stored(_ends(rest).join(wanted, "node", "left_anti"), "ngram-wanted")
         if not new.isEmpty():
             segments = segments.union(stored(_segments(docs, new, classes, seed), "ngram-segments"))
-        more = stored(_linked(rest, segments, percent), "ngram-links")
-        links = links.union(more)
-        comps = connected_components(_contracted(more, comps), "ngram-components")
+        # The closest first: most of the others then lie within one component.
+        for pairs in (_closest(rest, KEPT), None):
+            if pairs is None:
+                comp = comps.select("node", "component")
+                ends = rest.join(comp.toDF("a", "comp_a"), "a", "left").join(comp.toDF("b", "comp_b"), "b", "left")
+                pairs = ends.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b", "n_a", "n_b")
+            more = stored(_linked(stored(pairs, "ngram-rest"), segments, percent), "ngram-links")
+            links = links.union(more).distinct()
+            comps = connected_components(_contracted(more, comps), "ngram-components")
 
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     classed = nodes.join(comps, "node", "left").join(degree, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
