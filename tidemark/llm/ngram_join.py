@@ -78,14 +78,25 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
     """log2 of the count of every counter of the sketch, over all documents; 2**bits bytes."""
 
     def count(frames):
-        total = np.zeros(1 << bits, dtype=np.uint64)
+        total, held, size = np.zeros(1 << bits, dtype=np.uint64), [], 0
+
+        def add():
+            places, counts = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
+            total[places.astype(np.int64)] += counts.astype(np.uint64)
+
         for pdf in frames:
-            got = [s for _, s in _sets(pdf["text"].tolist())]
-            if got:
-                total += np.bincount((np.concatenate(got) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint64)
+            for _, s in _sets(pdf["text"].tolist()):
+                held.append(s)
+                size += len(s)
+                if size >= POSTINGS_PER_RANGE // 2:
+                    add()
+                    held, size = [], 0
+        if held:
+            add()
         return total
 
-    return np.log2(1 + merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add).astype(float)).astype(np.uint8)
+    total = merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add)
+    return np.log2(1 + total.astype(np.float32)).astype(np.uint8)
 
 
 def fragment_bounds(classes: np.ndarray) -> np.ndarray:
