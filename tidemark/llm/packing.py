@@ -22,7 +22,7 @@ from tidemark.llm.tokens import default_vocabulary, encoder
 ENCODED = "part int, place long, doc_id long, n long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Rows that a task hands on at once.
-ROWS = 512
+ROWS = 128
 
 
 def encoded_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
@@ -34,8 +34,9 @@ def encoded_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFram
         for whole in batches:
             for batch in slices(whole, ROWS):
                 rows = []
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    ids = np.append(np.frombuffer(enc.encode(text), dtype="<u4"), np.uint32(end_id))
+                doc_ids, texts = (c.to_pylist() for c in batch.columns)
+                for doc_id, data in zip(doc_ids, enc.encode_many(texts), strict=True):
+                    ids = np.append(np.frombuffer(data, dtype="<u4"), np.uint32(end_id))
                     rows.append((part, place, doc_id, len(ids), ids.astype(kind).tobytes()))
                     place += len(ids)
                 yield as_batch(rows, ENCODED)

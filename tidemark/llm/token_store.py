@@ -20,6 +20,7 @@ import zlib
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from tidemark.llm.tokens import default_vocabulary, encoder
 NULL_KEY = -(1 << 63)
 BUCKET_KEYS = 3
 SHARDS = "part int, seq int, local_start long, n_docs int, n_ids long, width int, low long, high long, seeds binary, prints binary, places binary, keys binary, payload binary"
-ENCODED = "doc_id long, tie long, n long, packed binary"
+ENCODED = "doc_id long, tie long, n long, width int, packed binary"
 _M64 = (1 << 64) - 1
 
 
@@ -115,23 +116,23 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
         enc = encoder(vocabulary)
         kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for whole in batches:
-            for batch in slices(whole, 512):
+            for batch in slices(whole, 128):
                 rows = []
-                for doc_id, tie, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    ids = np.append(np.frombuffer(enc.encode(text), dtype="<u4"), np.uint32(end_id)).astype(kind)
-                    rows.append((NULL_KEY if doc_id is None else doc_id, tie, len(ids), zlib.compress(ids.tobytes(), 1)))
+                doc_ids, ties, texts = (c.to_pylist() for c in batch.columns)
+                for doc_id, tie, data in zip(doc_ids, ties, enc.encode_many(texts), strict=True):
+                    ids = np.append(np.frombuffer(data, dtype="<u4"), np.uint32(end_id)).astype(kind)
+                    rows.append((NULL_KEY if doc_id is None else doc_id, tie, len(ids), ids.itemsize, pa.compress(ids.tobytes(), codec="zstd", asbytes=True)))
                 yield as_batch(rows, ENCODED)
 
     def shards(batches):
         part, seq, local, keys, ids, held, width = TaskContext.get().partitionId(), 0, 0, [], [], 0, 2
         for whole in batches:
             for batch in slices(whole, 64):
-                for doc_id, _, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    data = zlib.decompress(packed)
+                for doc_id, _, n, width, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    data = pa.decompress(packed, n * width, codec="zstd", asbytes=True)
                     if keys and held + n > shard_ids:
                         yield as_batch([_shard(part, seq, local, keys, ids, width)], SHARDS)
                         seq, local, keys, ids, held = seq + 1, local + held, [], [], 0
-                    width = len(data) // n
                     keys.append(doc_id)
                     ids.append(data)
                     held += n

@@ -1,61 +1,120 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary, with pieces remembered.
 
 The vocabulary's pre-tokenizer never joins characters across a single space (or line feed) that stands between
-non-space characters. So such texts are cut there, each distinct piece is encoded by the tokenizers library once a
-task, and its ids are reused. Texts with any other white space are encoded whole. Both ways give the same ids.
+non-space characters, nor a run of letters with the punctuation after it. So such texts are cut there, each distinct
+piece is encoded by the tokenizers library once a task, and its ids are reused. Texts with any other white space are
+encoded whole. Both ways give the same ids.
 """
 
 from __future__ import annotations
 
-import re
+import struct
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: White space that isn't a lone space or line feed.
-_ODD = re.compile(r"\s\s|[^\S \n]")
-#: Pieces that a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 64
+#: Pieces that a process remembers, and the longest of them.
+REMEMBERED, LONGEST = 700_000, 64
+#: Punctuation that is cut off a word; an apostrophe isn't, as it can start a suffix.
+TAIL = ".,;:!?#$%&*|"
+#: How byte-level vocabularies write a space, and words that are encoded together.
+SPACE_MARK, TOGETHER = "\u0120", 64
+
+
+class _Irregular(Exception):
+    """A piece is empty or holds white space."""
 
 
 class _Pieces(dict):
-    def __init__(self, tokenizer: Tokenizer, before: str):
+    """Ids of a piece that follows a space, or of one that starts with a line feed."""
+
+    def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenizer, self.before = tokenizer, before
+        self.tokenizer = tokenizer
+        self.tails: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = _ids(self.tokenizer, self.before + piece) if self.before or piece else b""
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
+        body = piece[1:] if piece[:1] == "\n" else piece
+        if not body or body.split() != [body]:
+            raise _Irregular
+        word = body.rstrip(TAIL)
+        if word != body and word.isalpha():
+            tail = body[len(word) :]
+            ids = self[piece[: -len(tail)]] + self.tail(tail)
+        else:
+            ids = _ids(self.tokenizer, piece if body is not piece else " " + piece)
+        if len(piece) <= LONGEST and len(self) < REMEMBERED:
             self[piece] = ids
         return ids
 
+    def tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = _ids(self.tokenizer, tail)
+        return self.tails[tail]
+
 
 def _ids(tokenizer: Tokenizer, text: str) -> bytes:
-    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    ids = tokenizer.encode(text, add_special_tokens=False).ids
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
-    """encode(text): its ids as little-endian unsigned 32-bit integers. Null counts as empty."""
+    """Ids of texts as little-endian unsigned 32-bit integers. Null counts as empty."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first, self.later = _Pieces(self.tokenizer, ""), _Pieces(self.tokenizer, " ")
-        self.line = _ids(self.tokenizer, "\n")
+        self.pieces = _Pieces(self.tokenizer)
+        self.feed = _ids(self.tokenizer, "\n")
+        self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.starts[i] = token.startswith(SPACE_MARK)
 
     def encode(self, text: str | None) -> bytes:
-        if not isinstance(text, str) or not text:
-            return b""
-        if _ODD.search(text):
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        split = [t.replace("\n", " \n").split(" ") if t else None for t in texts]
+        new = self._learn(set().union(*[s[1:] for s in split if s]))
+        out = [self._joined(t, s) if s else b"" for t, s in zip(texts, split, strict=True)]
+        if len(self.pieces) > REMEMBERED:
+            for piece in new:
+                del self.pieces[piece]
+        return out
+
+    def _joined(self, text: str, split: list[str]) -> bytes:
+        try:
+            # The text's first piece stands as after a line feed, whose id is then taken off.
+            return self.pieces["\n" + split[0]][len(self.feed) :] + b"".join(map(self.pieces.__getitem__, split[1:]))
+        except _Irregular:
             return _ids(self.tokenizer, text)
-        later, out = self.later.__getitem__, []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            out.append(self.first[head] + b"".join(map(later, rest)))
-        return self.line.join(out)
+
+    def _learn(self, seen: set[str]) -> list[str]:
+        """Encode the new words among seen together, and remember them; the pieces that were added.
+
+        In a text of words, a word's first token and no other starts with a space, which tells the words' ids apart.
+        """
+        words, tailed = [], []
+        for piece in filterfalse(self.pieces.__contains__, seen):
+            word = piece if piece.isalpha() else piece.rstrip(TAIL)
+            if len(piece) > LONGEST or not word.isalpha():
+                continue  # by itself, when it is asked for
+            if word is not piece:
+                tailed.append((piece, word))
+                if word in self.pieces or word in seen:
+                    continue
+            words.append(word)
+        words = list(dict.fromkeys(words))
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            at, data = [*(np.flatnonzero(self.starts[ids]) * 4).tolist(), 4 * len(ids)], ids.tobytes()
+            self.pieces.update(zip(group, [data[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True))
+        for piece, word in tailed:
+            self.pieces[piece] = self.pieces[word] + self.pieces.tail(piece[len(word) :])
+        return [*words, *(p for p, _ in tailed)]
 
 
 @lru_cache(maxsize=4)
