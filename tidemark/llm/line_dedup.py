@@ -273,7 +273,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     gone = stored(gone.groupBy("row").agg(F.collect_set("place").alias("__gone")), "line-gone")
 
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = docs.select(*names).withColumn("__row", F.monotonically_increasing_id()).join(gone.withColumnRenamed("row", "__row"), "__row", "left")
+    out = docs.select(*names).withColumn("__row", F.monotonically_increasing_id()).join(gone.withColumnRenamed("row", "__row").hint("merge"), "__row", "left")
     split = F.split("text", "\n", -1)
     kept = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("__gone", i)), "\n"))
     out = out.select(*[c for c in names if c != "text"], F.size(split).alias("__all"), kept.alias("text"), F.coalesce(F.size("__gone"), F.lit(0)).alias("__n"))
