@@ -17,6 +17,7 @@ KEYWORDS = {"type", "required", "properties", "items", "minLength", "minItems",
 NOTES = {"$schema", "$id", "title", "description"}
 SHOWN = 5
 
+#: The two feeds' contracts.
 WEATHER_CONTRACT = {
     "type": "object",
     "required": ["dt", "name", "main", "weather", "wind", "clouds", "cod"],
