@@ -42,6 +42,7 @@ KEPT, STEPS = 3, 2
 #: Fragments of the global order, of about equal mass; their bounds lie on these cuts of the hash within a class.
 FRAGMENTS, CUTS = 4, 4
 
+
 def _sets(texts):
     for i, words in words_of(encoded(texts)):
         yield i, shingle_set(words)
@@ -95,8 +96,7 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
             add()
         return total
 
-    total = merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add)
-    return np.log2(1 + total.astype(np.float32)).astype(np.uint8)
+    return merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add, lambda total: np.log2(1 + total.astype(float)), np.uint8)
 
 
 def fragment_bounds(classes: np.ndarray) -> np.ndarray:
@@ -303,6 +303,8 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         nodes = stored(kinds, "ngram-nodes")
         if nodes.where("clash").isEmpty():
             break  # else two different sets have one number: another seed
+    else:
+        raise RuntimeError("sets keep sharing fingerprints")
     total = rows.agg(F.sum("n"), F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()
     shingles, postings = total[0] or 0, total[1] or 0
     bits = min(max((shingles // SHINGLES_PER_COUNTER).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])

@@ -29,14 +29,14 @@ def encoded_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFram
     """part, place (ids of the partition before it), doc_id, n, ids (unsigned 16- or 32-bit), stored in the shared folder."""
 
     def run(batches):
-        enc, part, place = encoder(vocabulary), TaskContext.get().partitionId(), 0
+        enc, part, place, end = encoder(vocabulary), TaskContext.get().partitionId(), 0, np.array([end_id], dtype="<u4").tobytes()
         kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for whole in batches:
             for batch in slices(whole, ROWS):
                 rows = []
                 doc_ids, texts = (c.to_pylist() for c in batch.columns)
                 for doc_id, data in zip(doc_ids, enc.encode_many(texts), strict=True):
-                    ids = np.append(np.frombuffer(data, dtype="<u4"), np.uint32(end_id))
+                    ids = np.frombuffer(data + end, dtype="<u4")
                     rows.append((part, place, doc_id, len(ids), ids.astype(kind).tobytes()))
                     place += len(ids)
                 yield as_batch(rows, ENCODED)

@@ -138,8 +138,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[l
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "quality", "text")
     rows = texts.mapInArrow(run, schema).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     order = np.random.default_rng(0).permutation(rows.num_rows)
-    found = rows.column("found").to_pylist()
-    return [np.array(found[i], dtype=np.int64) for i in order], np.array(rows.column("quality").to_pylist(), dtype=np.int64)[order]
+    found = rows.column("found").combine_chunks()
+    at, flat = found.offsets.to_numpy(), found.values.to_numpy()
+    return [flat[at[i] : at[i + 1]] for i in order], rows.column("quality").to_numpy().astype(np.int64)[order]
 
 
 def is_held_out() -> F.Column:

@@ -135,12 +135,13 @@ def encoded(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
-def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Callable) -> np.ndarray:
+def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Callable, finish: Callable = np.asarray, made=None) -> np.ndarray:
     """One array of fixed size from all of df: fill makes a task's own from its frames, combine (a ufunc) merges them.
 
-    size is a bound that doesn't depend on the data; slices of the array are merged apart, and only the result reaches the driver.
+    size is a bound that doesn't depend on the data; slices of the array are merged apart, and only the result reaches the
+    driver, after finish, which gives the type made (else dtype).
     """
-    step = min(size, 1 << 15)
+    step, made = min(size, 1 << 15), made or dtype
 
     def part(frames):
         own = fill(frames)
@@ -150,11 +151,11 @@ def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Calla
         total = np.zeros(step, dtype=dtype)
         for data in pdf["data"]:
             total = combine(total, np.frombuffer(zlib.decompress(data), dtype=dtype))
-        return pd.DataFrame({"slice": [key[0]], "data": [zlib.compress(total.tobytes(), 1)]})
+        return pd.DataFrame({"slice": [key[0]], "data": [zlib.compress(finish(total).astype(made).tobytes(), 1)]})
 
-    out = np.zeros(size, dtype=dtype)
+    out = np.zeros(size, dtype=made)
     for r in df.mapInPandas(part, "slice int, data binary").groupBy("slice").applyInPandas(merge, "slice int, data binary").toLocalIterator():
-        out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(r["data"])), dtype=dtype)
+        out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(r["data"])), dtype=made)
     return out
 
 

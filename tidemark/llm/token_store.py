@@ -113,14 +113,14 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     vocabulary = vocabulary or default_vocabulary()
 
     def encode(batches):
-        enc = encoder(vocabulary)
+        enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for whole in batches:
             for batch in slices(whole, 128):
                 rows = []
                 doc_ids, ties, texts = (c.to_pylist() for c in batch.columns)
                 for doc_id, tie, data in zip(doc_ids, ties, enc.encode_many(texts), strict=True):
-                    ids = np.append(np.frombuffer(data, dtype="<u4"), np.uint32(end_id)).astype(kind)
+                    ids = np.frombuffer(data + end, dtype="<u4").astype(kind)
                     rows.append((NULL_KEY if doc_id is None else doc_id, tie, len(ids), ids.itemsize, pa.compress(ids.tobytes(), codec="zstd", asbytes=True)))
                 yield as_batch(rows, ENCODED)
 

@@ -100,7 +100,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]
     known = labels.where("key IS NOT NULL AND bad IS NOT NULL").groupBy("key").agg(F.max("bad").alias("bad"))
     labelled = parsed.select(F.col("__host").alias("host"), F.col("__shape").alias("shape"), key.alias("key")).join(known, "key", "left").select("host", "shape", "bad")
     shapes = templates(labelled)
-    prior = shapes.agg((F.sum("bad") / F.sum("labelled")).alias("prior"))  # one row
+    prior = shapes.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("prior"))  # one row
     sums = shapes.groupBy("template").agg(F.sum("bad").alias("t_b"), F.sum("labelled").alias("t_l"))
     purity = (F.col("t_b") + F.coalesce("prior", F.lit(0.0)) * PRIOR) / (F.col("t_l") + PRIOR)
     judged = stored(shapes.join(sums.crossJoin(F.broadcast(prior)), "template").select(F.col("host").alias("h"), F.col("shape").alias("s"), "template", purity.alias("purity")), "url-verdicts")
