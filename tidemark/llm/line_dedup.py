@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.membership import maybe_in, member_bits
-from tidemark.llm.shared import PIECE, as_batch, mix, parallelism, powers, slices, stored
+from tidemark.llm.shared import PIECE, as_batch, bounded_batches, mix, parallelism, powers, slices, stored
 
 #: Postings that a block holds before it is handed on, and that a reducer group gets, about.
-BLOCK, RANGE = 1 << 20, 1 << 20
+BLOCK, RANGE = 1 << 19, 1 << 20
 LINES = "h long, g long, row long, doc_id long, place int"
 KEYS = "range int, keys binary, lines binary"
 VARIANTS = "range int, keys binary, places binary, lines binary, h long, g long, line string"
@@ -260,6 +260,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     all of whose lines go has an empty text. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     lines = stored(_line_table(docs, min_chars), "lines")
     when = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place")
     firsts = stored(lines.groupBy("h", "g").agg(F.min(when).alias("first")), "line-firsts")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.graph import connected_components
 from tidemark.llm.membership import maybe_in, member_bits
-from tidemark.llm.shared import as_batch, encoded, merged_array, mix, parallelism, shingle_set, slices, stored, words_of
+from tidemark.llm.shared import as_batch, bounded_batches, encoded, merged_array, mix, parallelism, shingle_set, slices, stored, words_of
 
 #: Longs of a signature; its bit k is the parity of the shingles that hash to k. A larger one is kept beside the rows.
 SIG, BIG = 8, 32
@@ -36,16 +36,19 @@ SIG, BIG = 8, 32
 SHINGLES_PER_COUNTER = 32
 SKETCH_BITS = (16, 22)
 #: Postings that one reducer group gets, about.
-POSTINGS_PER_RANGE = 1 << 20
+POSTINGS_PER_RANGE = 1 << 19
 #: Leaders that a node is held against in each star step, and further star steps before the rest is taken pair by pair.
 KEPT, STEPS = 3, 2
 #: Fragments of the global order, of about equal mass; their bounds lie on these cuts of the hash within a class.
 FRAGMENTS, CUTS = 4, 4
+#: Texts that are encoded at once.
+TEXTS = 256
 
 
 def _sets(texts):
-    for i, words in words_of(encoded(texts)):
-        yield i, shingle_set(words)
+    for at in range(0, len(texts), TEXTS):
+        for i, words in words_of(encoded(texts[at : at + TEXTS])):
+            yield at + i, shingle_set(words)
 
 
 def _signature(s: np.ndarray, longs: int) -> np.ndarray:
@@ -297,6 +300,7 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     no rows. docs is scanned several times: pass a stored table.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     for seed in range(8):
         rows = stored(measured(docs, seed), "ngram-rows")
         kinds = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), (F.min(F.struct("n", "check")) != F.max(F.struct("n", "check"))).alias("clash"), *[F.min(f"s{k}").alias(f"s{k}") for k in range(SIG)])

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import as_batch, slices, stored
+from tidemark.llm.shared import as_batch, bounded_batches, slices, stored
 from tidemark.llm.tokens import default_vocabulary, encoder
 
 ENCODED = "part int, place long, doc_id long, n long, ids binary"
@@ -52,6 +52,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = 1024, end
     null. The stream's order is that of the table's partitions. Columns other than doc_id and text are ignored. An
     empty table has no pieces. Very long documents are cut into as many pieces as they need.
     """
+    bounded_batches(docs.sparkSession)
     table = encoded_documents(docs, vocabulary or default_vocabulary(), end_id)
     totals = sorted(table.groupBy("part").agg(F.sum("n")).collect())  # one row a partition
     before = dict(zip([t[0] for t in totals], accumulate([0, *(t[1] for t in totals)]), strict=False))

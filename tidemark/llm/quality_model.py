@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import PIECE, as_batch, encoded, slices, word_hashes
+from tidemark.llm.shared import PIECE, as_batch, bounded_batches, encoded, slices, word_hashes
 
 BITS = 16
 #: A word that follows itself is a feature, at each of these shares of all neighbouring pairs.
@@ -155,6 +155,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, th
     are scored each; a null doc_id is scored like any other. An empty docs table gives no rows; without labels of both
     classes every score is the same. No column but text bears on a score.
     """
+    bounded_batches(docs.sparkSession)
     model = fit(*training_rows(docs, labels.where(~is_held_out()), per_class))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

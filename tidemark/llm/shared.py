@@ -18,7 +18,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes handled at once; longer texts are cut between words.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -34,6 +34,13 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most 1,024 rows, unless the session has set a number of its own: texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1024")
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 

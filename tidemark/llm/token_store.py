@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import as_batch, mix, parallelism, slices, stored
+from tidemark.llm.shared import as_batch, bounded_batches, mix, parallelism, slices, stored
 from tidemark.llm.tokens import default_vocabulary, encoder
 
 NULL_KEY = -(1 << 63)
@@ -111,6 +111,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     where they lie; only compressed ids are shuffled.
     """
     vocabulary = vocabulary or default_vocabulary()
+    bounded_batches(docs.sparkSession)
 
     def encode(batches):
         enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()

@@ -16,7 +16,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces that a process remembers, and the longest of them.
-REMEMBERED, LONGEST = 700_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Punctuation that is cut off a word; an apostrophe isn't, as it can start a suffix.
 TAIL = ".,;:!?#$%&*|"
 #: How byte-level vocabularies write a space, and words that are encoded together.
