@@ -84,9 +84,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataF
     groups = max(1, -(-total // ROW_BLOCK), min(parallelism(vectors.sparkSession), total // 256))
     asked = table.where(is_query)
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    spread = F.abs(F.xxhash64("vec_id", "v"))
-    rows = table.withColumn("cell", (spread % groups).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = asked.withColumn("block", (spread % blocks).cast("int")).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    spread = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int")
+    rows = table.withColumn("cell", spread(groups)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    queries = asked.withColumn("block", spread(blocks)).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
