@@ -84,3 +84,17 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "key string, bad boolean")
     assert url_filter(spark.createDataFrame([], "page_id long, url string"), none, RULES).count() == 0
     assert {r.verdict for r in url_filter(spark.createDataFrame([(1, "http://x/y"), (2, None)], "page_id long, url string"), none, RULES).collect()} == {"allow"}
+
+
+def verdicts(spark, pages, labels):
+    known = spark.createDataFrame(list(labels.items()), "key string, bad boolean")
+    return {r.page_id: r for r in url_filter(spark.createDataFrame(pages, "page_id long, url string"), known, []).collect()}
+
+
+@pytest.mark.parametrize("sections", [50, 51, 120])
+def test_any_number_of_sections_leaves_a_bad_one_blocked(spark, sections):
+    pages = [(i, f"http://h/{'casino' if i < 300 else 's' + ''.join(chr(97 + int(d)) for d in str(i % (sections - 1)))}/{i}") for i in range(300 + 6 * sections)]
+    got = verdicts(spark, pages, {str(i): i < 300 for i, _ in pages})
+    assert len({u.split("/")[3] for _, u in pages}) == sections
+    assert {got[i].template for i in range(300)} == {"h/casino/*"}
+    assert all(got[i].verdict == ("block" if i < 300 else "allow") for i, _ in pages)

@@ -1,9 +1,8 @@
 """URL filters: rules by host and path, and a tree of path templates that judges the rest.
 
 A path's segments are generalised within its host. A segment that looks variable (it has a digit, or is very long) becomes a
-wildcard at once. The rest is settled level by level, from the host down: a node with too many different children, a child
-with few pages, and a child whose share of bad labels doesn't differ from its siblings' (a two-proportion test) become the
-wildcard, which merges their branches. What is left are the host's templates. A template is blocked if its purity, the
+wildcard at once. The rest is settled level by level, from the host down: a child with few pages, and a child whose share of
+bad labels doesn't differ from its siblings' (a two-proportion test) become the wildcard, which merges their branches. What is left are the host's templates. A template is blocked if its purity, the
 share of bad among its labelled pages, smoothed towards the share over all, reaches a limit.
 
 The tree is built on the distinct shapes of paths with their counts, which partial aggregation makes from the pages; the
@@ -21,8 +20,10 @@ from tidemark.llm.shared import stored
 
 #: Segments of a path that the tree tells apart; what lies deeper folds into one wildcard.
 DEPTH = 4
-#: Children that a node may have, pages that a child needs, and the square of the test's bound (95 %).
-MAX_CHILDREN, MIN_PAGES, DIFFERENT = 50, 5, 3.84
+#: Pages that a child needs, and the square of the test's bound (95 %).
+MIN_PAGES, DIFFERENT = 5, 3.84
+#: Children beyond which all of a node's become the wildcard; None, as their number grows with the table and says nothing of them.
+MAX_CHILDREN: int | None = None
 #: Labelled pages that the prior counts for, and the purity that blocks.
 PRIOR, LIMIT = 5.0, 0.5
 LONG_SEGMENT = 40
@@ -79,7 +80,9 @@ def templates(pages: DataFrame) -> DataFrame:
         gap = (F.col("c_b") * rest_l - rest_b * F.col("c_l")).cast("double")
         spread = F.col("p_b").cast("double") * (F.col("p_l") - F.col("p_b")) * F.col("c_l") * rest_l
         different = F.when(spread > 0, gap * gap * F.col("p_l") >= spread * DIFFERENT).otherwise(False)
-        stays = children.join(parents, "template").where((F.col("kinds") <= MAX_CHILDREN) & (F.col("c_n") >= MIN_PAGES) & different)
+        stays = children.join(parents, "template").where((F.col("c_n") >= MIN_PAGES) & different)
+        if MAX_CHILDREN is not None:
+            stays = stays.where(F.col("kinds") <= MAX_CHILDREN)
         stays = stays.select("template", "seg", F.lit(True).alias("stays"))
         name = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", F.when(F.col("stays") | (F.col("seg") == "**"), F.col("seg")).otherwise("*")))
         tree = stored(here.join(stays, ["template", "seg"], "left").select("host", "shape", "n", "labelled", "bad", name.alias("template")), "url-shapes")
