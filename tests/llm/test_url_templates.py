@@ -98,3 +98,18 @@ def test_any_number_of_sections_leaves_a_bad_one_blocked(spark, sections):
     assert len({u.split("/")[3] for _, u in pages}) == sections
     assert {got[i].template for i in range(300)} == {"h/casino/*"}
     assert all(got[i].verdict == ("block" if i < 300 else "allow") for i, _ in pages)
+
+
+@pytest.mark.parametrize("above", ["", "2024/05/12/news", "2024/05/12/news/x/y/7/8"])
+def test_sections_are_told_apart_at_any_depth(spark, above):
+    pages = [(i, f"http://h/{above}/{'casino' if i % 2 else 'science'}/{i}/{i}/{i}") for i in range(200)]
+    got = verdicts(spark, pages, {str(i): bool(i % 2) for i, _ in pages})
+    assert all(r.verdict == ("block" if i % 2 else "allow") for i, r in got.items())
+    start = "h" + "/*" * len([s for s in above.split("/") if s])
+    assert {r.template for r in got.values()} == {f"{start}/{s}/{'**' if above else '*/*/*'}" for s in ("casino", "science")}
+
+
+def test_deep_wildcards_fold_whatever_their_number(spark):
+    pages = [(i, "http://h/1/2/3/4" + f"/{i}" * (i % 40)) for i in range(80)] + [(99, "http://h/" + "a/" * 900 + "99")]
+    got = verdicts(spark, pages, {"5": True})
+    assert {r.template for r in got.values()} == {"h/*/*/*/*", "h/*/*/*/*/**"}

@@ -3,7 +3,8 @@
 A path's segments are generalised within its host. A segment that looks variable (it has a digit, or is very long) becomes a
 wildcard at once. The rest is settled level by level, from the host down: a child with few pages, and a child whose share of
 bad labels doesn't differ from its siblings' (a two-proportion test) become the wildcard, which merges their branches. What is left are the host's templates. A template is blocked if its purity, the
-share of bad among its labelled pages, smoothed towards the share over all, reaches a limit.
+share of bad among its labelled pages, smoothed towards the share over all, reaches a limit. Paths count to their last
+segment; wildcards that end a template after its first DEPTH segments are written "**", whatever their number.
 
 The tree is built on the distinct shapes of paths with their counts, which partial aggregation makes from the pages; the
 pages themselves are joined once, with the shapes' verdicts. All steps are native expressions.
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import stored
 
-#: Segments of a path that the tree tells apart; what lies deeper folds into one wildcard.
+#: Segments after which a template's last wildcards fold into one.
 DEPTH = 4
 #: Pages that a child needs, and the square of the test's bound (95 %).
 MIN_PAGES, DIFFERENT = 5, 3.84
@@ -58,21 +59,35 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column
     return reduce(lambda c, x: c.when(*x), made[1:], F.when(*made[0]))
 
 
+def segments_of(path: Column) -> Column:
+    """All segments, variable ones as "*". Empty segments are left out."""
+    segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
+    return F.transform(segments, lambda s: F.when(s.rlike("[0-9]") | (F.length(s) > LONG_SEGMENT) | (s == "**"), F.lit("*")).otherwise(s))
+
+
 def shape_of(path: Column) -> Column:
     """The first DEPTH segments, variable ones as "*", and "**" for what lies deeper. Empty segments are left out."""
-    segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    kept = F.transform(F.slice(segments, 1, DEPTH), lambda s: F.when(s.rlike("[0-9]") | (F.length(s) > LONG_SEGMENT) | (s == "**"), F.lit("*")).otherwise(s))
+    segments = segments_of(path)
+    kept = F.slice(segments, 1, DEPTH)
     return F.concat(kept, F.when(F.size(segments) > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>")))
 
 
+def _levels(tree: DataFrame) -> list[int]:
+    """The levels that can have a child that stays: one with enough pages, some of them labelled, in its host. No other level needs a step."""
+    segments = tree.select("host", "n", "labelled", F.posexplode("shape").alias("level", "seg")).where("seg NOT IN ('*', '**')")
+    children = segments.groupBy("host", "level", "seg").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"))
+    return sorted(r["level"] for r in children.where((F.col("n") >= MIN_PAGES) & (F.col("labelled") > 0)).select("level").distinct().collect())
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """host, shape, template, labelled, bad: the template of each shape, from pages of host, shape, bad (boolean or null)."""
     counts = pages.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.sum(F.when(F.col("bad"), 1).otherwise(0)).alias("bad"))
-    tree = stored(counts.withColumn("template", F.col("host")), "url-shapes")
-    deepest = tree.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(deepest):  # at most DEPTH + 1
-        seg = F.get("shape", F.lit(level))
-        here = tree.withColumn("seg", seg)
+    # template has a segment for each level so far; fixed is how many of them come before its last wildcards.
+    tree = stored(counts.withColumn("template", F.col("host")).withColumn("fixed", F.lit(0)), "url-shapes")
+    done = 0
+    for level in _levels(tree):
+        skipped = F.greatest(F.least(F.size("shape"), F.lit(level)) - done, F.lit(0))
+        here = tree.withColumn("template", F.concat("template", F.repeat(F.lit("/*"), skipped))).withColumn("seg", F.get("shape", F.lit(level)))
         fixed = here.where("seg IS NOT NULL AND seg NOT IN ('*', '**')")
         children = fixed.groupBy("template", "seg").agg(F.sum("n").alias("c_n"), F.sum("labelled").alias("c_l"), F.sum("bad").alias("c_b"))
         parents = children.groupBy("template").agg(F.count("*").alias("kinds"), F.sum("c_l").alias("p_l"), F.sum("c_b").alias("p_b"))
@@ -84,9 +99,14 @@ def templates(pages: DataFrame) -> DataFrame:
         if MAX_CHILDREN is not None:
             stays = stays.where(F.col("kinds") <= MAX_CHILDREN)
         stays = stays.select("template", "seg", F.lit(True).alias("stays"))
-        name = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", F.when(F.col("stays") | (F.col("seg") == "**"), F.col("seg")).otherwise("*")))
-        tree = stored(here.join(stays, ["template", "seg"], "left").select("host", "shape", "n", "labelled", "bad", name.alias("template")), "url-shapes")
-    return tree.select("host", "shape", "template", "labelled", "bad")
+        name = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", F.when(F.col("stays"), F.col("seg")).otherwise("*")))
+        last = F.when(F.col("stays"), level + 1).otherwise(F.col("fixed"))
+        tree = stored(here.join(stays, ["template", "seg"], "left").select("host", "shape", "n", "labelled", "bad", name.alias("template"), last.alias("fixed")), "url-shapes")
+        done = level + 1
+    size, kept = F.size("shape"), F.greatest("fixed", F.lit(DEPTH))
+    whole = F.concat("template", F.repeat(F.lit("/*"), F.greatest(size - done, F.lit(0))))
+    folded = F.when(size > kept, F.concat(F.left(whole, F.length(whole) - 2 * (size - kept)), F.lit("/**"))).otherwise(whole)
+    return tree.select("host", "shape", folded.alias("template"), "labelled", "bad")
 
 
 def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -99,7 +119,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     key = F.nullif(F.regexp_extract(F.col("__path"), r"([0-9]+)[^0-9]*$", 1), F.lit(""))
-    parsed = pages.select(*keep, host.alias("__host"), path.alias("__path")).withColumn("__shape", shape_of(F.col("__path")))
+    parsed = pages.select(*keep, host.alias("__host"), path.alias("__path")).withColumn("__shape", segments_of(F.col("__path")))
     known = labels.where("key IS NOT NULL AND bad IS NOT NULL").groupBy("key").agg(F.max("bad").alias("bad"))
     labelled = parsed.select(F.col("__host").alias("host"), F.col("__shape").alias("shape"), key.alias("key")).join(known, "key", "left").select("host", "shape", "bad")
     shapes = templates(labelled)
