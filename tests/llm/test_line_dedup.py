@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from tidemark.llm import line_dedup as L
 from tidemark.llm.line_dedup import Lines, line_dedup
 from tidemark.llm.shared import mix
 
@@ -66,6 +67,24 @@ def test_repeated_rows_and_null_keys(make_docs):
     assert line_dedup(make_docs([])).count() == 0
 
 
+def test_rows_keep_their_numbers_when_scans_are_split_anew(spark, make_docs, words, monkeypatch):
+    rng = random.Random(3)
+    base = [" ".join(rng.choices(words, k=9)) for _ in range(30)]
+    rows = [(i, "\n".join([base[i % 30], " ".join(rng.choices(words, k=9))] if i % 3 else [base[i % 30]])) for i in range(90)]
+    docs, suspects, key = make_docs(rows, files=6), L._suspects, "spark.sql.files.maxPartitionBytes"
+
+    def split_anew(*args):
+        spark.conf.set(key, "600b")
+        return suspects(*args)
+
+    monkeypatch.setattr(L, "_suspects", split_anew)
+    try:
+        got = line_dedup(docs)
+        assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) == brute(rows, 20)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_variant_hashes_are_those_of_the_texts(words):
     texts = ["\n".join(words[i : i + 7]) + "\n  x" + words[i] + "  " for i in range(0, 60, 7)]
     lines = Lines(texts, 3)

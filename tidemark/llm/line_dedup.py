@@ -116,7 +116,12 @@ def _split_by_range(keys: np.ndarray, ranges: int):
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """docs with a number __row for each row, written once: a number made in a scan can change with how that scan is split."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _line_table(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -125,7 +130,7 @@ def _line_table(docs: DataFrame, min_chars: int) -> DataFrame:
             h, g = (x.view(np.int64).tolist() for x in lines.hashes())
             yield as_batch([(x, y, rows[o], ids[o], p) for x, y, o, p in zip(h, g, lines.owner.tolist(), lines.place.tolist(), strict=True)], LINES)
 
-    return _numbered(docs).mapInArrow(run, LINES)
+    return _texts(docs).mapInArrow(run, LINES)
 
 
 def _suspects(docs: DataFrame, min_chars: int, ranges: int) -> DataFrame:
@@ -172,7 +177,7 @@ def _suspects(docs: DataFrame, min_chars: int, ranges: int) -> DataFrame:
         mixed[group[1:][other]] = True
         return pd.DataFrame({"h": np.unique(o[mixed[group]]).view(np.int64)})
 
-    return _numbered(docs).mapInArrow(post, KEYS).groupBy("range").applyInPandas(meet, "h long").distinct()
+    return _texts(docs).mapInArrow(post, KEYS).groupBy("range").applyInPandas(meet, "h long").distinct()
 
 
 def _variants(docs: DataFrame, suspects: DataFrame, min_chars: int, ranges: int) -> DataFrame:
@@ -210,7 +215,7 @@ def _variants(docs: DataFrame, suspects: DataFrame, min_chars: int, ranges: int)
         if held:
             yield flush()
 
-    return _numbered(docs).mapInArrow(run, VARIANTS)
+    return _texts(docs).mapInArrow(run, VARIANTS)
 
 
 def _meetings(blocks: DataFrame) -> DataFrame:
@@ -255,12 +260,14 @@ def line_dedup(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     """docs with repeated and nearly repeated lines taken out of text, and the columns n_lines and n_removed.
 
     docs (doc_id, text, any others; n_lines and n_removed are replaced, n_chars is set to the new text's length where it
-    is there) must be a stored table, so that every scan numbers its rows alike. Order of lines: doc_id (nulls last), row,
-    place. Null texts stay null, empty texts empty (one line); rows that repeat a document lose their long lines; a document
-    all of whose lines go has an empty text. An empty table gives no rows.
+    is there) is read once, and written with a number for each row. Order of lines: doc_id (nulls last), row, place. Null
+    texts stay null, empty texts empty (one line); rows that repeat a document lose their long lines; a document all of
+    whose lines go has an empty text. An empty table gives no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    docs = _numbered(docs.select(*names))
     lines = stored(_line_table(docs, min_chars), "lines")
     when = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place")
     firsts = stored(lines.groupBy("h", "g").agg(F.min(when).alias("first")), "line-firsts")
@@ -273,8 +280,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     gone = judged.where(F.col("near") | (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
     gone = stored(gone.groupBy("row").agg(F.collect_set("place").alias("__gone")), "line-gone")
 
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = docs.select(*names).withColumn("__row", F.monotonically_increasing_id()).join(gone.withColumnRenamed("row", "__row").hint("merge"), "__row", "left")
+    out = docs.join(gone.withColumnRenamed("row", "__row").hint("merge"), "__row", "left")
     split = F.split("text", "\n", -1)
     kept = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("__gone", i)), "\n"))
     out = out.select(*[c for c in names if c != "text"], F.size(split).alias("__all"), kept.alias("text"), F.coalesce(F.size("__gone"), F.lit(0)).alias("__n"))
