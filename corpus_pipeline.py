@@ -16,7 +16,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import quality_scores
-from tidemark.llm.shared import scratch_dir
+from tidemark.llm.shared import scratch_dir, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -34,9 +34,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the one with the smallest doc_id."""
-    groups = ngram_groups(docs, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of linked rows: the one with the smallest doc_id (nulls last), of those the first row.
+
+    Rows count apart whatever their doc_id; a row without shingles links with nothing and stays.
+    """
+    docs = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_groups(docs, percent=80, row="row").withColumn("alone", F.when(F.col("component").isNull(), F.col("row")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"]
+    return docs.join(groups.groupBy("component", "alone").agg(first.alias("row")).select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,16 @@ def test_each_stage_does_its_work(spark, corpus):
     assert sorted(map(tuple, full)) == want and {r.doc_id: r.n for r in cut} == totals
 
 
+def test_near_duplicates_keep_one_row_of_each_group(spark, make_docs, words, tmp_path):
+    one, two, three, four = (" ".join(words[k : k + 50]) for k in (0, 60, 120, 180))
+    # Repeated ids and texts; copies without an id; a clean text that shares the id of a copy; groups with one smallest id.
+    rows = [(1, one), (1, one), (1, one), (None, one), (None, two), (None, two), (7, three), (9, three), (9, four), (7, "a b"), (3, None), (3, ""), (None, "")]
+    want = [(1, one), (None, two), (7, three), (9, four), (7, "a b"), (3, None), (3, ""), (None, "")]
+    got = P.near_duplicates(spark, make_docs(rows), str(tmp_path))
+    assert got.columns == P.COLUMNS
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     out = P.run(spark, corpus)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

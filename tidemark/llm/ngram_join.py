@@ -61,21 +61,22 @@ def _node(s: np.ndarray, seed: int) -> int:
     return int(mix(s + np.uint64(seed)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
 
 
-def measured(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, n, node, check, big and s0..s7 of every document: a second fingerprint and the signatures."""
-    schema = "doc_id long, n long, node long, check long, big array<long>, " + ", ".join(f"s{k} long" for k in range(SIG))
+def measured(docs: DataFrame, seed: int = 0, row: str | None = None) -> DataFrame:
+    """doc_id, row (null unless named), n, node, check, big and s0..s7 of every document: a second fingerprint and the signatures."""
+    schema = "doc_id long, row long, n long, node long, check long, big array<long>, " + ", ".join(f"s{k} long" for k in range(SIG))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, 1024):
-                rows = [(i, 0, 0, 0, None, *[0] * SIG) for i in batch.column("doc_id").to_pylist()]
+                rows = [(i, k, 0, 0, 0, None, *[0] * SIG) for i, k in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), strict=True)]
                 for i, s in _sets(batch.column("text").to_pylist()):
                     if len(s):
                         check = np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-                        rows[i] = (rows[i][0], len(s), _node(s, seed), int(check), _signature(s, BIG), *_signature(s, SIG).tolist())
+                        rows[i] = (*rows[i][:2], len(s), _node(s, seed), int(check), _signature(s, BIG), *_signature(s, SIG).tolist())
                 yield as_batch(rows, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    number = F.col(row) if row else F.lit(None)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.cast("long").alias("row"), "text").mapInArrow(run, schema)
 
 
 def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
@@ -290,19 +291,21 @@ def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> Da
     return both.where(differ * (100 + percent) <= total * (100 - percent)).select("a", "b", "n_a", "n_b", (differ / total).alias("gap"))
 
 
-def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
+def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every row of docs (doc_id, text; other columns are ignored).
 
     component_id is the smallest doc_id that links reach, the row's own included; n_links counts the verified links of
     the row's class (links between members of one component that no step had to decide are not counted).
     Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id are separate rows; rows with a
     null doc_id take part, and component_id is null only where the whole component has no doc_id. An empty table gives
-    no rows. docs is scanned several times: pass a stored table.
+    no rows. docs is scanned several times: pass a stored table. With row, a column of docs that numbers its rows, the
+    result has this number as row too, and component, which unlike component_id differs between any two components
+    (null where there are no shingles).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     for seed in range(8):
-        rows = stored(measured(docs, seed), "ngram-rows")
+        rows = stored(measured(docs, seed, row), "ngram-rows")
         kinds = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), (F.min(F.struct("n", "check")) != F.max(F.struct("n", "check"))).alias("clash"), *[F.min(f"s{k}").alias(f"s{k}") for k in range(SIG)])
         nodes = stored(kinds, "ngram-nodes")
         if nodes.where("clash").isEmpty():
@@ -353,6 +356,7 @@ def ngram_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     classed = nodes.join(comps, "node", "left").join(degree, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     lowest = classed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    labels = stored(classed.join(lowest, "component").select("node", "component_id", "n_links"), "ngram-labels")
+    labels = stored(classed.join(lowest, "component").select("node", "component", "component_id", "n_links"), "ngram-labels")
     out = rows.join(labels, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
+    own = ["row", F.when(F.col("n") > 0, F.col("component")).alias("component")] if row else []
+    return out.select("doc_id", *own, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
