@@ -69,3 +69,18 @@ def test_extra_columns_and_an_empty_table(make_docs):
     docs = make_docs([(1, "a b c d e f"), (2, "A b c d e f")]).selectExpr("*", "1 AS node", "2 AS n", "'x' AS component_id")
     assert got(ngram_groups(docs)) == [(1, 2, 1), (2, 2, 1)]
     assert ngram_groups(make_docs([])).count() == 0
+
+
+def test_links_are_counted_whole(make_docs, words, odd_texts):
+    rng = random.Random(5)
+    texts = [*odd_texts, *near_copies(rng, words, 60, 70, 5), *(" ".join(rng.choices(words, k=30)) for _ in range(20))]
+    texts += [texts[-1].upper()] * 3 + [texts[-30]] * 2
+    sets = []
+    for t in texts:
+        w = [x.lower() for x in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    want = [sum(i != j and 10 * len(s & o) >= 8 * len(s | o) > 0 for j, o in enumerate(sets)) for i, s in enumerate(sets)]
+    docs = make_docs(list(enumerate(texts)))
+    counted = sorted((r.doc_id, r.n_links) for r in ngram_groups(docs, links=True).collect())
+    assert counted == list(enumerate(want)) and max(want) > 10
+    assert "n_links" not in ngram_groups(docs).columns

@@ -291,12 +291,24 @@ def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> Da
     return both.where(differ * (100 + percent) <= total * (100 - percent)).select("a", "b", "n_a", "n_b", (differ / total).alias("gap"))
 
 
-def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every row of docs (doc_id, text; other columns are ignored).
-
-    component_id is the smallest doc_id that links reach, the row's own included; n_links counts the verified links of
-    the row's class (links between members of one component that no step had to decide are not counted).
-    Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id are separate rows; rows with a
+def _degrees(docs: DataFrame, rows: DataFrame, nodes: DataFrame, buckets: DataFrame, classes, seed: int, percent: int) -> DataFrame:
+    """(node, n_links) of every node: all pairs that meet in a bucket, but for those that exact bounds rule out, are counted out."""
+    both = buckets.select("tok", F.col("node").alias("a")).join(buckets.select("tok", F.col("node").alias("b")), "tok").where("a < b")
+    pairs = stored(_likely(both.select("a", "b").distinct(), nodes, percent), "ngram-all")
+    segments = stored(_segments(docs, stored(_ends(pairs), "ngram-wanted"), classes, seed), "ngram-segments")
+    links = stored(_linked(pairs, segments, percent), "ngram-links")
+    size = rows.where("n > 0").groupBy("node").agg(F.count("*").alias("copies"))
+    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(size.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    return size.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+
+
+def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None, links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, and if links is set n_links, of every row of docs (doc_id, text; other columns are ignored).
+
+    component_id is the smallest doc_id that links reach, the row's own included; n_links is the number of other
+    rows that the row links with, copies included. It takes every pair of different sets that share a rare shingle, which
+    grows with the square of a group of near copies; the groups alone don't need that. Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id are separate rows; rows with a
     null doc_id take part, and component_id is null only where the whole component has no doc_id. An empty table gives
     no rows. docs is scanned several times: pass a stored table. With row, a column of docs that numbers its rows, the
     result has this number as row too, and component, which unlike component_id differs between any two components
@@ -324,8 +336,8 @@ def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None) ->
     wanted = stored(_ends(likely), "ngram-wanted")
     segments = stored(_segments(docs, wanted, classes, seed), "ngram-segments")
     tried = stored(_closest(likely, KEPT), "ngram-tried")
-    links = stored(_linked(tried, segments, percent), "ngram-links")
-    comps = connected_components(links, "ngram-components")
+    found = stored(_linked(tried, segments, percent), "ngram-links")
+    comps = connected_components(found, "ngram-components")
     for step in range(STEPS):
         again = _next_stars(_mixed(buckets, comps), step).join(wanted.withColumnRenamed("node", "a"), "a", "left_semi").join(wanted.withColumnRenamed("node", "b"), "b", "left_semi")
         now = stored(_closest(_likely(again.join(tried, ["a", "b"], "left_anti"), nodes, percent), KEPT), "ngram-tried")
@@ -333,7 +345,6 @@ def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None) ->
         tried = tried.union(now)
         if more.isEmpty():
             break
-        links = links.union(more)
         comps = connected_components(_contracted(more, comps), "ngram-components")
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     members = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
@@ -350,13 +361,15 @@ def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None) ->
                 ends = rest.join(comp.toDF("a", "comp_a"), "a", "left").join(comp.toDF("b", "comp_b"), "b", "left")
                 pairs = ends.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b", "n_a", "n_b")
             more = stored(_linked(stored(pairs, "ngram-rest"), segments, percent), "ngram-links")
-            links = links.union(more).distinct()
             comps = connected_components(_contracted(more, comps), "ngram-components")
 
-    degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    classed = nodes.join(comps, "node", "left").join(degree, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classed = nodes.join(comps, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     lowest = classed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    labels = stored(classed.join(lowest, "component").select("node", "component", "component_id", "n_links"), "ngram-labels")
+    labels = classed.join(lowest, "component").select("node", "component", "component_id")
+    if links:
+        labels = labels.join(_degrees(docs, rows, nodes, buckets, classes, seed, percent), "node")
+    labels = stored(labels, "ngram-labels")
     out = rows.join(labels, "node", "left")
     own = ["row", F.when(F.col("n") > 0, F.col("component")).alias("component")] if row else []
-    return out.select("doc_id", *own, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
+    counted = [F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links")] if links else []
+    return out.select("doc_id", *own, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *counted)
