@@ -71,3 +71,12 @@ def test_descent_reaches_the_optimum(seed):
         grad[r] -= 2 * share[label] * e * s * v
     assert np.abs(grad).max() < 1e-3
     assert log_count_ratios(rows, y)[:50].std() > 0 and fit(rows, y).slope > 0
+
+
+def test_repeated_rows_of_a_pick_count_once(spark, make_docs):
+    from tidemark.llm.quality_model import training_rows
+
+    docs = make_docs([(1, "a good text")] * 40 + [(2, "a bad text"), (3, "another text")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    rows, y = training_rows(docs, labels, 10)
+    assert len(rows) == 3 and sorted(y.tolist()) == [0, 0, 1]

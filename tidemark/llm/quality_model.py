@@ -136,7 +136,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[l
                 yield as_batch([(i, q, features(t, seen).astype(np.int32)) for i, q, t in zip(ids, y, encoded(texts), strict=True)], schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "quality", "text")
-    rows = texts.mapInArrow(run, schema).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+    # One row for each pick, however many rows repeat its doc_id.
+    one = texts.mapInArrow(run, schema).groupBy("doc_id", "quality").agg(F.min("found").alias("found"))
+    rows = one.toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     order = np.random.default_rng(0).permutation(rows.num_rows)
     found = rows.column("found").combine_chunks()
     at, flat = found.offsets.to_numpy(), found.values.to_numpy()
