@@ -2,35 +2,68 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import Scratch
 
+#: Nodes that a task holds at once.
+HELD = 1 << 19
 
-def connected_components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+
+def connected_components(edges: DataFrame, work: Scratch, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a long, b long); component is the smallest node reachable.
 
-    Alternates large-star and small-star steps (Kiveris et al., 2014). Each round is stored in the shared folder;
-    the driver sees two numbers a round. Nulls and loops are ignored; an empty table gives an empty result.
+    Each task first turns its own edges into trees of depth one; large-star and small-star steps (Kiveris et al., 2014)
+    then join those of all tasks. Each round is a table of work; the driver learns whether it was the last.
+    Nulls and loops are ignored; an empty table gives an empty result.
     """
-    e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    mark = _mark(e)
+    e = work.stored(_own_trees(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))).distinct(), "components")
     for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
-        e = stored(_small_star(_large_star(e)), name)
-        before, mark = mark, _mark(e)
-        if before == mark:
+        if _settled(e):
             break
+        e = work.stored(_small_star(_large_star(e)), "components")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     own = e.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own.distinct())
+    return work.stored(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own.distinct()), "components")
+
+
+def _own_trees(e: DataFrame) -> DataFrame:
+    """Edges that join the same nodes as a task's own, each from a node to the smallest that the task knows it to reach."""
+
+    def run(frames):
+        up: dict[int, int] = {}
+
+        def top(x):
+            path = []
+            while x in up:
+                path.append(x)
+                x = up[x]
+            up.update((y, x) for y in path)
+            return x
+
+        def trees():
+            return pd.DataFrame([(x, top(x)) for x in list(up)], columns=["u", "v"]).astype("int64")
+
+        for pdf in frames:
+            for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True):
+                a, b = top(u), top(v)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                if len(up) >= HELD:
+                    yield trees()
+                    up.clear()
+        yield trees()
+
+    return e.mapInPandas(run, "u long, v long")
 
 
-def _mark(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(e: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    ends = e.select(F.col("u").alias("x"), "v").union(e.select(F.col("v").alias("x"), F.lit(None).cast("long").alias("v")))
+    return ends.groupBy("x").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count_if(F.col("v").isNull()).alias("ends")).where("low <> high OR low IS NOT NULL AND ends > 0").isEmpty()
 
 
 def _large_star(e: DataFrame) -> DataFrame:

@@ -4,19 +4,21 @@ A document is the set of its distinct word shingles. All shingles have one globa
 ones first. The work, at no point more than a few rows a document or one posting for a fifth of its shingles:
 
 1. *Sets and the order.* One pass gives every document's set size, a 128-bit fingerprint, a 512-bit parity signature, and
-   adds its shingles to a count sketch of fixed size (at most 2**22 counters, 16 MB: the only thing that is broadcast).
+   adds its shingles to a count sketch of fixed size (at most 2**22 counters, of which a byte each is broadcast).
    The counts need not be exact: any order that all documents share is valid.
 2. *Classes.* Documents with the same set are one class, a node; a fingerprint numbers it (clashes are found, and reseeded).
 3. *Candidates.* Two sets that link share one of their first n - ceil(0.8 n) + 1 shingles in the global order. Those are
-   posted, packed into blocks by hash range; a shingle that one node posts is dropped in the reducer. In each
-   remaining bucket every member is paired with the smallest one (a star, not all pairs), and goes on with the leaders
-   with which it shares the most buckets, of those the ones that seem closest by exact bounds on sizes and signatures.
+   posted, packed into blocks by hash range. A shingle that several nodes of a task post goes on with one of them, so
+   that a hot one reaches its reducer once a block; one that a single node posts is dropped there. In each remaining
+   bucket every member is paired with the smallest one and with one other, in an order that the shingle sets (a star
+   and a ring, not all pairs). It goes on with the partners with which it shares the most buckets, of those the ones
+   that seem closest by exact bounds on sizes and signatures.
 4. *Fragments.* The global order is cut into fragments. For each candidate pair the overlap is counted within each
-   fragment separately and summed per pair. Links give components. Further steps pair members outside a bucket's largest
-   component with other members of it.
+   fragment separately and summed per pair. Links give components.
 5. *The rest.* A bucket whose members are then in one component needs nothing more. In a mixed bucket, the members
    outside its largest component are held against the members of other components, with bounds on sizes and on
-   larger signatures, and the same fragment counts. So every pair that could join two components is decided exactly.
+   larger signatures, and the same fragment counts, the closest first. So every pair that could join two components is
+   decided exactly.
 """
 
 from __future__ import annotations
@@ -28,17 +30,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.graph import connected_components
 from tidemark.llm.membership import maybe_in, member_bits
-from tidemark.llm.shared import as_batch, bounded_batches, encoded, merged_array, mix, parallelism, shingle_set, slices, stored, words_of
+from tidemark.llm.shared import Scratch, array_slices, as_batch, bounded_batches, encoded, merged_slices, mix, parallelism, shingle_set, slices, words_of
 
 #: Longs of a signature; its bit k is the parity of the shingles that hash to k. A larger one is kept beside the rows.
 SIG, BIG = 8, 32
-#: The sketch has a counter for about this many shingles, within SKETCH_BITS.
-SHINGLES_PER_COUNTER = 32
+#: The sketch has a counter for about this many characters, within SKETCH_BITS.
+CHARACTERS_PER_COUNTER = 192
 SKETCH_BITS = (16, 22)
 #: Postings that one reducer group gets, about.
 POSTINGS_PER_RANGE = 1 << 19
-#: Leaders that a node is held against in each star step, and further star steps before the rest is taken pair by pair.
-KEPT, STEPS = 3, 2
+#: Partners that a node is held against before the rest is taken pair by pair, and rings that the shingles lay through a bucket.
+KEPT, RINGS = 4, 3
 #: Fragments of the global order, of about equal mass; their bounds lie on these cuts of the hash within a class.
 FRAGMENTS, CUTS = 4, 4
 #: Texts that are encoded at once.
@@ -61,46 +63,44 @@ def _node(s: np.ndarray, seed: int) -> int:
     return int(mix(s + np.uint64(seed)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
 
 
-def measured(docs: DataFrame, seed: int = 0, row: str | None = None) -> DataFrame:
-    """doc_id, row (null unless named), n, node, check, big and s0..s7 of every document: a second fingerprint and the signatures."""
-    schema = "doc_id long, row long, n long, node long, check long, big array<long>, " + ", ".join(f"s{k} long" for k in range(SIG))
+def measured(docs: DataFrame, bits: int, seed: int = 0, row: tuple[str, str] | None = None) -> DataFrame:
+    """doc_id, file and row (null unless named), n, node, check, big and s0..s7 of every document: a second fingerprint and the
+    signatures. Besides, rows of slice and data (null in the others): each task's counters of the sketch, 2**bits."""
+    schema = "doc_id long, file long, row long, n long, node long, check long, big array<long>, " + ", ".join(f"s{k} long" for k in range(SIG)) + ", slice int, data binary"
 
     def run(batches):
-        for whole in batches:
-            for batch in slices(whole, 1024):
-                rows = [(i, k, 0, 0, 0, None, *[0] * SIG) for i, k in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), strict=True)]
-                for i, s in _sets(batch.column("text").to_pylist()):
-                    if len(s):
-                        check = np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-                        rows[i] = (*rows[i][:2], len(s), _node(s, seed), int(check), _signature(s, BIG), *_signature(s, SIG).tolist())
-                yield as_batch(rows, schema)
-
-    number = F.col(row) if row else F.lit(None)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.cast("long").alias("row"), "text").mapInArrow(run, schema)
-
-
-def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
-    """log2 of the count of every counter of the sketch, over all documents; 2**bits bytes."""
-
-    def count(frames):
         total, held, size = np.zeros(1 << bits, dtype=np.uint64), [], 0
 
         def add():
             places, counts = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
             total[places.astype(np.int64)] += counts.astype(np.uint64)
 
-        for pdf in frames:
-            for _, s in _sets(pdf["text"].tolist()):
-                held.append(s)
-                size += len(s)
-                if size >= POSTINGS_PER_RANGE // 2:
-                    add()
-                    held, size = [], 0
+        for whole in batches:
+            for batch in slices(whole, 1024):
+                rows = [(*k, 0, 0, 0, None, *[0] * SIG, None, None) for k in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "file", "row")), strict=True)]
+                for i, s in _sets(batch.column("text").to_pylist()):
+                    if not len(s):
+                        continue
+                    check = np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+                    rows[i] = (*rows[i][:3], len(s), _node(s, seed), int(check), _signature(s, BIG), *_signature(s, SIG).tolist(), None, None)
+                    held.append(s)
+                    size += len(s)
+                    if size >= POSTINGS_PER_RANGE // 2:
+                        add()
+                        held, size = [], 0
+                yield as_batch(rows, schema)
         if held:
             add()
-        return total
+        yield as_batch([(None,) * (7 + SIG) + x for x in array_slices(total)], schema)
 
-    return merged_array(docs.select("text"), count, 1 << bits, np.uint64, np.add, lambda total: np.log2(1 + total.astype(float)), np.uint8)
+    keys = [(F.col(c) if c else F.lit(None)).cast("long").alias(n) for c, n in zip(row or (None, None), ("file", "row"), strict=True)]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "text").mapInArrow(run, schema)
+
+
+def frequency_classes(table: DataFrame, bits: int) -> np.ndarray:
+    """log2 of the count of every counter of the sketch, over all documents; 2**bits bytes."""
+    parts = table.where("slice IS NOT NULL").select("slice", "data")
+    return merged_slices(parts, 1 << bits, np.uint64, np.add, lambda total: np.log2(1 + total.astype(float)), np.uint8)
 
 
 def fragment_bounds(classes: np.ndarray) -> np.ndarray:
@@ -119,25 +119,47 @@ def prefix_length(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
+def _partners(t: np.ndarray, node: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(leader, peer) of postings in order of (tok, node): a bucket's smallest node, and the one before in the tok's ring.
+
+    The node itself stands where the sizes rule a link out.
+    """
+    if not len(t):
+        return node, node
+    first = np.concatenate(([True], t[1:] != t[:-1]))
+    start = np.maximum.accumulate(np.where(first, np.arange(len(t)), 0))
+    ring = np.lexsort((mix(node.view(np.uint64) + t % np.uint64(RINGS)), t))
+    before = np.empty(len(t), dtype=np.int64)
+    ends = np.append(np.flatnonzero(first)[1:], len(t)) - 1
+    before[ring] = np.where(first, ring[np.repeat(ends, np.diff(np.append(np.flatnonzero(first), len(t))))], np.roll(ring, 1))
+    return tuple(np.where(100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]), node[x], node) for x in (start, before))
+
+
 def _buckets(docs: DataFrame, classes, seed: int, percent: int, ranges: int) -> DataFrame:
-    """Postings in buckets of two nodes or more: (tok, node, leader; itself where the sizes rule a link out)."""
+    """Postings in buckets of two nodes or more: tok, node, leader, peer (see _partners). A copy of a set may repeat its row."""
+    names = ["range", "toks", "nodes", "third", "fourth"]
 
     def post(frames):
         toks, node, size, held, seen = [], [], [], 0, set()
 
         def flush():
             counts = [len(t) for t in toks]
-            t, o = np.concatenate(toks), np.repeat(np.arange(len(toks), dtype=np.uint32), counts)
-            ids, ns = np.array(node, dtype=np.int64), np.array(size, dtype=np.int32)
-            order = np.argsort(t)
-            t, o = t[order], o[order]
+            t, ids, n = np.concatenate(toks), np.repeat(np.array(node, dtype=np.int64), counts), np.repeat(np.array(size, dtype=np.int64), counts)
+            order = np.lexsort((ids, t))
+            t, ids, n = t[order], ids[order], n[order]
+            first = np.concatenate(([True], t[1:] != t[:-1]))
+            several = np.concatenate((~first[1:], [False])) & first
+            # All but a bucket's first are settled here, and only pass through, in a group of their own.
+            own = ~first | several
+            leader, peer = _partners(t[own], ids[own], n[own], percent)
+            here = ~first[own]
+            rows = [(-1 - int(ids[0] % (1 << 30)), *(x[here].tobytes() for x in (t[own], ids[own], leader, peer)))] if here.any() else []
+            t, ids, n, several = t[first], ids[first], n[first].astype(np.int32), several[first]
             r = (((t >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(r)) + 1
-            rows = []
             for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(t)])), strict=True):
-                used, local = np.unique(o[a:b], return_inverse=True)
-                rows.append((int(r[a]), t[a:b].tobytes(), local.astype(np.uint32).tobytes(), ids[used].tobytes(), ns[used].tobytes()))
-            return pd.DataFrame(rows, columns=["range", "toks", "owner", "nodes", "sizes"])
+                rows.append((int(r[a]), *(x[a:b].tobytes() for x in (t, ids, n, several))))
+            return pd.DataFrame(rows, columns=names)
 
         for pdf in frames:
             for _, s in _sets(pdf["text"].tolist()):
@@ -156,25 +178,27 @@ def _buckets(docs: DataFrame, classes, seed: int, percent: int, ranges: int) ->
         if held:
             yield flush()
 
-    def pair(pdf):
-        t = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in pdf["toks"]])
-        at = np.cumsum([0] + [len(x) // 8 for x in pdf["nodes"]])
-        o = np.concatenate([np.frombuffer(x, dtype=np.uint32).astype(np.int64) + a for x, a in zip(pdf["owner"], at, strict=False)])
-        node = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in pdf["nodes"]])[o]
-        n = np.concatenate([np.frombuffer(x, dtype=np.int32) for x in pdf["sizes"]])[o].astype(np.int64)
-        order = np.lexsort((node, t))
-        t, node, n = t[order], node[order], n[order]
+    def pair(key, pdf):
+        def column(name, dtype):
+            return np.concatenate([np.frombuffer(x, dtype=dtype) for x in pdf[name]])
+
+        t, node = column("toks", np.uint64), column("nodes", np.int64)
+        if key[0] < 0:
+            return pd.DataFrame({"tok": t.view(np.int64), "node": node, "leader": column("third", np.int64), "peer": column("fourth", np.int64)})
+        n, several = column("third", np.int32).astype(np.int64), column("fourth", bool)
+        order = np.lexsort((~several, node, t))
+        t, node, n, several = t[order], node[order], n[order], several[order]
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (node[1:] != node[:-1])))  # copies post from several tasks
-        t, node, n = t[new], node[new], n[new]
-        same = t[1:] == t[:-1]
-        member = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        t, node, n = t[member], node[member], n[member]
-        lead = np.maximum.accumulate(np.where(np.concatenate(([True], t[1:] != t[:-1])), np.arange(len(t)), 0)) if len(t) else np.zeros(0, dtype=np.int64)
-        close = (100 * np.minimum(n, n[lead]) >= percent * np.maximum(n, n[lead])) & (node != node[lead])
-        return pd.DataFrame({"tok": t.view(np.int64), "node": node, "leader": np.where(close, node[lead], node)})
+        t, node, n, several = t[new], node[new], n[new], several[new]
+        first = np.concatenate(([True], t[1:] != t[:-1]))
+        group = np.cumsum(first) - 1
+        kept = ((np.bincount(group) > 1) | (np.bincount(group, weights=several) > 0))[group]
+        t, node, n = t[kept], node[kept], n[kept]
+        leader, peer = _partners(t, node, n, percent)
+        return pd.DataFrame({"tok": t.view(np.int64), "node": node, "leader": leader, "peer": peer})
 
-    blocks = docs.select("text").mapInPandas(post, "range int, toks binary, owner binary, nodes binary, sizes binary")
-    return blocks.groupBy("range").applyInPandas(pair, "tok long, node long, leader long")
+    blocks = docs.select("text").mapInPandas(post, "range int, toks binary, nodes binary, third binary, fourth binary")
+    return blocks.groupBy("range").applyInPandas(pair, "tok long, node long, leader long, peer long")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, classes, seed: int) -> DataFrame:
@@ -244,17 +268,11 @@ def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """(tok, node, comp, main) of the buckets that hold several components; main is the largest there."""
+    """(tok, node, comp, main) of the nodes outside the largest component, main, of their bucket."""
     member = buckets.join(comps, "node", "left").select("tok", "node", F.coalesce("component", "node").alias("comp"))
     counts = member.groupBy("tok", "comp").agg(F.count("*").alias("members"))
     mixed = counts.groupBy("tok").agg(F.count("*").alias("comps"), F.max(F.struct("members", "comp"))["comp"].alias("main")).where("comps > 1").select("tok", "main")
-    return member.join(mixed, "tok")
-
-
-def _next_stars(mixed: DataFrame, step: int) -> DataFrame:
-    """Members outside a bucket's largest component, each with one member of it; another one at each step."""
-    chosen = mixed.where("comp = main").groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)), "node"))["node"].alias("b"))
-    return _most_shared(mixed.where("comp <> main").select("tok", F.col("node").alias("a")).join(chosen, "tok"))
+    return member.join(mixed, "tok").where("comp <> main")
 
 
 def _most_shared(stars: DataFrame) -> DataFrame:
@@ -263,25 +281,28 @@ def _most_shared(stars: DataFrame) -> DataFrame:
     return stars.groupBy("a", "b").agg(F.count("*").alias("shared")).withColumn("place", rank).where(F.col("place") <= 2 * KEPT).select("a", "b")
 
 
-def _rest(mixed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components that sizes and signatures leave, of those that meet in a mixed bucket.
+def _ordered() -> list:
+    """a, b, n_a, n_b with the smaller node first."""
+    low = F.col("a") < F.col("b")
+    return [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")]
 
-    members has every node with its component. A member outside a bucket's largest component is held against that whole
+
+def _rest(few: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) across components that sizes and signatures leave, of those that meet in a mixed bucket.
+
+    a lies outside a bucket's largest component. members has every node with its component. A member outside a bucket's largest component is held against that whole
     component once, whatever number of buckets they share; members outside it against each other within the bucket.
     """
 
     def as_side(x):
         return [F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}"), *[F.col(f"s{k}").alias(f"{x}{k}") for k in range(SIG)]]
 
-    few = mixed.where("comp <> main")
     attached = few.select("node", "main").distinct().join(members, "node").select("main", *as_side("a"))
     to_main = attached.join(members.select(*as_side("b")), F.col("main") == F.col("comp_b")).where(_may_link(percent))
     several = few.groupBy("tok").agg((F.min("comp") != F.max("comp")).alias("several")).where("several").select("tok")
     outside = few.select("tok", "node").join(several, "tok").join(members, "node")
     among = outside.select("tok", *as_side("a")).join(outside.select("tok", *as_side("b")), "tok").where("a < b AND comp_a <> comp_b").where(_may_link(percent))
-    low = F.col("a") < F.col("b")
-    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")]
-    return to_main.select(*ordered).union(among.select(*ordered)).distinct()
+    return to_main.select("a", "b", "n_a", "n_b").union(among.select("a", "b", "n_a", "n_b")).distinct()
 
 
 def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> DataFrame:
@@ -291,85 +312,79 @@ def _after_big_signatures(pairs: DataFrame, bigs: DataFrame, percent: int) -> Da
     return both.where(differ * (100 + percent) <= total * (100 - percent)).select("a", "b", "n_a", "n_b", (differ / total).alias("gap"))
 
 
-def _degrees(docs: DataFrame, rows: DataFrame, nodes: DataFrame, buckets: DataFrame, classes, seed: int, percent: int) -> DataFrame:
+def _degrees(work: Scratch, docs: DataFrame, rows: DataFrame, nodes: DataFrame, buckets: DataFrame, classes, seed: int, percent: int) -> DataFrame:
     """(node, n_links) of every node: all pairs that meet in a bucket, but for those that exact bounds rule out, are counted out."""
     both = buckets.select("tok", F.col("node").alias("a")).join(buckets.select("tok", F.col("node").alias("b")), "tok").where("a < b")
-    pairs = stored(_likely(both.select("a", "b").distinct(), nodes, percent), "ngram-all")
-    segments = stored(_segments(docs, stored(_ends(pairs), "ngram-wanted"), classes, seed), "ngram-segments")
-    links = stored(_linked(pairs, segments, percent), "ngram-links")
+    pairs = work.stored(_likely(both.select("a", "b").distinct(), nodes, percent), "ngram-all")
+    segments = work.stored(_segments(docs, work.stored(_ends(pairs), "ngram-wanted"), classes, seed), "ngram-segments")
+    links = work.stored(_linked(pairs, segments, percent), "ngram-links")
     size = rows.where("n > 0").groupBy("node").agg(F.count("*").alias("copies"))
     ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = ends.join(size.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
     return size.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
 
 
-def ngram_groups(docs: DataFrame, percent: int = 80, row: str | None = None, links: bool = False) -> DataFrame:
+def ngram_groups(docs: DataFrame, percent: int = 80, row: tuple[str, str] | None = None, links: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id, and if links is set n_links, of every row of docs (doc_id, text; other columns are ignored).
 
     component_id is the smallest doc_id that links reach, the row's own included; n_links is the number of other
     rows that the row links with, copies included. It takes every pair of different sets that share a rare shingle, which
     grows with the square of a group of near copies; the groups alone don't need that. Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id are separate rows; rows with a
     null doc_id take part, and component_id is null only where the whole component has no doc_id. An empty table gives
-    no rows. docs is scanned several times: pass a stored table. With row, a column of docs that numbers its rows, the
-    result has this number as row too, and component, which unlike component_id differs between any two components
+    no rows. docs is scanned several times: pass a stored table. With row, two columns of docs that number its rows (see
+    row_keys), the result has these numbers as file and row too, and component, which unlike component_id differs between any two components
     (null where there are no shingles).
     """
     spark = docs.sparkSession
+    work = Scratch(spark)
     bounded_batches(spark)
+    characters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(max((characters // CHARACTERS_PER_COUNTER).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     for seed in range(8):
-        rows = stored(measured(docs, seed, row), "ngram-rows")
+        table = work.stored(measured(docs, bits, seed, row), "ngram-rows")
+        rows = table.where("slice IS NULL").drop("slice", "data")
         kinds = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), (F.min(F.struct("n", "check")) != F.max(F.struct("n", "check"))).alias("clash"), *[F.min(f"s{k}").alias(f"s{k}") for k in range(SIG)])
-        nodes = stored(kinds, "ngram-nodes")
-        if nodes.where("clash").isEmpty():
+        nodes = work.stored(kinds, "ngram-nodes")
+        clash, postings = nodes.agg(F.max("clash"), F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()
+        if not clash:
             break  # else two different sets have one number: another seed
     else:
         raise RuntimeError("sets keep sharing fingerprints")
-    total = rows.agg(F.sum("n"), F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()
-    shingles, postings = total[0] or 0, total[1] or 0
-    bits = min(max((shingles // SHINGLES_PER_COUNTER).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
-    classes = spark.sparkContext.broadcast(frequency_classes(docs, bits))
-
-    ranges = max(parallelism(spark), -(-postings // POSTINGS_PER_RANGE))
-    buckets = stored(_buckets(docs, classes, seed, percent, ranges), "ngram-buckets")
-    stars = _most_shared(buckets.where("leader <> node").select(F.col("node").alias("a"), F.col("leader").alias("b")))
-    likely = stored(_likely(stars, nodes, percent), "ngram-stars")
-    wanted = stored(_ends(likely), "ngram-wanted")
-    segments = stored(_segments(docs, wanted, classes, seed), "ngram-segments")
-    tried = stored(_closest(likely, KEPT), "ngram-tried")
-    found = stored(_linked(tried, segments, percent), "ngram-links")
-    comps = connected_components(found, "ngram-components")
-    for step in range(STEPS):
-        again = _next_stars(_mixed(buckets, comps), step).join(wanted.withColumnRenamed("node", "a"), "a", "left_semi").join(wanted.withColumnRenamed("node", "b"), "b", "left_semi")
-        now = stored(_closest(_likely(again.join(tried, ["a", "b"], "left_anti"), nodes, percent), KEPT), "ngram-tried")
-        more = stored(_linked(now, segments, percent), "ngram-links")
-        tried = tried.union(now)
-        if more.isEmpty():
-            break
-        comps = connected_components(_contracted(more, comps), "ngram-components")
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    classes = spark.sparkContext.broadcast(frequency_classes(table, bits))
+
+    ranges = max(parallelism(spark), -(-(postings or 0) // POSTINGS_PER_RANGE))
+    buckets = work.stored(_buckets(docs, classes, seed, percent, ranges), "ngram-buckets")
+    partners = buckets.select(F.col("node").alias("a"), F.explode(F.array("leader", "peer")).alias("b")).where("a <> b")
+    likely = work.stored(_closest(_likely(_most_shared(partners), nodes, percent), KEPT), "ngram-tried")
+    work.release(table, nodes, buckets, likely)
+    segments = work.stored(_segments(docs, work.stored(_ends(likely), "ngram-wanted"), classes, seed), "ngram-segments")
+    comps = connected_components(_linked(likely.select(*_ordered()).distinct(), segments, percent), work)
+    work.release(table, nodes, buckets, likely, comps)
+
+    few = work.stored(_mixed(buckets, comps), "ngram-mixed")
     members = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    pairs = stored(_rest(_mixed(buckets, comps), members, percent), "ngram-mixed").join(known, ["a", "b"], "left_anti")
-    rest = stored(_after_big_signatures(pairs, rows.where("n > 0").select("node", "big").dropDuplicates(["node"]), percent), "ngram-rest")
+    tried = likely.select("a", "b").union(likely.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = work.stored(_rest(few, members, percent).join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+    rest = work.stored(_after_big_signatures(pairs, rows.where("n > 0").select("node", "big").dropDuplicates(["node"]), percent), "ngram-rest")
     if not rest.isEmpty():
-        new = stored(_ends(rest).join(wanted, "node", "left_anti"), "ngram-wanted")
-        if not new.isEmpty():
-            segments = segments.union(stored(_segments(docs, new, classes, seed), "ngram-segments"))
+        segments = work.stored(_segments(docs, work.stored(_ends(rest), "ngram-wanted"), classes, seed), "ngram-segments")
         # The closest first: most of the others then lie within one component.
-        for pairs in (_closest(rest, KEPT), None):
-            if pairs is None:
-                comp = comps.select("node", "component")
-                ends = rest.join(comp.toDF("a", "comp_a"), "a", "left").join(comp.toDF("b", "comp_b"), "b", "left")
-                pairs = ends.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b", "n_a", "n_b")
-            more = stored(_linked(stored(pairs, "ngram-rest"), segments, percent), "ngram-links")
-            comps = connected_components(_contracted(more, comps), "ngram-components")
+        comps = connected_components(_contracted(_linked(_closest(rest, KEPT), segments, percent), comps), work)
+        ends = rest.join(comps.toDF("a", "comp_a"), "a", "left").join(comps.toDF("b", "comp_b"), "b", "left")
+        apart = ends.where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b", "n_a", "n_b")
+        last = work.stored(_linked(apart, segments, percent), "ngram-links")
+        if not last.isEmpty():
+            comps = connected_components(_contracted(last, comps), work)
 
     classed = nodes.join(comps, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     lowest = classed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     labels = classed.join(lowest, "component").select("node", "component", "component_id")
     if links:
-        labels = labels.join(_degrees(docs, rows, nodes, buckets, classes, seed, percent), "node")
-    labels = stored(labels, "ngram-labels")
+        labels = labels.join(_degrees(work, docs, rows, nodes, buckets, classes, seed, percent), "node")
+    labels = work.stored(labels, "ngram-labels")
+    classes.unpersist()
+    work.release(table, labels)
     out = rows.join(labels, "node", "left")
-    own = ["row", F.when(F.col("n") > 0, F.col("component")).alias("component")] if row else []
+    own = ["file", "row", F.when(F.col("n") > 0, F.col("component")).alias("component")] if row else []
     counted = [F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links")] if links else []
     return out.select("doc_id", *own, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *counted)

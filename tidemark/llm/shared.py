@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -10,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
 #: Bytes that separate words: space and \t \n \v \f \r.
@@ -22,16 +24,49 @@ PIECE = 1 << 18
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a default of our own only where the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """The folder that all executors share. A session without one gets a folder of this machine only if it runs on it alone."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or "/tmp/checkpoints"
 
 
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Cut the lineage: write df as a table in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """The tables of one call in the shared folder, which cut the lineage; those that its result doesn't read are removed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Write df as a table and read it back."""
+        path = f"{scratch_dir(self.spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((out, path))
+        return out
+
+    def release(self, *kept: DataFrame) -> None:
+        """Remove all tables but kept, and let Spark clean up the shuffles that nothing refers to any more."""
+        jvm, gone = self.spark.sparkContext._jvm, [path for df, path in self.tables if not any(df is k for k in kept)]
+        self.tables = [x for x in self.tables if x[1] not in gone]
+        for path in gone:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        gc.collect()
+        jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table that stays."""
+    return Scratch(df.sparkSession).stored(df, name)
+
+
+def row_keys(table: DataFrame) -> DataFrame:
+    """table, which is read straight from Parquet files, with __file and __row (long): the hash of a row's file, and its place there.
+
+    They are the same in every scan, however it is split. A frame that isn't such a read needs numbers of its own.
+    """
+    return table.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -142,17 +177,22 @@ def encoded(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
-def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Callable, finish: Callable = np.asarray, made=None) -> np.ndarray:
-    """One array of fixed size from all of df: fill makes a task's own from its frames, combine (a ufunc) merges them.
+#: Counters of an array that travel together.
+SLICE = 1 << 15
 
-    size is a bound that doesn't depend on the data; slices of the array are merged apart, and only the result reaches the
-    driver, after finish, which gives the type made (else dtype).
-    """
-    step, made = min(size, 1 << 15), made or dtype
 
-    def part(frames):
-        own = fill(frames)
-        yield pd.DataFrame({"slice": range(size // step), "data": [zlib.compress(own[a : a + step].tobytes(), 1) for a in range(0, size, step)]})
+def array_slices(own: np.ndarray) -> list[tuple[int, bytes]]:
+    """(slice, data) of each SLICE counters of an array, packed."""
+    return [(k, zlib.compress(own[a : a + SLICE].tobytes(), 1)) for k, a in enumerate(range(0, len(own), SLICE))]
+
+
+def merged_slices(parts: DataFrame, size: int, dtype, combine: Callable, finish: Callable = np.asarray, made=None) -> np.ndarray:
+    """One array of size counters from the slices (slice int, data binary) of many, merged by combine (a ufunc).
+
+    size is a bound that doesn't depend on the data. Slices are merged apart, and only the result reaches the driver,
+    after finish, which gives the type made (else dtype).
+    """
+    step, made = min(size, SLICE), made or dtype
 
     def merge(key, pdf):
         total = np.zeros(step, dtype=dtype)
@@ -161,11 +201,20 @@ def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Calla
         return pd.DataFrame({"slice": [key[0]], "data": [zlib.compress(finish(total).astype(made).tobytes(), 1)]})
 
     out = np.zeros(size, dtype=made)
-    for r in df.mapInPandas(part, "slice int, data binary").groupBy("slice").applyInPandas(merge, "slice int, data binary").toLocalIterator():
+    for r in parts.groupBy("slice").applyInPandas(merge, "slice int, data binary").collect():  # size counters at most
         out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(r["data"])), dtype=made)
     return out
 
 
+def merged_array(df: DataFrame, fill: Callable, size: int, dtype, combine: Callable) -> np.ndarray:
+    """One array of size counters from all of df: fill makes a task's own from its frames, combine merges them."""
+
+    def part(frames):
+        yield pd.DataFrame(array_slices(fill(frames)), columns=["slice", "data"])
+
+    return merged_slices(df.mapInPandas(part, "slice int, data binary"), size, dtype, combine)
+
+
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
 
