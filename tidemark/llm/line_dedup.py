@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.membership import maybe_in, member_bits
-from tidemark.llm.shared import PIECE, as_batch, bounded_batches, mix, parallelism, powers, slices, stored
+from tidemark.llm.shared import PIECE, Scratch, as_batch, bounded_batches, mix, parallelism, powers, slices
 
 #: Postings that a block holds before it is handed on, and that a reducer group gets, about.
 BLOCK, RANGE = 1 << 19, 1 << 20
-LINES = "h long, g long, row long, doc_id long, place int"
+LINES = "h long, g long, file long, row long, doc_id long, place int"
 KEYS = "range int, keys binary, lines binary"
 VARIANTS = "range int, keys binary, places binary, lines binary, h long, g long, line string"
 _SALT = np.uint64(0xA24BAED4963EE407)
@@ -92,10 +92,11 @@ class Lines:
 
 
 def _grouped(batches, min_chars):
-    """(rows, doc_ids, Lines) for about PIECE characters at once."""
+    """(keys of the rows, doc_ids, Lines) for about PIECE characters at once."""
     for whole in batches:
         for batch in slices(whole, 2048):
-            rows, ids, texts = (c.to_pylist() for c in batch.columns)
+            *keys, ids, texts = (c.to_pylist() for c in batch.columns)
+            rows = list(zip(*keys, strict=True))
             texts = [t or "" for t in texts]
             at = 0
             while at < len(texts):
@@ -115,20 +116,15 @@ def _split_by_range(keys: np.ndarray, ranges: int):
     return order, [(int(r[a]), a, b) for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(r)])), strict=True)] if len(r) else []
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number __row for each row, written once: a number made in a scan can change with how that scan is split."""
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
-
-
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.select(F.col("__file").alias("file"), F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _line_table(docs: DataFrame, min_chars: int) -> DataFrame:
     def run(batches):
         for rows, ids, lines in _grouped(batches, min_chars):
             h, g = (x.view(np.int64).tolist() for x in lines.hashes())
-            yield as_batch([(x, y, rows[o], ids[o], p) for x, y, o, p in zip(h, g, lines.owner.tolist(), lines.place.tolist(), strict=True)], LINES)
+            yield as_batch([(x, y, *rows[o], ids[o], p) for x, y, o, p in zip(h, g, lines.owner.tolist(), lines.place.tolist(), strict=True)], LINES)
 
     return _texts(docs).mapInArrow(run, LINES)
 
@@ -239,9 +235,9 @@ def _meetings(blocks: DataFrame) -> DataFrame:
     return blocks.where("range IS NOT NULL").select("range", "keys", "places", "lines").groupBy("range").applyInPandas(meet, "v long, place int, h long").distinct()
 
 
-def _near(meetings: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
+def _near(work: Scratch, meetings: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
     """h, g of the lines that are one edit from an earlier one."""
-    m = stored(meetings.join(firsts.select("h", "g", "first"), "h"), "line-meetings")
+    m = work.stored(meetings.join(firsts.select("h", "g", "first"), "h"), "line-meetings")
     cuts, own = m.where("place >= 0"), m.where("place = -1")
     low = F.min(F.struct("first", "h", "g")).alias("low")
     found = [
@@ -256,34 +252,44 @@ def _near(meetings: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame
     return both.where(F.levenshtein("line", "other", 1) == 1).select("h", "g").distinct()
 
 
-def line_dedup(docs: DataFrame, min_chars: int = 20) -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = 20, row: tuple[str, str] | None = None) -> DataFrame:
     """docs with repeated and nearly repeated lines taken out of text, and the columns n_lines and n_removed.
 
-    docs (doc_id, text, any others; n_lines and n_removed are replaced, n_chars is set to the new text's length where it
-    is there) is read once, and written with a number for each row. Order of lines: doc_id (nulls last), row, place. Null
+    docs has doc_id, text, and any others (n_lines and n_removed are replaced, n_chars is set to the new text's length where
+    it is there). row names two long columns that number its rows alike in every scan (see row_keys); they aren't in the
+    result. Without, docs is written once with numbers. Order of lines: doc_id (nulls last), row, place. Null
     texts stay null, empty texts empty (one line); rows that repeat a document lose their long lines; a document all of
     whose lines go has an empty text. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    work = Scratch(spark)
     bounded_batches(spark)
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = _numbered(docs.select(*names))
-    lines = stored(_line_table(docs, min_chars), "lines")
-    when = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place")
-    firsts = stored(lines.groupBy("h", "g").agg(F.min(when).alias("first")), "line-firsts")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed", *(row or ()))]
+    if row:
+        docs = docs.select(*names, F.col(row[0]).alias("__file"), F.col(row[1]).alias("__row"))
+    else:
+        docs = work.stored(docs.select(*names, F.lit(0).cast("long").alias("__file"), F.monotonically_increasing_id().alias("__row")), "line-docs")
+    lines = work.stored(_line_table(docs, min_chars), "lines")
+    when = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "file", "row", "place")
+    firsts = work.stored(lines.groupBy("h", "g").agg(F.min(when).alias("first"), (F.count("*") > 1).alias("several")), "line-firsts")
     distinct = firsts.count()
-    suspects = stored(_suspects(docs, min_chars, max(parallelism(spark), 8 * distinct // RANGE)), "line-suspects")
-    blocks = stored(_variants(docs, suspects, min_chars, max(parallelism(spark), 64 * suspects.count() // RANGE)), "line-variants")
+    suspects = work.stored(_suspects(docs, min_chars, max(parallelism(spark), 8 * distinct // RANGE)), "line-suspects")
+    blocks = work.stored(_variants(docs, suspects, min_chars, max(parallelism(spark), 64 * suspects.count() // RANGE)), "line-variants")
     texts = blocks.where("h IS NOT NULL").select("h", "g", "line").dropDuplicates(["h", "g"])
-    near = _near(_meetings(blocks), firsts, texts).withColumn("near", F.lit(True))
-    judged = lines.join(firsts.join(near, ["h", "g"], "left"), ["h", "g"])
-    gone = judged.where(F.col("near") | (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
-    gone = stored(gone.groupBy("row").agg(F.collect_set("place").alias("__gone")), "line-gone")
-
-    out = docs.join(gone.withColumnRenamed("row", "__row").hint("merge"), "__row", "left")
-    split = F.split("text", "\n", -1)
-    kept = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("__gone", i)), "\n"))
-    out = out.select(*[c for c in names if c != "text"], F.size(split).alias("__all"), kept.alias("text"), F.coalesce(F.size("__gone"), F.lit(0)).alias("__n"))
+    near = _near(work, _meetings(blocks), firsts, texts).withColumn("near", F.lit(True))
+    # Both sides of the next join are shuffled as they are, so that Spark can split the partitions of very common lines.
+    known = work.stored(firsts.join(near, ["h", "g"], "left").where("several OR near"), "line-known")
+    judged = lines.join(known.hint("merge"), ["h", "g"])
+    own = [F.col(c) == F.col(f"first.{c}") for c in ("file", "row", "place")]
+    gone = judged.where(F.col("near") | ~(own[0] & own[1] & own[2]))
+    gone = work.stored(gone.groupBy(F.col("file").alias("__file"), F.col("row").alias("__row")).agg(F.collect_set("place").alias("__gone")), "line-gone")
+    work.release(docs, gone)
+
+    out = docs.join(gone.hint("merge"), ["__file", "__row"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("__split") - 1), "__gone")
+    kept = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("__split", i)), "\n"))
+    out = out.withColumn("__split", F.split("text", "\n", -1))
+    out = out.select(*[c for c in names if c != "text"], F.size("__split").alias("__all"), kept.alias("text"), F.coalesce(F.size("__gone"), F.lit(0)).alias("__n"))
     changed = {"n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.col("__all")), F.lit(0)).cast("long"), "n_removed": F.greatest("__n", F.lit(0)).cast("long")}
     if "n_chars" in names:
         changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -15,7 +15,7 @@ from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import FORMATS, personal_data, spans_string
 from tidemark.llm.quality_model import quality_scores
-from tidemark.llm.shared import scratch_dir
+from tidemark.llm.shared import row_keys, scratch_dir
 from tidemark.llm.token_store import read_store, write_store
 from tidemark.llm.topk import top_k
 from tidemark.llm.url_templates import url_filter
@@ -124,7 +124,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that repeat an earlier line, up to one edit."""
-    return line_dedup(table(spark, sf_dir, "documents"), min_chars=20).select("doc_id", "n_lines", "n_removed", "text")
+    return line_dedup(row_keys(table(spark, sf_dir, "documents")), min_chars=20, row=("__file", "__row")).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
