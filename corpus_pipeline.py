@@ -16,9 +16,11 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import quality_scores
-from tidemark.llm.shared import scratch_dir, stored
+from tidemark.llm.shared import row_keys, scratch_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: What numbers the rows of a table that is read from Parquet, as every stage's docs are.
+KEYS = ("__file", "__row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; a document that has nothing left goes."""
-    out = line_dedup(docs, min_chars=20)
+    out = line_dedup(row_keys(docs), min_chars=20, row=KEYS)
     return out.where("n_removed = 0 OR btrim(text, ' \t\n\r') <> ''").select(*COLUMNS)
 
 
@@ -38,10 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows count apart whatever their doc_id; a row without shingles links with nothing and stays.
     """
-    docs = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_groups(docs, percent=80, row="row").withColumn("alone", F.when(F.col("component").isNull(), F.col("row")))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"]
-    return docs.join(groups.groupBy("component", "alone").agg(first.alias("row")).select("row"), "row", "left_semi").select(*COLUMNS)
+    docs = row_keys(docs.select(*COLUMNS))
+    groups = ngram_groups(docs, percent=80, row=KEYS)
+    alone = [F.when(F.col("component").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("file", "row")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("file").alias("__file"), F.col("row").alias("__row"))).alias("first")
+    kept = groups.groupBy("component", *alone).agg(first).select("first.__file", "first.__row")
+    return docs.join(kept, [*KEYS], "left_semi").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
