@@ -1,10 +1,11 @@
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
-from tidemark.llm.quality_model import FEATURES, dual_coordinate_descent, features, fit, log_count_ratios, quality_scores
+from tidemark.llm.quality_model import BITS, DAMPING, FEATURES, REPEATS, _logistic, dual_coordinate_descent, features, fit, log_count_ratios, quality_scores
 
 
 def corpus(words, n=400):
@@ -57,6 +58,12 @@ def test_features_do_not_depend_on_pieces(monkeypatch, words):
     assert set(whole) == set(features(text, seen)) and len(features(b"", seen)) == 0
 
 
+def packed(found):
+    bits = np.zeros(FEATURES, dtype=bool)
+    bits[found] = True
+    return np.packbits(bits).tobytes()
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_descent_reaches_the_optimum(seed):
     rng = np.random.default_rng(seed)
@@ -70,7 +77,7 @@ def test_descent_reaches_the_optimum(seed):
     for r, v, s, e, label in zip(rows, values, sign, slack, y, strict=True):
         grad[r] -= 2 * share[label] * e * s * v
     assert np.abs(grad).max() < 1e-3
-    assert log_count_ratios(rows, y)[:50].std() > 0 and fit(rows, y).slope > 0
+    assert log_count_ratios(rows, y)[:50].std() > 0 and fit([packed(r) for r in rows], y).slope > 0
 
 
 def test_repeated_rows_of_a_pick_count_once(spark, make_docs):
@@ -78,5 +85,48 @@ def test_repeated_rows_of_a_pick_count_once(spark, make_docs):
 
     docs = make_docs([(1, "a good text")] * 40 + [(2, "a bad text"), (3, "another text")])
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
-    rows, y = training_rows(docs, labels, 10)
-    assert len(rows) == 3 and sorted(y.tolist()) == [0, 0, 1]
+    rows = training_rows(docs, labels, 10).collect()
+    assert len(rows) == 3 and sorted(r.quality for r in rows) == [0, 0, 1] and {len(r.bits) for r in rows} == {-(-FEATURES // 8)}
+
+
+def plain_features(text):
+    """Numbers of the n-grams of a text, one by one."""
+    b = (text or "").encode()
+    found = {((b[i] | b[i + 1] << 8 | b[i + 2] << 16) * 2654435761 % (1 << 32)) >> (32 - BITS) for i in range(len(b) - 2)}
+    w = re.findall(rb"[^\x20\x09-\x0D]+", b)
+    equal = sum(x == y for x, y in zip(w, w[1:], strict=False))
+    return sorted(found | {(1 << BITS) + k for k, share in enumerate(REPEATS) if equal > share * max(len(w) - 1, 0)})
+
+
+def plain_scores(rows, labels):
+    """The method over dense vectors, step by step."""
+    known = {(i, q) for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5}
+    dense = {}
+    for i, t in rows:
+        dense[i] = np.zeros(FEATURES)
+        dense[i][plain_features(t)] = 1
+    picks = sorted(known)
+    picks = [picks[i] for i in np.random.default_rng(0).permutation(len(picks))]
+    train, rest = [p for k, p in enumerate(picks) if k % 5], [p for k, p in enumerate(picks) if k % 5 == 0]
+    counts = [1 + sum(dense[i] for i, q in train if q == y) for y in (0, 1)]
+    r = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    unit = {i: x * r / np.sqrt((x * r * r).sum() + DAMPING) for i, x in dense.items()}
+    w, b, dual, rng = np.zeros(FEATURES), 0.0, np.zeros(len(train)), np.random.default_rng(0)
+    share = {y: len(train) / (2 * sum(q == y for _, q in train)) for y in (0, 1)}
+    for _ in range(12):
+        for k in rng.permutation(len(train)):
+            i, q = train[k]
+            x, y, h = unit[i], 2 * q - 1, 1 / (2 * share[q])
+            new = max(dual[k] - (y * (w @ x + b) - 1 + h * dual[k]) / (x @ x + 1 + h), 0)
+            w, b, dual[k] = w + (new - dual[k]) * y * x, b + (new - dual[k]) * y, new
+    margin = {i: w @ x + b for i, x in unit.items()}
+    slope, shift = _logistic(np.array([margin[i] for i, _ in rest]), np.array([q for _, q in rest]))
+    return {i: 1 / (1 + np.exp(-(slope * m + shift))) for i, m in margin.items()}
+
+
+def test_scores_equal_brute_force(spark, make_docs, words, odd_texts):
+    rows, labels = corpus(words, 90)
+    rows += [(200 + i, t) for i, t in enumerate(odd_texts)]
+    got = quality_scores(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), 1000).collect()
+    want = plain_scores(rows, labels)
+    assert len(got) == len(want) and all(abs(r.score - want[r.doc_id]) < 1e-9 for r in got)

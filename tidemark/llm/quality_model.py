@@ -5,15 +5,18 @@ the ratio r = log((p + a) / |p + a|) - log((q + a) / |q + a|) of its document co
 vector of r over the n-grams that it holds, scaled to about unit length; a linear support vector machine (squared hinge loss) is fitted to those by dual
 coordinate descent. A logistic curve, fitted to margins of rows that the model hasn't seen, turns margins into scores.
 
-Training uses a bounded sample of labelled rows (per_class, a parameter; the rows with the smallest hash of doc_id). Scoring
-is one pass over whole texts, without a shuffle.
+Training uses a bounded sample of labelled rows (per_class, a parameter; the rows with the smallest hash of doc_id), of
+which each is a bit an n-gram: 8 KB, however long its text. One task fits the model, and only that reaches the driver.
+Scoring is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +65,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(found) + self.shift, -50, 50))))
 
 
-def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 1.0) -> np.ndarray:
+class Packed(Sequence):
+    """The n-grams of rows that are held as bits, and with ratios each row's values, of about unit length."""
+
+    def __init__(self, bits: list[bytes], ratios: np.ndarray | None = None):
+        self.bits, self.ratios = bits, ratios
+
+    def __len__(self) -> int:
+        return len(self.bits)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        found = np.flatnonzero(np.unpackbits(np.frombuffer(self.bits[i], dtype=np.uint8)))
+        if self.ratios is None:
+            return found
+        r = self.ratios[found]
+        return r / np.sqrt((r**2).sum() + DAMPING)
+
+
+def log_count_ratios(rows: Sequence[np.ndarray], labels: np.ndarray, alpha: float = 1.0) -> np.ndarray:
     counts = np.full((2, FEATURES), alpha)
     for found, y in zip(rows, labels, strict=True):
         counts[int(y), found] += 1
@@ -70,7 +90,7 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, alpha: float =
     return np.log(counts[1]) - np.log(counts[0])
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, float]:
+def dual_coordinate_descent(rows: Sequence[np.ndarray], values: Sequence[np.ndarray], labels: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise |w|^2 / 2 + sum of C_y max(0, 1 - y (w x + b))^2 (Hsieh et al., 2008). Classes weigh alike."""
     y = np.where(labels > 0, 1.0, -1.0)
     share = {s: len(y) / (2 * max(1, (y == s).sum())) for s in (1.0, -1.0)}
@@ -80,11 +100,12 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], la
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + b) - 1 + half[i] * dual[i]
+            found, value = rows[i], values[i]
+            gradient = y[i] * (w[found] @ value + b) - 1 + half[i] * dual[i]
             new = max(dual[i] - gradient / q[i], 0.0)
             if new != dual[i]:
                 step = (new - dual[i]) * y[i]
-                w[rows[i]] += step * values[i]
+                w[found] += step * value
                 b += step
                 dual[i] = new
     return w, b
@@ -104,45 +125,55 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 0) -> Model:
+def fit(bits: list[bytes], labels: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 0) -> Model:
     """A fifth of the rows sets the logistic curve, the others the model. Without rows of both classes, every score is the same."""
     labels = np.asarray(labels)
-    kept = np.arange(len(rows)) % 5 != 0
+    kept = np.arange(len(bits)) % 5 != 0
     if len(set(labels[kept].tolist())) < 2:
         share = (labels.sum() + 1) / (len(labels) + 2)
         return Model(np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 1.0, float(np.log(share / (1 - share))))
-    train = [x for x, k in zip(rows, kept, strict=True) if k]
-    r = log_count_ratios(train, labels[kept])
-    units = [r[x] / np.sqrt((r[x] ** 2).sum() + DAMPING) for x in train]
-    w, b = dual_coordinate_descent(train, units, labels[kept], cost, epochs, seed)
+    train, rest = ([x for x, k in zip(bits, kept, strict=True) if k == own] for own in (True, False))
+    r = log_count_ratios(Packed(train), labels[kept])
+    w, b = dual_coordinate_descent(Packed(train), Packed(train, r), labels[kept], cost, epochs, seed)
     model = Model(w * r, r**2, b, 1.0, 0.0)
-    rest = [x for x, k in zip(rows, kept, strict=True) if not k]
-    model.slope, model.shift = _logistic(np.array([model.margin(x) for x in rest]), labels[~kept])
+    model.slope, model.shift = _logistic(np.array([model.margin(x) for x in Packed(rest)]), labels[~kept])
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """N-grams and labels of at most per_class labelled rows of each class; only they reach the driver."""
+def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+    """doc_id, quality, bits (binary) of at most per_class labelled rows of each class: one row for each pick, however many rows repeat its doc_id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
     picked = [known.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     sample = F.broadcast(picked[0].union(picked[1]))  # at most 2 per_class rows
-    schema = "doc_id long, quality int, found array<int>"
+    schema = "doc_id long, quality int, bits binary"
 
     def run(batches):
-        seen = np.zeros(FEATURES, dtype=bool)
+        seen, bits = np.zeros(FEATURES, dtype=bool), np.zeros(FEATURES, dtype=bool)
         for whole in batches:
             for batch in slices(whole, 256):
-                ids, y, texts = (c.to_pylist() for c in batch.columns)
-                yield as_batch([(i, q, features(t, seen).astype(np.int32)) for i, q, t in zip(ids, y, encoded(texts), strict=True)], schema)
+                rows = []
+                for i, q, t in zip(*(c.to_pylist() for c in batch.columns[:2]), encoded(batch.column("text").to_pylist()), strict=True):
+                    found = features(t, seen)
+                    bits[found] = True
+                    rows.append((i, q, np.packbits(bits).tobytes()))
+                    bits[found] = False
+                yield as_batch(rows, schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("doc_id", "quality", "text")
-    # One row for each pick, however many rows repeat its doc_id.
-    one = texts.mapInArrow(run, schema).groupBy("doc_id", "quality").agg(F.min("found").alias("found"))
-    rows = one.toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
-    order = np.random.default_rng(0).permutation(rows.num_rows)
-    found = rows.column("found").combine_chunks()
-    at, flat = found.offsets.to_numpy(), found.values.to_numpy()
-    return [flat[at[i] : at[i + 1]] for i in order], rows.column("quality").to_numpy().astype(np.int64)[order]
+    return texts.mapInArrow(run, schema).groupBy("doc_id", "quality").agg(F.min("bits").alias("bits"))
+
+
+def trained(rows: DataFrame) -> Model:
+    """The model of training_rows, fitted in one task: its rows have a bound."""
+
+    def run(pdf):
+        pdf = pdf.sort_values(["doc_id", "quality"])
+        pdf = pdf.iloc[np.random.default_rng(0).permutation(len(pdf))]
+        m = fit(pdf["bits"].tolist(), pdf["quality"].to_numpy())
+        return pd.DataFrame({"weight": [m.weight.tobytes()], "square": [m.square.tobytes()], "bias": [m.bias], "slope": [m.slope], "shift": [m.shift]})
+
+    got = rows.groupBy(F.lit(0).alias("all")).applyInPandas(run, "weight binary, square binary, bias double, slope double, shift double").collect()
+    return Model(*(np.frombuffer(bytes(x)) for x in got[0][:2]), *got[0][2:]) if got else fit([], np.zeros(0))
 
 
 def is_held_out() -> F.Column:
@@ -158,7 +189,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, th
     classes every score is the same. No column but text bears on a score.
     """
     bounded_batches(docs.sparkSession)
-    model = fit(*training_rows(docs, labels.where(~is_held_out()), per_class))
+    model = trained(training_rows(docs, labels.where(~is_held_out()), per_class))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
