@@ -9,7 +9,6 @@ from tidemark.llm.tokens import Encoder, default_vocabulary
 
 def plain():
     t = Tokenizer.from_file(default_vocabulary())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -19,6 +18,14 @@ def test_pieces_give_the_ids_of_whole_texts(odd_texts, words):
         assert np.frombuffer(enc.encode(text), dtype="<u4").tolist() == whole(text), text
 
 
+def test_added_tokens_are_those_of_the_plain_call(words):
+    whole, enc, mark = plain(), Encoder(default_vocabulary()), "<|endoftext|>"
+    texts = [mark, mark * 3, f"{mark} a", f"a {mark}", f"a{mark}b", f"a {mark} b c", f"\n{mark}\n", f"{mark}\n a", f"one two{mark}. three", f"{mark[:-1]} a", f"a {mark[1:]}", "<|endof text|> x", f"{' '.join(words)} {mark} {' '.join(words)}"]
+    for text in [*texts, *reversed(texts)]:
+        assert np.frombuffer(enc.encode(text), dtype="<u4").tolist() == whole(text), text
+    assert whole(f"{mark} a") == [50256, 257]
+
+
 def test_every_id_lies_in_one_piece(spark, make_docs, odd_texts, words):
     texts = [*odd_texts, *(" ".join(words[i : i + 60]) for i in range(0, 300, 10))]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "again"), (3, "again"), (None, "no id")]

@@ -3,7 +3,8 @@
 The vocabulary's pre-tokenizer never joins characters across a single space (or line feed) that stands between
 non-space characters, nor a run of letters with the punctuation after it. So such texts are cut there, each distinct
 piece is encoded by the tokenizers library once a task, and its ids are reused. Texts with any other white space are
-encoded whole. Both ways give the same ids.
+encoded whole, and so are texts that hold an added token such as "<|endoftext|>", which the library turns into that
+token's id. All ways give the ids of the plain call of the library.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = _Pieces(self.tokenizer)
         self.feed = _ids(self.tokenizer, "\n")
         self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
@@ -85,6 +86,8 @@ class Encoder:
         return out
 
     def _joined(self, text: str, split: list[str]) -> bytes:
+        if any(t in text for t in self.added):
+            return _ids(self.tokenizer, text)
         try:
             # The text's first piece stands as after a line feed, whose id is then taken off.
             return self.pieces["\n" + split[0]][len(self.feed) :] + b"".join(map(self.pieces.__getitem__, split[1:]))
