@@ -3,8 +3,8 @@
 Each source has a target share of the characters; its rate is the mean number of copies of one of its documents. A document's
 number of copies is a Poisson variate of that mean, found by inverting the distribution at a uniform number that a hash of
 the seed and its doc_id gives, so that a retry or another partitioning gives the same copies. Copies are exploded where
-the document lies and then dealt over all partitions by a hash, and sorted by it within each: a global shuffle that a hot
-source doesn't skew.
+the document lies, dealt over all partitions by a hash, and sorted within each: a global shuffle that neither a hot source
+nor a doc_id that many rows have skews.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import parallelism
+from tidemark.llm.shared import parallelism, stored
 
-#: Sources up to which their table of rates is broadcast; beyond it, it is joined by a shuffle.
+#: Sources up to which their table of rates is broadcast (some 300 bytes each); beyond it, the same join shuffles.
 BROADCAST_SOURCES = 10_000
 
 
@@ -64,14 +64,15 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power:
 
     docs has doc_id, text and source. A null source is a source of its own; null texts have no characters. Rows that
     repeat a doc_id within a source get the same number of copies. Other columns pass through (copy and shuffle_key are
-    replaced). An empty table gives no rows. The order within and across output partitions is that of shuffle_key's hash.
+    replaced). An empty table gives no rows. Rows are dealt by shuffle_key and their place in docs (so that null or repeated
+    doc_ids spread too), and lie within an output partition in the order of shuffle_key.
     """
-    rates = source_rates(docs, weights, power, epochs).select(F.col("source").alias("__source"), F.col("steps").alias("__steps"))
+    rates = stored(source_rates(docs, weights, power, epochs).select(F.col("source").alias("__source"), F.col("steps").alias("__steps")), "mixing-rates")
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     joined = docs.select(*names).join(rates, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__u", uniform(seed, F.col("doc_id")))
     below = F.filter("__steps", lambda c: c <= F.col("__u"))
     copies = joined.withColumn("__n", F.size(below)).where("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    keyed = copies.withColumn("shuffle_key", _digest(seed + 1, F.col("doc_id"), F.col("copy"))).drop("__source", "__steps", "__u", "__n")
-    return keyed.repartition(parallelism(docs.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", _digest(seed + 1, F.col("doc_id"), F.col("copy"))).drop("__source", "__steps", "__u", "__n").withColumn("__row", F.monotonically_increasing_id())
+    return keyed.repartition(parallelism(docs.sparkSession), "shuffle_key", "__row").sortWithinPartitions("shuffle_key").drop("__row")
