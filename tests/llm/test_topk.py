@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import topk
-from tidemark.llm.topk import statistics, top_k
+from tidemark.llm.topk import best, levels, statistics, top_k
 
 
 def brute(rows, k=10, every=7):
@@ -23,7 +23,8 @@ def brute(rows, k=10, every=7):
 def test_equals_brute_force(spark, dim, monkeypatch):
     monkeypatch.setattr(topk, "ROW_BLOCK", 60)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
-    monkeypatch.setattr(topk, "STEP", 16)
+    monkeypatch.setattr(topk, "TOGETHER", 4)
+    monkeypatch.setattr(topk, "FIRST", 2)
     rng = random.Random(dim)
     rows = [(i, [rng.gauss(0, 1) for _ in range(dim)]) for i in range(300)]
     rows += [(i, rows[3][1]) for i in range(300, 360)]  # ties and copies
@@ -41,9 +42,37 @@ def test_fewer_candidates_and_empty_tables(spark):
     assert [tuple(r) for r in top_k(df, F.col("vec_id") % 7 == 0).collect()] == [(0, 1, 1, 2 * 1024 * 1024)]
 
 
+def test_queries_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=1, scale=1).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 1, 3), (0, 1, 2, 2)]
+
+
 def test_bounds_hold_at_every_level():
     rng = np.random.default_rng(1)
-    a, b = rng.integers(-500, 500, (40, 20)), rng.integers(-500, 500, (30, 20))
-    for s in topk.LEVELS:
-        (am, ad), (bm, bd) = statistics(a, s), statistics(b, s)
-        assert (am @ bm.T + ad @ bd.T + 1e-3 >= a @ b.T).all()
+    for dim in (1, 2, 5, 20, 64):
+        a, b = rng.integers(-500, 500, (40, dim)), rng.integers(-500, 500, (30, dim))
+        for s in levels(dim):
+            (am, ad), (bm, bd) = statistics(a, s), statistics(b, s)
+            assert (am @ bm.T + ad @ bd.T + 1e-3 >= a @ b.T).all()
+
+
+def pairs_left(rows, queries):
+    left = []
+    found = best(queries, [(i,) for i in range(len(queries))], np.arange(-len(queries), 0), np.full(len(queries), -np.inf), rows, np.arange(len(rows)), 10, left)
+    score = queries @ rows.T
+    assert [(x[1], x[2]) for x in found] == [(int(j), int(score[i, j])) for i in range(len(queries)) for j in np.lexsort((np.arange(len(rows)), -score[i]))[:10]]
+    return [n / left[0] for n in left]
+
+
+def test_bounds_prune():
+    """Of smooth, clustered vectors the coarse levels leave little; of vectors without structure only the fine levels prune."""
+    rng = np.random.default_rng(2)
+    centres = np.cumsum(rng.normal(0, 1, (200, 64)), axis=1)
+    rows = np.concatenate([np.rint(1024 * (c + rng.normal(0, 0.3, (40, 64)))) for c in centres]).astype(np.int64)
+    shares = pairs_left(rows, rows[::100])
+    assert shares[len(topk.COARSE)] < 0.05 and shares[-1] < 0.01
+    noise = rng.normal(0, 1, (8000, 64))
+    noise = np.floor(1024 * noise / np.linalg.norm(noise, axis=1, keepdims=True)).astype(np.int64)
+    shares = pairs_left(noise, noise[:40])
+    assert shares[-1] < 0.01 and shares[-3] < 0.1
