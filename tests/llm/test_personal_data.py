@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,12 @@ def test_added_spans_and_redaction(make_docs):
 
 def test_an_empty_table(make_docs):
     assert personal_data(make_docs([])).count() == 0
+
+
+def test_many_spans_and_long_candidates_take_linear_time(make_docs):
+    mails = " ".join(f"a{i}@b.cd" for i in range(100_000))
+    rows = [(0, mails), (1, "key" * 300_000 + "1"), (2, "a" * 1_000_000), (3, "key=" * 200_000 + "7")]
+    began = time.monotonic()
+    got = {r.doc_id: r for r in personal_data(make_docs(rows)).select("doc_id", F.size("base").alias("n"), F.element_at("base", -1).alias("last")).where("n > 0").collect()}
+    assert list(got) == [0] and got[0].n == 100_000 and got[0].last.e == len(mails)
+    assert time.monotonic() - began < 60

@@ -30,30 +30,47 @@ CANDIDATES = {
     "number": r"(?<![0-9A-Za-z.+-])\(?[0-9]{3,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z-])",
     "spelt": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}+)++",
 }
-CANDIDATE_HINTS = {"secret": r"(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16}", "number": r"[0-9]{3}\)?[\x20.-][0-9]{3}", "spelt": r"[\[(]at[\])]"}
+CANDIDATE_HINTS = {"secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16}", "number": r"[0-9]{3}\)?[\x20.-][0-9]{3}", "spelt": r"[\[(]at[\])]"}
 KINDS = [*FORMATS, *CANDIDATES]
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Characters of context on each side.
 AROUND = 24
+#: Numbers that are summed up together, a power of two, and the characters of a candidate in which what it is assigned to is looked for.
+BLOCK, HEAD = 256, 64
 #: Generated examples, trees and their depth.
 EXAMPLES, TREES, DEPTH = 6000, 12, 3
 
 
+def _named(value: Column, use) -> Column:
+    """use(value), where value is evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(sizes: Column) -> Column:
+    """Sums of sizes (array of long) up to each place, by blocks: arrays that grow by one are copied at each step, so they stay short."""
+    blocks = _named(sizes, lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)).cast("int").bitwiseAND(F.lit(-BLOCK)), F.lit(BLOCK)), lambda at: F.slice(v, at + 1, F.lit(BLOCK))))
+    none = F.array().cast("array<bigint>")
+
+    def along(values, start):
+        step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out"))
+        return F.aggregate(values, F.struct(start.alias("at"), none.alias("out")), step, lambda a: a["out"])
+
+    zero = F.lit(0).cast("long")
+    total = lambda v: F.aggregate(v, zero, lambda a, x: a + x)
+    return _named(blocks, lambda b: _named(along(F.transform(b, total), zero), lambda ends: F.flatten(F.transform(b, lambda v, i: along(v, F.coalesce(F.get(ends, i - 1), zero))))))
+
+
 def matches(text: Column, pattern: str, hint: str) -> Column:
     """Array of (s, e, m): start and end in code points and the text of each match, leftmost and without overlaps."""
     found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))).alias("p"), found.alias("m"))
     none = F.array().cast("array<struct<s:bigint,e:bigint,m:string>>")
-    walk = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["p"]) + F.length(x["m"])).cast("long").alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + F.length(x["p"])).cast("long").alias("s"), (a["at"] + F.length(x["p"]) + F.length(x["m"])).cast("long").alias("e"), x["m"].alias("m")))).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
-    return F.when(text.rlike(hint), walk).otherwise(none)
+
+    def placed(f):
+        gaps = F.slice(parts, 1, F.size(f))
+        ends = _running(F.zip_with(gaps, f, lambda p, m: (F.length(p) + F.length(m)).cast("long")))
+        return F.zip_with(ends, f, lambda e, m: F.struct((e - F.length(m)).cast("long").alias("s"), e.alias("e"), m.alias("m")))
+
+    return F.when(text.rlike(hint), _named(found, lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(none))).otherwise(none)
 
 
 def luhn(digits: Column) -> Column:
@@ -84,17 +101,18 @@ def _share(m: Column, pattern: str) -> Column:
 
 
 def features(kind: Column, m: Column, before: Column, after: Column) -> dict[str, Column]:
-    """Format and context of a candidate, as doubles."""
+    """Format and context of a candidate, as doubles, in time that is linear in its length."""
+    head = F.substring(m, 1, HEAD)
     flags = {
         "secret": kind == "secret",
         "spelt": kind == "spelt",
         "hex": m.rlike(r"^(?:[0-9a-f]{24,}|[0-9A-F]{24,})$"),
         "known_prefix": m.rlike(r"^(?:AKIA|ASIA|gh[pousr]_|sk[-_]|xox[a-z]-|eyJ)"),
-        "assigned": m.rlike(r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key|auth)[a-z_]*=") | F.concat(before, m).rlike(r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key|auth)[a-z_]*[\"']?\s*[:=]\s*[\"']?[A-Za-z0-9+/_=-]*$"),
+        "assigned": head.rlike(r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key|auth)[a-z_]*=") | F.concat(before, head).rlike(r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key|auth)[a-z_]*[\"']?\s*[:=]\s*[\"']?[A-Za-z0-9+/_=-]*$"),
         "called": before.rlike(r"(?i)(?:tel|phone|call|mobile|fax|cell|contact)[a-z]*[.:]?\s*$"),
         "grouped": m.rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$"),
         "dated": m.rlike(r"(?:19|20)[0-9]{2}[-_/.]?(?:0[1-9]|1[0-2])[-_/.]?[0-3][0-9]"),
-        "wordy": m.rlike(r"[A-Za-z]{3,}[-_/][A-Za-z]{2,}[-_/]"),
+        "wordy": m.rlike(r"(?<![A-Za-z])[A-Za-z]{3,}+[-_/][A-Za-z]{2,}[-_/]"),
         "linked": before.rlike(r"(?:https?:|www\.|/)\S*$") | after.rlike(r"^[./][A-Za-z0-9]"),
     }
     values = {"length": F.length(m), "digits": _share(m, "[^0-9]"), "uppers": _share(m, "[^A-Z]"), "lowers": _share(m, "[^a-z]"), "turns": F.length(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "0"), "[^0]+", "a")) / F.greatest(F.length(m), F.lit(1))}
@@ -172,14 +190,24 @@ class SpanModel:
         return best
 
 
+_models: dict[tuple[str, float], SpanModel] = {}
+
+
+def span_model(spark: SparkSession, precision: float) -> SpanModel:
+    """The model of this application, trained when it is first asked for."""
+    key = (spark.sparkContext.applicationId, precision)
+    if key not in _models:
+        _models[key] = SpanModel(spark, precision)
+    return _models[key]
+
+
 def personal_data(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     """docs with the columns base and added, which replace columns of those names: arrays of (k, s, e), the number of the
     kind in KINDS, start and end in code points. base holds the format spans, added the chosen candidates.
 
     Null and empty texts have no spans. Other columns, repeated rows and null keys pass through; so does an empty table.
     """
-    spark = docs.sparkSession
-    model = SpanModel(spark, precision)
+    model = span_model(docs.sparkSession, precision)
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def format_spans(i, kind):
