@@ -76,8 +76,8 @@ def _op3_level(k: int) -> str:
     return f"""
 e{k} AS (SELECT *, shape[{k + 1}] AS seg FROM t{k}),
 c{k} AS (SELECT template, seg, count(*) AS n, count(bad) AS l, coalesce(sum(CAST(bad AS INTEGER)), 0) AS b FROM e{k} WHERE seg IS NOT NULL AND seg NOT IN ('*', '**') GROUP BY 1, 2),
-p{k} AS (SELECT *, count(*) OVER (PARTITION BY template) AS kinds, sum(l) OVER (PARTITION BY template) AS pl, sum(b) OVER (PARTITION BY template) AS pb FROM c{k}),
-s{k} AS (SELECT template, seg FROM p{k} WHERE kinds <= 50 AND n >= 5 AND CAST(pb AS DOUBLE) * (pl - pb) * l * (pl - l) > 0
+p{k} AS (SELECT *, sum(l) OVER (PARTITION BY template) AS pl, sum(b) OVER (PARTITION BY template) AS pb FROM c{k}),
+s{k} AS (SELECT template, seg FROM p{k} WHERE n >= 5 AND CAST(pb AS DOUBLE) * (pl - pb) * l * (pl - l) > 0
   AND CAST(b * (pl - l) - (pb - b) * l AS DOUBLE) * CAST(b * (pl - l) - (pb - b) * l AS DOUBLE) * pl >= CAST(pb AS DOUBLE) * (pl - pb) * l * (pl - l) * 3.84),
 t{k + 1} AS (SELECT e.page_id, e.host, e.path, e.shape, e.bad, CASE WHEN e.seg IS NULL THEN e.template
   WHEN s.seg IS NOT NULL OR e.seg = '**' THEN e.template || '/' || e.seg ELSE e.template || '/*' END AS template

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import Scratch
 
 #: Segments after which a template's last wildcards fold into one.
 DEPTH = 4
@@ -79,11 +79,12 @@ def _levels(tree: DataFrame) -> list[int]:
     return sorted(r["level"] for r in children.where((F.col("n") >= MIN_PAGES) & (F.col("labelled") > 0)).select("level").distinct().collect())
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, shape, template, labelled, bad: the template of each shape, from pages of host, shape, bad (boolean or null)."""
-    counts = pages.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.sum(F.when(F.col("bad"), 1).otherwise(0)).alias("bad"))
+def templates(pages: DataFrame, work: Scratch) -> DataFrame:
+    """host, shape, template, labelled, bad: the template of each shape, from counts n of pages of host, shape, bad (boolean or null)."""
+    labelled = F.when(F.col("bad").isNotNull(), F.col("n")).otherwise(0)
+    counts = pages.groupBy("host", "shape").agg(F.sum("n").alias("n"), F.sum(labelled).alias("labelled"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad"))
     # template has a segment for each level so far; fixed is how many of them come before its last wildcards.
-    tree = stored(counts.withColumn("template", F.col("host")).withColumn("fixed", F.lit(0)), "url-shapes")
+    tree = work.stored(counts.withColumn("template", F.col("host")).withColumn("fixed", F.lit(0)), "url-shapes")
     done = 0
     for level in _levels(tree):
         skipped = F.greatest(F.least(F.size("shape"), F.lit(level)) - done, F.lit(0))
@@ -101,7 +102,7 @@ def templates(pages: DataFrame) -> DataFrame:
         stays = stays.select("template", "seg", F.lit(True).alias("stays"))
         name = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", F.when(F.col("stays"), F.col("seg")).otherwise("*")))
         last = F.when(F.col("stays"), level + 1).otherwise(F.col("fixed"))
-        tree = stored(here.join(stays, ["template", "seg"], "left").select("host", "shape", "n", "labelled", "bad", name.alias("template"), last.alias("fixed")), "url-shapes")
+        tree = work.stored(here.join(stays, ["template", "seg"], "left").select("host", "shape", "n", "labelled", "bad", name.alias("template"), last.alias("fixed")), "url-shapes")
         done = level + 1
     size, kept = F.size("shape"), F.greatest("fixed", F.lit(DEPTH))
     whole = F.concat("template", F.repeat(F.lit("/*"), F.greatest(size - done, F.lit(0))))
@@ -114,19 +115,23 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]
 
     labels has a key column `key` (string) and `bad` (boolean); a page's key is the last number in its path. Pages that no rule
     fits get their template's verdict, block or allow; where no labels are known, allow. A null url, or one without
-    "://", has an empty host and path and is judged like any other. Repeated pages and labels count each; rows with null keys
-    have no label. An empty table gives no rows.
+    "://", has an empty host and path and is judged like any other. Repeated pages and labels count each; rows whose keys aren't numbers
+    label nothing. An empty table gives no rows.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    key = F.nullif(F.regexp_extract(F.col("__path"), r"([0-9]+)[^0-9]*$", 1), F.lit(""))
+    numbers = F.filter(F.split(F.col("__path"), "[^0-9]+", -1), lambda x: x != "")
     parsed = pages.select(*keep, host.alias("__host"), path.alias("__path")).withColumn("__shape", segments_of(F.col("__path")))
-    known = labels.where("key IS NOT NULL AND bad IS NOT NULL").groupBy("key").agg(F.max("bad").alias("bad"))
-    labelled = parsed.select(F.col("__host").alias("host"), F.col("__shape").alias("shape"), key.alias("key")).join(known, "key", "left").select("host", "shape", "bad")
-    shapes = templates(labelled)
+    known = labels.where("bad IS NOT NULL").where(F.col("key").rlike("^[0-9]+$")).groupBy("key").agg(F.max("bad").alias("bad"))
+    work = Scratch(pages.sparkSession)
+    # Pages are counted before they meet labels, so that no key is hot; those without a number get keys of their own.
+    counts = parsed.select(F.col("__host").alias("host"), F.col("__shape").alias("shape"), numbers.alias("numbers")).withColumn("key", F.coalesce(F.try_element_at("numbers", F.lit(-1)), F.concat(F.lit("-"), F.xxhash64("host", "shape"))))
+    counts = counts.groupBy("host", "shape", "key").agg(F.count("*").alias("n"))
+    shapes = templates(counts.join(known, "key", "left"), work)
     prior = shapes.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("prior"))  # one row
     sums = shapes.groupBy("template").agg(F.sum("bad").alias("t_b"), F.sum("labelled").alias("t_l"))
     purity = (F.col("t_b") + F.coalesce("prior", F.lit(0.0)) * PRIOR) / (F.col("t_l") + PRIOR)
-    judged = stored(shapes.join(sums.crossJoin(F.broadcast(prior)), "template").select(F.col("host").alias("h"), F.col("shape").alias("s"), "template", purity.alias("purity")), "url-verdicts")
+    judged = work.stored(shapes.join(sums.crossJoin(F.broadcast(prior)), "template").select(F.col("host").alias("h"), F.col("shape").alias("s"), "template", purity.alias("purity")), "url-verdicts")
+    work.release(judged)
     out = parsed.join(judged, (F.col("__host") == F.col("h")) & (F.col("__shape") == F.col("s")), "left").withColumn("__r", rule_for(F.col("__host"), F.col("__path"), rules))
     own = F.when(F.col("purity") >= LIMIT, "block").otherwise("allow")
     return out.select(*keep, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__r.rule").alias("rule"), F.coalesce(F.col("__r.verdict"), own).alias("verdict"), "template", "purity")
