@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import as_batch, bounded_batches, mix, parallelism, slices, stored
+from tidemark.llm.shared import Scratch, as_batch, bounded_batches, mix, parallelism, slices
 from tidemark.llm.tokens import default_vocabulary, encoder
 
 NULL_KEY = -(1 << 63)
@@ -142,10 +142,12 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
 
     spark = docs.sparkSession
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
-    table = stored(frame.mapInArrow(encode, ENCODED), "token-store-ids")
+    work = Scratch(spark)
+    table = work.stored(frame.mapInArrow(encode, ENCODED), "token-store-ids")
     parts = max(parallelism(spark), -(-(table.agg(F.sum("n")).first()[0] or 0) // (8 * shard_ids)))
     ordered = table.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     ordered.mapInArrow(shards, SHARDS).write.option("compression", "zstd").parquet(f"{path}/shards")
+    work.release()
     read = spark.read.parquet(f"{path}/shards").groupBy("part").agg(F.sum("n_ids"), F.min("low"), F.max("high"))
     totals = sorted(read.collect())  # one row a part
     base = accumulate([0, *(t[1] for t in totals)])
