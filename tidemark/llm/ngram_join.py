@@ -39,6 +39,8 @@ CHARACTERS_PER_COUNTER = 192
 SKETCH_BITS = (16, 22)
 #: Postings that one reducer group gets, about.
 POSTINGS_PER_RANGE = 1 << 19
+#: Settled postings that pass through a reducer group.
+PASSED = 1 << 14
 #: Partners that a node is held against before the rest is taken pair by pair, and rings that the shingles lay through a bucket.
 KEPT, RINGS = 4, 3
 #: Fragments of the global order, of about equal mass; their bounds lie on these cuts of the hash within a class.
@@ -152,8 +154,8 @@ def _buckets(docs: DataFrame, classes, seed: int, percent: int, ranges: int) ->
             # All but a bucket's first are settled here, and only pass through, in a group of their own.
             own = ~first | several
             leader, peer = _partners(t[own], ids[own], n[own], percent)
-            here = ~first[own]
-            rows = [(-1 - int(ids[0] % (1 << 30)), *(x[here].tobytes() for x in (t[own], ids[own], leader, peer)))] if here.any() else []
+            settled = [x[~first[own]] for x in (t[own], ids[own], leader, peer)]
+            rows = [(-1 - int((ids[0] + at) % (1 << 30)), *(x[at : at + PASSED].tobytes() for x in settled)) for at in range(0, len(settled[0]), PASSED)]
             t, ids, n, several = t[first], ids[first], n[first].astype(np.int32), several[first]
             r = (((t >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(r)) + 1
@@ -352,7 +354,7 @@ def ngram_groups(docs: DataFrame, percent: int = 80, row: tuple[str, str] | None
         raise RuntimeError("sets keep sharing fingerprints")
     classes = spark.sparkContext.broadcast(frequency_classes(table, bits))
 
-    ranges = max(parallelism(spark), -(-(postings or 0) // POSTINGS_PER_RANGE))
+    ranges = max(4 * parallelism(spark), -(-(postings or 0) // POSTINGS_PER_RANGE))
     buckets = work.stored(_buckets(docs, classes, seed, percent, ranges), "ngram-buckets")
     partners = buckets.select(F.col("node").alias("a"), F.explode(F.array("leader", "peer")).alias("b")).where("a <> b")
     likely = work.stored(_closest(_likely(_most_shared(partners), nodes, percent), KEPT), "ngram-tried")
