@@ -99,14 +99,13 @@ def nearest_weather_by_minute(energy: DataFrame, weather: DataFrame) -> DataFram
 def candidate_pairs(energy: DataFrame, weather: DataFrame) -> DataFrame:
     """All (energy key, weather time) pairs in reach; an energy row without any keeps one with a null.
 
-    An equality join on hour buckets with the exact bounds as residual, so that it never compares every pair.
+    One outer join on hour buckets with the exact bounds as residual, so that it never compares every pair. Weather, which
+    has fewer rows, goes to the eight hours from which it can be reached; each energy row lies in its own hour alone, so
+    the join finds those without a match too.
     """
     us = _micros(F.col("event_timestamp_utc"))
     hour = lambda c: F.floor(c / HOUR_US)
-    e = energy.select(*ENERGY_KEY, us.alias("e_us")).withColumn("hour", F.explode(F.sequence(hour(F.col("e_us") - BEFORE_US), hour(F.col("e_us") + AFTER_US))))
-    w = weather.select(F.col("event_timestamp_utc").alias("weather_event_timestamp_utc"), "city", us.alias("w_us")).withColumn("hour", hour(F.col("w_us")))
-    pairs = e.join(w, "hour").where(F.col("w_us").between(F.col("e_us") - BEFORE_US, F.col("e_us") + AFTER_US)).select(*ENERGY_KEY, "weather_event_timestamp_utc", "city")
-    same = F.lit(True)
-    for k in ENERGY_KEY:
-        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    return energy.select(*ENERGY_KEY).alias("a").join(pairs.alias("b"), same, "left").select(*[f"a.{k}" for k in ENERGY_KEY], "weather_event_timestamp_utc", "b.city")
+    e = energy.select(*ENERGY_KEY, us.alias("e_us")).withColumn("hour", hour(F.col("e_us")))
+    w = weather.select(F.col("event_timestamp_utc").alias("weather_event_timestamp_utc"), "city", us.alias("w_us")).withColumn("w_hour", F.explode(F.sequence(hour(F.col("w_us") - AFTER_US), hour(F.col("w_us") + BEFORE_US))))
+    reach = F.col("w_us").between(F.col("e_us") - BEFORE_US, F.col("e_us") + AFTER_US)
+    return e.join(w, (F.col("hour") == F.col("w_hour")) & reach, "left").select(*ENERGY_KEY, "weather_event_timestamp_utc", "city")
