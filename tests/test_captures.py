@@ -11,11 +11,11 @@ from tidemark.sources.bronze import land_capture, read_captures, with_file_times
 from tidemark.sources.contracts import ENERGY_CONTRACT, WEATHER_CONTRACT, ContractError, check_contract, load_contract, resolve_contract, validate, violations, with_violations
 from tidemark.sources.tables import append_by_date, create_view, replace_table
 
-NOW = datetime(2026, 2, 8, 18, 50, 41, tzinfo=timezone.utc)
+NOW = datetime(2025, 11, 3, 7, 5, 9, tzinfo=timezone.utc)
 
 
 def weather(**change):
-    own = {"id": 7, "dt": 1704110400, "name": "Leeds", "cod": 200, "coord": {"lat": 53.5, "lon": -1.5}, "sys": {"country": "GB"}, "main": {"temp": 10.0, "feels_like": 9, "humidity": 82, "pressure": 1005}, "weather": [{"main": "Clouds", "description": "broken clouds"}], "wind": {"speed": 4.5}, "clouds": {"all": 70}}
+    own = {"id": 7, "dt": 1704110400, "name": "Leeds", "cod": 200, "coord": {"lat": 53.5, "lon": -1.5}, "sys": {"country": "GB"}, "main": {"temp": 6.5, "feels_like": 9, "humidity": 82, "pressure": 1005}, "weather": [{"main": "Clouds", "description": "broken clouds"}], "wind": {"speed": 4.5}, "clouds": {"all": 70}}
     return {k: v for k, v in (own | change).items() if v is not ...}
 
 
@@ -34,29 +34,29 @@ def names(schema):
 
 
 def test_weather_keeps_the_latest_capture(spark, tmp_path):
-    put(tmp_path, "weather", "weather_20260208_120000.json", weather())
-    put(tmp_path, "weather", "ingestion_date=2026-02-08/weather_20260208_130000.json", weather(main={"temp": 11, "feels_like": 9, "humidity": 82}))
-    put(tmp_path, "weather", "weather_20260208_140000.json", weather(dt=..., weather=[], sys=...))
-    put(tmp_path, "weather", "weather_20260208_150000.json", "{not json")
+    put(tmp_path, "weather", "weather_20251103_060000.json", weather())
+    put(tmp_path, "weather", "ingestion_date=2025-11-03/weather_20251103_073000.json", weather(main={"temp": 7.25, "feels_like": 9, "humidity": 82}))
+    put(tmp_path, "weather", "weather_20251103_081500.json", weather(dt=..., weather=[], sys=...))
+    put(tmp_path, "weather", "weather_20251103_090000.json", "{not json")
     put(tmp_path, "weather", "other.json", weather(main={"temp": 1.0}))
     raw = read_captures(spark, str(tmp_path / "raw" / "weather"), "weather")
     df = silver_weather(raw)
     assert df.columns == names(SILVER_WEATHER)
     got = sorted(df.collect(), key=lambda r: r.source_file)
-    assert [(r.source_file, r.temperature_c, str(r.event_timestamp_utc), r.country_code, r.weather_main) for r in got] == [("weather_20260208_130000.json", 11.0, "2024-01-01 12:00:00", "GB", "Clouds"), ("weather_20260208_140000.json", 10.0, "None", None, None)]
-    assert str(got[0].ingestion_timestamp_utc) == "2026-02-08 13:00:00" and str(got[0].event_date_utc) == "2024-01-01" and got[0].source_record_id == "7"
+    assert [(r.source_file, r.temperature_c, str(r.event_timestamp_utc), r.country_code, r.weather_main) for r in got] == [("weather_20251103_073000.json", 7.25, "2024-01-01 12:00:00", "GB", "Clouds"), ("weather_20251103_081500.json", 6.5, "None", None, None)]
+    assert str(got[0].ingestion_timestamp_utc) == "2025-11-03 07:30:00" and str(got[0].event_date_utc) == "2024-01-01" and got[0].source_record_id == "7"
     assert sum(r._corrupt is not None for r in raw.collect()) == 1
     filled = with_file_times(silver_weather(raw.where("source_file = 'other.json'")), raw).first()
     assert filled.ingestion_timestamp_utc is not None
 
 
 def test_energy_explodes_and_keeps_the_latest(spark, tmp_path):
-    put(tmp_path, "energy", "energy_20260208_120000.json", energy([{"_id": 1, "Timestamp": "2025-08-23T10:00:00", "Demand": 2437.38}]))
-    put(tmp_path, "energy", "energy_20260208_130000.json", energy([{"_id": 1, "Timestamp": "2025-08-23T10:00:00", "Demand": 2500}, {"_id": 2, "Timestamp": "2025-08-23T10:05:00", "Demand": 1.5, "STOR": 3}, {"_id": 3, "Timestamp": "soon"}, {"_id": 4}]))
-    put(tmp_path, "energy", "energy_20260208_140000.json", energy([]))
+    put(tmp_path, "energy", "energy_20251103_060000.json", energy([{"_id": 1, "Timestamp": "2025-03-14T21:30:00", "Demand": 812.5}]))
+    put(tmp_path, "energy", "energy_20251103_073000.json", energy([{"_id": 1, "Timestamp": "2025-03-14T21:30:00", "Demand": 830}, {"_id": 2, "Timestamp": "2025-03-14T21:35:00", "Demand": 1.5, "STOR": 3}, {"_id": 3, "Timestamp": "soon"}, {"_id": 4}]))
+    put(tmp_path, "energy", "energy_20251103_081500.json", energy([]))
     df = silver_energy(read_captures(spark, str(tmp_path / "raw" / "energy"), "energy"))
     assert df.columns == names(SILVER_ENERGY)
-    assert [(r.source_record_id, r.demand_mw, r.stor_mw, str(r.event_date_utc)) for r in df.orderBy("source_record_id").collect()] == [("1", 2500.0, None, "2025-08-23"), ("2", 1.5, 3.0, "2025-08-23")]
+    assert [(r.source_record_id, r.demand_mw, r.stor_mw, str(r.event_date_utc)) for r in df.orderBy("source_record_id").collect()] == [("1", 830.0, None, "2025-03-14"), ("2", 1.5, 3.0, "2025-03-14")]
 
 
 @pytest.mark.parametrize(
@@ -114,11 +114,11 @@ def test_ingest_lands_what_is_valid(tmp_path):
         return 200, weather() if url == "http://w" else energy([{"_id": 1}])
 
     paths = feeds.ingest(FEEDS, get, str(tmp_path), "ALL", ENV, NOW)
-    assert [p.removeprefix(str(tmp_path)) for p in paths] == [f"/raw/{d}/ingestion_date=2026-02-08/{d}_20260208_185041.json" for d in ("weather", "energy")]
+    assert [p.removeprefix(str(tmp_path)) for p in paths] == [f"/raw/{d}/ingestion_date=2025-11-03/{d}_20251103_070509.json" for d in ("weather", "energy")]
     assert asked[0][1]["appid"] == "one" and asked[1][2] == {"Authorization": "two"} and asked[0][3] == 30
     with pytest.raises(FileExistsError):
         feeds.ingest(FEEDS, get, str(tmp_path), "energy", ENV, NOW)
-    assert land_capture(str(tmp_path), "x", {}, NOW, dated=False).endswith("/raw/x/x_20260208_185041.json")
+    assert land_capture(str(tmp_path), "x", {}, NOW, dated=False).endswith("/raw/x/x_20251103_070509.json")
 
 
 @pytest.mark.parametrize("dataset", ["weather", "energy"])

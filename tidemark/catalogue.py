@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import measures as M
 from tidemark.operators import asof, features, quality, rollup, serving, silver
-from tidemark.plans.adapter import energy_events, recaptured, weather_events
+from tidemark.plans.adapter import energy_events, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
 from tidemark.schemas import ENERGY_KEY, WEATHER_KEY
+from tidemark.sources.contracts import WEATHER_CONTRACT, with_violations
 
 #: The checks' present: the end of the events' month, so that results don't depend on the clock.
 NOW = "2024-01-30 12:00:00"
@@ -155,6 +156,11 @@ def _rolled_sql(columns: str) -> str:
 
 _SERIES_SQL = f"WITH {_FULL}, sf AS (SELECT *, lag(demand_mw) OVER o AS demand_lag_1, lag(temperature) OVER o AS temperature_lag_1, round(avg(demand_mw) OVER (o ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS demand_rolling_mean_12, round(avg(temperature) OVER (o ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS temperature_rolling_mean_12 FROM fb WINDOW o AS (PARTITION BY resource_id, city ORDER BY event_timestamp_utc, source_record_id))\nSELECT {_IDS}, "
 _LATEST = "WITH {w}, r2 AS (SELECT *, ingestion_timestamp_utc + INTERVAL 1 HOUR AS late FROM {t})\nSELECT * EXCLUDE (late) REPLACE (late AS ingestion_timestamp_utc, {m} + 1 AS {m}) FROM r2"
+_RIVALS = """WITH {w}, r AS (SELECT * REPLACE ('capture-' || lpad(source_record_id, 9, '0') AS source_file,
+  CASE WHEN CAST(source_record_id AS BIGINT) % 5 <> 0 THEN date_trunc('day', event_timestamp_utc) + INTERVAL 1 HOUR * (CAST(source_record_id AS BIGINT) % 3) END AS ingestion_timestamp_utc,
+  date_trunc('hour', event_timestamp_utc) AS event_timestamp_utc, CASE WHEN CAST(source_record_id AS BIGINT) % 7 <> 0 THEN {k} END AS {k},
+  CAST(CAST(source_record_id AS BIGINT) % 3 AS VARCHAR) AS source_record_id) FROM {t})
+SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ingestion_timestamp_utc DESC NULLS LAST, source_file DESC) AS place FROM r) WHERE place = 1"""
 _LABELS = " UNION ALL ".join(f"SELECT '{n}' AS aggregation_level, date_trunc('{u}', event_timestamp_utc) AS bucket_start_utc, city, country_code, resource_id, arg_max(weather_main, (event_timestamp_utc, weather_main)) AS latest_weather_main FROM rb GROUP BY ALL" for n, u in (("hourly", "hour"), ("daily", "day")))
 
 #: name: (query, SQL or None)
@@ -164,6 +170,14 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "props_json_extract": (lambda s, d: s.read.parquet(f"{d}/events.parquet").select("event_id", F.get_json_object("props", "$.k").try_cast("double").alias("k")), f"WITH {WITH}\nSELECT event_id, k FROM ev"),
     "dedup_latest_energy": (lambda s, d: silver.latest_by_key(recaptured(energy_events(s, d), "demand_mw"), ENERGY_KEY), _LATEST.format(w=WITH, t="se", m="demand_mw")),
     "dedup_latest_weather": (lambda s, d: silver.latest_by_key(recaptured(weather_events(s, d), "temperature_c"), WEATHER_KEY), _LATEST.format(w=WITH, t="sw", m="temperature_c")),
+    "dedup_rivals_energy": (lambda s, d: silver.latest_by_key(rival_captures(energy_events(s, d), "resource_id"), ENERGY_KEY), _RIVALS.format(w=WITH, t="se", k="resource_id", keys=", ".join(ENERGY_KEY))),
+    "dedup_rivals_weather": (lambda s, d: silver.latest_by_key(rival_captures(weather_events(s, d), "city"), WEATHER_KEY), _RIVALS.format(w=WITH, t="sw", k="city", keys=", ".join(WEATHER_KEY))),
+    "captures_typed_energy": (lambda s, d: silver.typed_energy(raw_energy(s, d)),
+        f"WITH {WITH}\nSELECT * REPLACE ('energy_' || strftime(event_date_utc, '%Y%m%d') || '_120000.json' AS source_file, date_trunc('second', event_timestamp_utc) AS event_timestamp_utc, CAST(event_date_utc AS TIMESTAMP) + INTERVAL 12 HOUR AS ingestion_timestamp_utc) FROM se WHERE CAST(source_record_id AS BIGINT) % 101 <> 0"),
+    "captures_typed_weather": (lambda s, d: silver.typed_weather(raw_weather(s, d)),
+        f"WITH {WITH}, n AS (SELECT *, CAST(source_record_id AS BIGINT) AS n FROM sw)\nSELECT * EXCLUDE (n) REPLACE (CASE WHEN n % 10 = 0 THEN 'other.json' ELSE 'weather_' || strftime(event_timestamp_utc, '%Y%m%d_%H%M%S') || '.json' END AS source_file, CASE WHEN n % 10 <> 0 THEN date_trunc('second', event_timestamp_utc) END AS ingestion_timestamp_utc, date_trunc('second', event_timestamp_utc) AS event_timestamp_utc, CASE WHEN n % 17 <> 0 THEN weather_main END AS weather_main, CASE WHEN n % 17 <> 0 THEN weather_description END AS weather_description) FROM n"),
+    "contract_violations": (lambda s, d: with_violations(weather_payloads(s, d), WEATHER_CONTRACT).select("id", (F.size("violations") == 0).alias("valid")),
+        f"WITH {WITH}, n AS (SELECT *, CAST(source_record_id AS BIGINT) AS id FROM sw)\nSELECT id, id % 11 <> 0 AND id % 9 <> 0 AND id % 12 <> 0 AND id % 17 <> 0 AND temperature_c IS NOT NULL AND feels_like_c IS NOT NULL AND humidity_pct IS NOT NULL AND cloud_cover_pct IS NOT NULL AND wind_speed_mps IS NOT NULL AS valid FROM n"),
     "range_join_candidates": (lambda s, d: asof.candidate_pairs(energy_events(s, d), weather_events(s, d)).groupBy(*ENERGY_KEY).agg(F.count("weather_event_timestamp_utc").alias("candidates")),
         f"WITH {WITH}\nSELECT e.resource_id, e.source_record_id, e.event_timestamp_utc, count(w.event_timestamp_utc) AS candidates FROM se e LEFT JOIN sw w ON w.event_timestamp_utc BETWEEN e.event_timestamp_utc - INTERVAL 6 HOUR AND e.event_timestamp_utc + INTERVAL 1 HOUR GROUP BY 1, 2, 3"),
     "nearest_weather_join": (_joined, f"WITH {WITH},{JOIN}\nSELECT * FROM wj"),

@@ -40,3 +40,52 @@ def recaptured(df: DataFrame, measure: str) -> DataFrame:
     """df with a second capture of every row an hour later, with another value of measure: input for keep-latest."""
     again = df.withColumns({"ingestion_timestamp_utc": F.col("ingestion_timestamp_utc") + F.expr("INTERVAL 1 HOUR"), measure: F.col(measure) + 1})
     return df.unionByName(again)
+
+
+def rival_captures(df: DataFrame, key: str) -> DataFrame:
+    """df with many captures of a key: times cut to the hour, few record ids, null and equal ingestion times, null keys."""
+    n = F.col("source_record_id").cast("long")
+    return df.withColumns(
+        {
+            "source_file": F.concat(F.lit("capture-"), F.lpad("source_record_id", 9, "0")),
+            "ingestion_timestamp_utc": F.when(n % 5 != 0, F.date_trunc("day", "event_timestamp_utc") + F.make_dt_interval(hours=(n % 3).cast("int"))),
+            "event_timestamp_utc": F.date_trunc("hour", "event_timestamp_utc"),
+            key: F.when(n % 7 != 0, F.col(key)),
+            "source_record_id": (n % 3).cast("string"),
+        }
+    )
+
+
+def raw_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy events as raw captures, one a resource and day; every 101st record has no readable time, and one capture no records."""
+    n = F.col("source_record_id").cast("long")
+    time = F.when(n % 101 == 0, F.lit("soon")).otherwise(F.date_format("event_timestamp_utc", "yyyy-MM-dd HH:mm:ss"))
+    names = {"demand_mw": "Demand", "generation_mw": "Generation", "import_mw": "Import", "solar_mw": "Solar", "wind_mw": "Wind", "stor_mw": "STOR", "other_mw": "Other"}
+    record = F.struct(n.alias("_id"), time.alias("Timestamp"), *[F.col(k).alias(v) for k, v in names.items()])
+    days = energy_events(spark, sf_dir).groupBy("resource_id", "event_date_utc").agg(F.collect_list(record).alias("records"))
+    kind = days.schema["records"].dataType
+    days = days.unionByName(spark.range(1).select(F.lit("none").alias("resource_id"), F.lit("2024-01-01").cast("date").alias("event_date_utc"), F.lit(None).cast(kind).alias("records")))
+    name = F.concat(F.lit("energy_"), F.date_format("event_date_utc", "yyyyMMdd"), F.lit("_120000.json"))
+    return days.select(name.alias("source_file"), F.struct("resource_id", "records").alias("result"), F.lit(None).cast("string").alias("_corrupt"))
+
+
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather events as raw captures; every 10th has a file name without a time, every 17th no weather entries."""
+    n = F.col("source_record_id").cast("long")
+    file = F.when(n % 10 == 0, F.lit("other.json")).otherwise(F.concat(F.lit("weather_"), F.date_format("event_timestamp_utc", "yyyyMMdd_HHmmss"), F.lit(".json")))
+    entry = F.struct(F.col("weather_main").alias("main"), F.col("weather_description").alias("description"))
+    return weather_events(spark, sf_dir).select(
+        file.alias("source_file"), n.alias("id"), F.unix_timestamp("event_timestamp_utc").alias("dt"), F.col("city").alias("name"), F.lit(200).alias("cod"),
+        F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")).alias("coord"), F.struct(F.col("country_code").alias("country")).alias("sys"),
+        F.struct(F.col("temperature_c").alias("temp"), F.col("feels_like_c").alias("feels_like"), F.col("humidity_pct").alias("humidity"), F.col("pressure_hpa").alias("pressure")).alias("main"),
+        F.struct(F.col("cloud_cover_pct").alias("all")).alias("clouds"), F.struct(F.col("wind_speed_mps").alias("speed")).alias("wind"),
+        F.when(n % 17 == 0, F.array().cast("array<struct<main:string,description:string>>")).otherwise(F.array(entry)).alias("weather"), F.lit(None).cast("string").alias("_corrupt"),
+    )
+
+
+def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id and value, the captures as JSON texts: every 11th isn't JSON, every 9th has no time, every 12th an empty name."""
+    n = F.col("id")
+    raw = raw_weather(spark, sf_dir).withColumns({"dt": F.when(n % 9 != 0, F.col("dt")), "name": F.when(n % 12 == 0, F.lit("")).otherwise(F.col("name"))})
+    text = F.to_json(F.struct(*[c for c in raw.columns if c not in ("source_file", "_corrupt")]))
+    return raw.select("id", F.when(n % 11 == 0, F.lit("{")).otherwise(text).alias("value"))

@@ -25,8 +25,8 @@ WEATHER_CONTRACT = {
         "dt": {"type": "integer"},
         "name": {"type": "string", "minLength": 1},
         "cod": {"type": "integer"},
-        "main": {"type": "object", "required": ["temp", "feels_like", "humidity"], "properties": {k: {"type": "number"} for k in ("temp", "feels_like", "humidity")}},
-        "weather": {"type": "array", "minItems": 1, "items": {"type": "object", "required": ["main", "description"], "properties": {k: {"type": "string"} for k in ("main", "description")}}},
+        "main": {"type": "object", "required": ["temp", "feels_like", "humidity"], "properties": {"temp": {"type": "number"}, "feels_like": {"type": "number"}, "humidity": {"type": "number"}}},
+        "weather": {"type": "array", "minItems": 1, "items": {"type": "object", "required": ["main", "description"], "properties": {"main": {"type": "string"}, "description": {"type": "string"}}}},
         "wind": {"type": "object", "required": ["speed"], "properties": {"speed": {"type": "number"}}},
         "clouds": {"type": "object", "required": ["all"], "properties": {"all": {"type": "number"}}},
     },
