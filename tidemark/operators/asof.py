@@ -57,9 +57,11 @@ def _matched(energy: DataFrame, weather: DataFrame, unit) -> DataFrame:
     first = Window.partitionBy("us").orderBy(F.col("city").asc_nulls_last(), F.col("source_record_id").asc_nulls_last())
     w = weather.where("event_timestamp_utc IS NOT NULL").withColumn("us", us).withColumn("__n", F.row_number().over(first)).where("__n = 1")
     packed = F.struct("us", F.col("event_timestamp_utc").alias("at"), F.col("ingestion_timestamp_utc").alias("came"), *WEATHER_PART)
-    w = w.select("us", unit(F.col("us")).alias("u"), packed.alias("w"))
-    w = w.withColumn("ahead", F.collect_list("w").over(Window.partitionBy("u")))
-    w = w.select(_bucket(F.col("us")).alias("bucket"), "us", F.lit(0).alias("side"), "w", "ahead")
+    w = w.select(unit(F.col("us")).alias("u"), packed.alias("w"))
+    # All rows of a unit carry its last row; only its first carries them all, for energy rows whose reach ends within it.
+    units = w.groupBy("u").agg(F.sort_array(F.collect_list("w")).alias("all")).withColumn("end", F.element_at("all", -1))
+    ahead = F.transform("all", lambda x, i: F.struct(x["us"].alias("us"), x.alias("w"), F.struct(F.col("end").alias("end"), F.when(i == 0, F.col("all")).alias("all")).alias("ahead")))
+    w = units.select(F.inline(ahead)).select(_bucket(F.col("us")).alias("bucket"), "us", F.lit(0).alias("side"), "w", "ahead")
     w = w.unionByName(_carried(w)).withColumn("e", F.lit(None))
     e = energy.select(_bucket(us).alias("bucket"), us.alias("us"), F.lit(1).alias("side"), F.lit(None).alias("w"), F.lit(None).alias("ahead"), F.struct(*energy.columns).alias("e"))
     both = w.unionByName(e)
@@ -69,8 +71,9 @@ def _matched(energy: DataFrame, weather: DataFrame, unit) -> DataFrame:
     # Descending, an energy row comes before the weather rows of its own instant; prev has those.
     both = both.withColumn("next", F.last("ahead", ignorenulls=True).over(forth)).where("side = 1")
     prev = F.when(F.col("prev.us") >= F.col("us") - BEFORE_US, F.col("prev"))
-    within = F.filter("next", lambda x: (x["us"] <= F.col("us") + AFTER_US) & (x["us"] >= F.col("us") - BEFORE_US))
-    last = F.reduce(within, F.lit(None).cast(both.schema["prev"].dataType), lambda a, x: F.when(a.isNull() | (x["us"] > a["us"]), x).otherwise(a))
+    # The next row lies in the energy row's own unit, whose end is in reach, or is the first of a later unit.
+    reached = F.filter("next.all", lambda x: x["us"] <= F.col("us") + AFTER_US)
+    last = F.when(F.col("next.end.us") <= F.col("us") + AFTER_US, F.col("next.end")).otherwise(F.get(reached, F.size(reached) - 1))
     far = lambda c: F.abs(unit(c["us"]) - unit(F.col("us")))
     both = both.select("us", "e", prev.alias("prev"), last.alias("next"))
     chosen = F.when(F.col("next").isNull(), F.col("prev")).when(F.col("prev").isNull() | (far(F.col("next")) <= far(F.col("prev"))), F.col("next")).otherwise(F.col("prev"))
