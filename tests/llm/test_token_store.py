@@ -34,8 +34,21 @@ def test_round_trip(spark, make_docs, odd_texts, words, tmp_path):
     asked = lookup(spark, path, spark.createDataFrame([(14,), (21,), (21,), (22,), (None,)], "doc_id long")).toPandas()
     assert sorted(asked.doc_id.fillna(-1).astype(int)) == [-1, -1, 14, 14, 14, 21]
     assert list(asked[asked.doc_id == 21].ids.iloc[0]) == [*whole(texts[3]), 2]
+    every = lookup(spark, path, docs.select("doc_id")).toPandas().sort_values("start")
+    assert every.start.tolist() == got.start.tolist() and [len(x) for x in every.ids] == got.n_tokens.tolist()
+    assert lookup(spark, path, spark.createDataFrame([(-5,), (22,), (10**9,)], "doc_id long")).count() == 0
 
 
 def test_an_empty_table(spark, make_docs, tmp_path):
     write_store(make_docs([]), str(tmp_path / "none"))
     assert read_store(spark, str(tmp_path / "none")).count() == 0
+    assert lookup(spark, str(tmp_path / "none"), spark.createDataFrame([(1,)], "doc_id long")).count() == 0
+
+
+def test_a_key_whose_rows_fill_several_parts(spark, make_docs, tmp_path):
+    rows = [(5, f"text {i}") for i in range(400)] + [(1, "a"), (9, "b")]
+    path = str(tmp_path / "hot")
+    write_store(make_docs(rows), path, shard_ids=50)
+    assert spark.read.parquet(f"{path}/manifest").where("low <= 5 AND high >= 5").count() > 1
+    got = lookup(spark, path, spark.createDataFrame([(5,), (9,)], "doc_id long")).toPandas()
+    assert sorted(got.doc_id) == [5] * 400 + [9] and got.start.nunique() == 401

@@ -17,6 +17,7 @@ constant time in a shard: hash to a bucket, seed, slot; the fingerprint tells ke
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import numpy as np
@@ -186,13 +187,27 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 def lookup(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """doc_id, start, ids (array of int) of the wanted (doc_id) documents that the store holds; a repeated doc_id gives each.
 
-    Keys go to shards by the shards' ranges (a join of two numbers a shard), then one probe of the index finds each.
+    A binary search over the manifest gives each key its parts. Only the shards of those parts are read, and those whose
+    range holds a key meet it by a join on the part; then one probe of the index finds each key.
     """
-    bases, schema = _bases(spark, path), "doc_id long, start long, ids array<int>"
-    table = spark.read.schema(SHARDS).parquet(f"{path}/shards")
+    manifest = sorted((r.low, r.high, r.part, r.base) for r in spark.read.parquet(f"{path}/manifest").collect())  # one row a part
+    bases, schema = {part: base for *_, part, base in manifest}, "doc_id long, start long, ids array<int>"
+    # Parts lie in ascending order, and neighbours share a key only where its rows are split among them.
+    lows, highs, parts = [m[0] for m in manifest], [m[1] for m in manifest], [m[2] for m in manifest]
+
+    def placed(batches):
+        for batch in batches:
+            found = [(key, part) for key in batch.column(0).to_pylist() for part in parts[bisect_left(highs, key) : bisect_right(lows, key)]]
+            if found:
+                yield as_batch(found, "key long, part int")
+
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
-    asked = wanted.select(key.alias("key")).distinct().join(table.select("part", "seq", "low", "high"), F.expr("key BETWEEN low AND high"))
-    grouped = asked.groupBy("part", "seq").agg(F.collect_set("key").alias("asked"))
+    work = Scratch(spark)
+    asked = work.stored(wanted.select(key.alias("key")).distinct().mapInArrow(placed, "key long, part int"), "token-store-asked")
+    named = sorted(r.part for r in asked.select("part").distinct().collect())  # at most one row a part
+    table = spark.read.schema(SHARDS).parquet(f"{path}/shards").where(F.col("part").isin(named))
+    ranges = table.select("part", "seq", "low", "high")
+    grouped = asked.join(ranges, "part").where("key BETWEEN low AND high").groupBy("part", "seq").agg(F.collect_set("key").alias("asked"))
 
     def run(batches):
         for whole in batches:
