@@ -154,3 +154,12 @@ def test_sinks(spark, tmp_path):
     create_view(df, "v_sink")
     assert spark.sql("SELECT count(*) FROM v_sink").first()[0] == 4
     spark.sql("DROP TABLE t_sink")
+
+
+def test_a_capture_lands_on_a_file_system_named_by_a_uri(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    path = land_capture(root, "weather", {"name": "Örebro"}, NOW)
+    assert path == f"{root}/raw/weather/ingestion_date=2025-11-03/weather_20251103_070509.json"
+    assert [r.name for r in read_captures(spark, f"{root}/raw/weather", "weather").collect()] == ["Örebro"]
+    with pytest.raises(FileExistsError):
+        land_capture(root, "weather", {}, NOW)

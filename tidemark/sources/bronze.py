@@ -31,15 +31,31 @@ def with_file_times(silver: DataFrame, raw: DataFrame) -> DataFrame:
     return out.select(*silver.columns)
 
 
+def _create(path: str, text: str) -> None:
+    """Write a new file. A path with a scheme goes to that file system, with the active session's settings."""
+    if "://" not in path:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        with open(path, "x", encoding="utf-8") as f:
+            f.write(text)
+        return
+    spark = SparkSession.active()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(target):
+        raise FileExistsError(path)
+    out = files.create(target, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
 def land_capture(root: str, dataset: str, payload: dict, now: datetime | None = None, dated: bool = True) -> str:
     """Write one payload to <root>/raw/<dataset>/ingestion_date=.../<dataset>_<time>.json (without the date folder if not dated).
 
-    An existing capture is never replaced: a second one in the same second is an error.
+    root is a local folder or the URI of one on any file system that Spark reads. An existing capture is never replaced: a
+    second one in the same second is an error.
     """
     now = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
-    folder = Path(root, "raw", dataset, *([f"ingestion_date={now:%Y-%m-%d}"] if dated else []))
-    folder.mkdir(parents=True, exist_ok=True)
-    path = folder / f"{dataset}_{now:%Y%m%d_%H%M%S}.json"
-    with path.open("x") as f:
-        json.dump(payload, f, indent=2)
-    return str(path)
+    folder = [f"ingestion_date={now:%Y-%m-%d}"] if dated else []
+    path = "/".join([root.rstrip("/"), "raw", dataset, *folder, f"{dataset}_{now:%Y%m%d_%H%M%S}.json"])
+    _create(path, json.dumps(payload, indent=2))
+    return path
