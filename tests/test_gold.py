@@ -38,6 +38,24 @@ def test_rolling_mean_is_twelve_rows(spark):
     assert got == [sum(range(max(0, i - 11), i + 1)) / min(i + 1, 12) for i in range(20)]
 
 
+def test_slices_of_time_change_nothing(spark):
+    # Two series and a null city; gaps of whole slices, slices of one row, rows at one instant, null times and null measures.
+    n = F.col("id")
+    time = F.when(n % 40 != 7, F.timestamp_seconds(F.floor(n / 3) * F.floor(n / 3) * 900))
+    df = spark.range(300).select(
+        F.lit("r").alias("resource_id"), F.when(n % 3 != 0, F.concat(F.lit("c"), (n % 3).cast("string"))).alias("city"), time.alias("event_timestamp_utc"),
+        F.lpad(n.cast("string"), 3, "0").alias("source_record_id"), F.when(n % 5 != 0, F.sqrt("id")).alias("demand_mw"), (n % 11).cast("double").alias("temperature"),
+    )
+    df = df.union(df.withColumns({"source_record_id": F.concat(F.lit("x"), "source_record_id"), "demand_mw": F.col("demand_mw") + 1}))
+    rows = lambda out: sorted(map(str, out.collect()))
+    for width, span in ((12, "day"), (12, "month"), (12, "hour"), (2, "hour"), (1, "day")):
+        whole, sliced = series_features(df, width), series_features(df, width, span)
+        assert sliced.columns == whole.columns and rows(sliced) == rows(whole)
+    assert series_features(df.limit(0), 12, "day").count() == 0
+    bare = df.where("source_record_id NOT LIKE 'x%' AND event_timestamp_utc IS NOT NULL").drop("source_record_id")
+    assert rows(series_features(bare, 12, "day")) == rows(series_features(bare, 12))
+
+
 def test_unusable_rows_are_left_out(spark):
     energy = frames.energy(spark, [("r", "1", "2024-01-01T00:00:00", None), ("r", "2", "2024-01-01T00:00:01", 1.0), ("r", "3", "2024-03-01T00:00:00", 1.0)])
     for change, n in (({}, 1), ({"temperature_c": None}, 1), ({"temperature_c": None, "feels_like_c": None}, 0), ({"humidity_pct": None}, 0), ({"city": None}, 0)):

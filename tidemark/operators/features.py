@@ -26,13 +26,29 @@ def calendar_features(df: DataFrame, monday_first: bool = False) -> DataFrame:
     return df.withColumns({"hour_of_day_utc": F.hour(time), "day_of_week_utc": day, "is_weekend_utc": is_weekend(time)})
 
 
-def series_features(df: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
+def _carried(df: DataFrame, series: list[str], order: list[str], rows: int) -> DataFrame:
+    """For each slice of a series, the last rows rows of its earlier slices, which lie among the last ones of each slice."""
+    latest = Window.partitionBy(*series, "__slice").orderBy(*[F.desc(c) for c in order])
+    tails = df.select(*series, "__slice", *order, "demand_mw", "temperature").withColumn("__n", F.row_number().over(latest)).where(F.col("__n") <= rows)
+    by_time = Window.partitionBy(*series).orderBy(*order)
+    before = F.collect_list(F.struct(*order, "demand_mw", "temperature")).over(by_time.rowsBetween(-rows, -1))
+    begins = ~F.col("__slice").eqNullSafe(F.lag("__slice").over(by_time))
+    return tails.withColumns({"__before": before, "__begins": begins}).where("__begins").select(*series, "__slice", F.inline("__before"))
+
+
+def series_features(df: DataFrame, rows: int = ROLLING_ROWS, span: str | None = None) -> DataFrame:
     """df with lags, deltas and rolling means within (resource_id, city) by time.
 
-    Records at one instant are ordered by source_record_id where df has it. All share one shuffle and one sort.
+    Records at one instant are ordered by source_record_id where df has it. All share one shuffle and one sort. With a span
+    (a unit of date_trunc, such as month) a series is cut into slices of time, so that a long one isn't one task's work; each
+    slice gets the few rows before it. That reads df twice: it is meant for stored tables. The results are the same.
     """
-    tie = ["source_record_id"] if "source_record_id" in df.columns else []
-    by_time = Window.partitionBy("resource_id", "city").orderBy("event_timestamp_utc", *tie)
+    series, order = ["resource_id", "city"], ["event_timestamp_utc", *(["source_record_id"] if "source_record_id" in df.columns else [])]
+    if span:
+        sliced = df.withColumn("__slice", F.date_trunc(span, "event_timestamp_utc"))
+        carried = _carried(sliced, series, order, max(rows - 1, 1)).withColumn("__carried", F.lit(True))
+        df = sliced.withColumn("__carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    by_time = Window.partitionBy(*series, *(["__slice"] if span else [])).orderBy(*order)
     recent = by_time.rowsBetween(1 - rows, 0)
     out = df.withColumns(
         {
@@ -42,11 +58,13 @@ def series_features(df: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
             f"temperature_rolling_mean_{rows}": F.avg("temperature").over(recent),
         }
     )
+    if span:
+        out = out.where("NOT __carried").drop("__slice", "__carried")
     return out.withColumns({"demand_delta_1": F.col("demand_mw") - F.col("demand_lag_1"), "temperature_delta_1": F.col("temperature") - F.col("temperature_lag_1")})
 
 
-def feature_table(joined: DataFrame, monday_first: bool = False) -> DataFrame:
-    """The feature table of a matched table."""
-    out = series_features(calendar_features(feature_base(joined), monday_first)).withColumn("temperature_sq", F.col("temperature") * F.col("temperature"))
+def feature_table(joined: DataFrame, monday_first: bool = False, span: str | None = None) -> DataFrame:
+    """The feature table of a matched table; span as in series_features."""
+    out = series_features(calendar_features(feature_base(joined), monday_first), span=span).withColumn("temperature_sq", F.col("temperature") * F.col("temperature"))
     last = ["hour_of_day_utc", "day_of_week_utc", "is_weekend_utc", "temperature_sq", "demand_lag_1", "temperature_lag_1", "demand_delta_1", "temperature_delta_1", "demand_rolling_mean_12", "temperature_rolling_mean_12"]
     return out.select(*CARRIED, "temperature", "humidity", *MEASURES, *last)

@@ -42,7 +42,7 @@ def build_silver(spark: SparkSession, settings: Settings) -> dict[str, DataFrame
 def build_gold(spark: SparkSession, silver: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     joined = replace_table(nearest_weather(silver["silver_energy"], silver["silver_weather"]), "gold_weather_demand_join", fmt=settings.fmt)
-    features = replace_table(feature_table(joined), "gold_feature_engineering", fmt=settings.fmt)
+    features = replace_table(feature_table(joined, span="month"), "gold_feature_engineering", fmt=settings.fmt)
     return {"gold_weather_demand_join": joined, "gold_feature_engineering": features, "gold_demand_aggregation": replace_table(demand_rollup(features), "gold_demand_aggregation", fmt=settings.fmt)}
 
 
