@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -46,14 +45,12 @@ class Scratch:
         return out
 
     def release(self, *kept: DataFrame) -> None:
-        """Remove all tables but kept, and let Spark clean up the shuffles that nothing refers to any more."""
+        """Remove all tables but kept. Spark's cleaner removes the shuffles that nothing refers to any more in its own time."""
         jvm, gone = self.spark.sparkContext._jvm, [path for df, path in self.tables if not any(df is k for k in kept)]
         self.tables = [x for x in self.tables if x[1] not in gone]
         for path in gone:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        gc.collect()
-        jvm.System.gc()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
