@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.filter_audit import filter_audit, steps
+from tidemark.llm.language_id import language_scores
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.line_rules import BOILERPLATE, NAVIGATION, SENTENCE_END, line_rules
 from tidemark.llm.mixing import mix_sources
@@ -15,6 +17,7 @@ from tidemark.llm.ngram_join import ngram_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import FORMATS, personal_data, spans_string
 from tidemark.llm.quality_model import quality_scores
+from tidemark.llm.runs import periodic_runs
 from tidemark.llm.shared import row_keys, scratch_dir
 from tidemark.llm.token_store import read_store, write_store
 from tidemark.llm.topk import top_k
@@ -179,6 +182,76 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, path)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every source's documents, at each step of all 120 orders."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+m AS (SELECT doc_id, part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c,
+  regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > least, false) AS e FROM w),
+k AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, CASE WHEN a THEN 1 ELSE 0 END + CASE WHEN b THEN 2 ELSE 0 END + CASE WHEN c THEN 4 ELSE 0 END + CASE WHEN d THEN 8 ELSE 0 END + CASE WHEN e THEN 16 ELSE 0 END AS mask,
+  coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM m LEFT JOIN k USING (doc_id)),
+o(filter_order, step, own, earlier) AS (VALUES {", ".join(f"('{x['filter_order']}', {x['step']}, {x['own']}, {x['earlier']})" for x in steps())}),
+r AS (SELECT part, filter_order, step, own, count(*) FILTER (mask & (own | earlier) = 0) AS kept, count(*) FILTER (mask & earlier = 0 AND mask & own > 0) AS removed,
+  count(*) FILTER (mask & earlier > 0 AND mask & own > 0) AS redundant, count(*) FILTER (mask = own) AS unique_fails,
+  count(*) FILTER (mask & earlier = 0 AND mask & own > 0 AND good) AS good_lost, count(*) FILTER (mask & earlier = 0 AND mask & own > 0 AND toxic) AS toxic_lost
+  FROM f CROSS JOIN o GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """docs with a tail made periodic in the texts whose doc_id has a CRC-32 divisible by 10; a null doc_id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    out = docs.select("*", words.alias("__w"), F.floor(h / 10).alias("__g")).withColumn("__n", F.size("__w"))
+    out = out.withColumn("__a", F.when(F.col("__n") > 0, F.col("__g") % F.col("__n")).cast("int"))
+    out = out.withColumn("__p", F.expr("CAST(1 + (__n - __a) DIV (3 + __g % 8) AS INT)"))
+    tail = "array_join(concat(slice(__w, 1, __a), transform(sequence(__a, __n - 1), i -> element_at(__w, 1 + __a + (i - __a) % __p))), ' ')"
+    return out.withColumn("text", F.expr(f"CASE WHEN __n > 0 THEN {tail} ELSE text END")).drop("__w", "__g", "__n", "__a", "__p")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, a tenth of which are made periodic first: their number, the longest one, and digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    most = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("period"))))
+    out = periodic_runs(with_periods(docs), 12, "doc_id").withColumn("most", most)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("most.back")).alias("start"), F.col("most.length").alias("length"), (-F.col("most.period")).alias("period"),
+        F.expr("1000 * most.length DIV -most.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH b AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda i: (ascii(c) >> CAST(i AS INTEGER)) & 1))) AS bits FROM documents),
+h AS (SELECT doc_id, ws, len(ws) AS n, xor(list_reduce(list_prepend(4294967295, list_transform(bits, lambda x: CAST(x AS BIGINT))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) AS h FROM b),
+g AS (SELECT *, h // 10 AS g, (h // 10) % nullif(n, 0) AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+r AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws FROM p),
+x AS (SELECT doc_id, unnest(ws) AS w, unnest(range(n)) AS i FROM r),
+e AS (SELECT u.doc_id, u.i, v.i - u.i AS q FROM x u JOIN x v ON u.doc_id = v.doc_id AND u.w = v.w AND u.i < v.i),
+k AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+s AS (SELECT doc_id, min(i) AS start, count(*) + q AS length, q FROM k GROUP BY doc_id, q, island HAVING count(*) >= greatest(q, 12 - q)),
+f AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY 1, 2, 3),
+t AS (SELECT doc_id, count(*) AS n_runs, arg_min(f, (-length, start, period)) AS most, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM f GROUP BY 1),
+c AS (SELECT x.doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM x WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = x.doc_id AND x.i >= f.start + f.period AND x.i < f.start + f.length) GROUP BY 1)
+SELECT r.doc_id, coalesce(n_runs, 0) AS n_runs, most.start AS start, most.length AS length, most.period AS period, 1000 * most.length // most.period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM r LEFT JOIN t ON t.doc_id = r.doc_id LEFT JOIN c ON c.doc_id = r.doc_id
+"""
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a model of at most 400 texts a language."""
+    return language_scores(table(spark, sf_dir, "documents"), 400, 1500).drop("shares")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -191,8 +264,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": op8_personal_data,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_store": op10_token_store,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_language_id": op13_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_source_mixing": OP4_SQL, "op7_line_rules": OP7_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_exact_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_source_mixing": OP4_SQL, "op7_line_rules": OP7_SQL, "op11_filter_audit": OP11_SQL, "op12_periodic_runs": OP12_SQL}
