@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import ENERGY_KEY, QUALITY_RESULTS, WEATHER_KEY
+from tidemark.sources.tables import append_table
 
 MATCH_LIMIT_MINUTES = 360
 
@@ -85,7 +86,7 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: list[C
     rows = [(now, r.check_name, r.severity, r.failed_rows, r.status) for r in check_report(tables, checks).collect()]  # a row a check
     results = spark.createDataFrame(rows, QUALITY_RESULTS)
     if history:
-        results.write.format(fmt).mode("append").option("mergeSchema", True).saveAsTable(history)
+        append_table(results, history, fmt=fmt)
     failed = sorted((r[1], r[3]) for r in rows if r[2] == "error" and r[3])
     if failed:
         raise QualityError("Data quality checks failed: " + ", ".join(f"{name}={n}" for name, n in failed))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import nearest_weather
@@ -33,23 +33,47 @@ class Settings:
         return cls(raw_root, get("format", cls.fmt), int(get("lag_hours", str(cls.lag_hours))), get("history", cls.history))
 
 
-def build_silver(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+class Counts:
+    """Rows of the tables that a run writes, as observed during the writes."""
+
+    def __init__(self):
+        self.observed: dict[str, Observation] = {}
+
+    def of(self, table: str) -> Observation:
+        return self.observed.setdefault(table, Observation(table))
+
+    def rows(self) -> dict[str, int]:
+        return {table: o.get.get("rows", 0) for table, o in self.observed.items()}
+
+
+def build_silver(spark: SparkSession, settings: Settings, counts: Counts | None = None) -> dict[str, DataFrame]:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    made = {"silver_weather": ("weather", silver_weather), "silver_energy": ("energy", silver_energy)}
-    return {name: replace_table(f(read_captures(spark, f"{settings.raw_root}/raw/{d}", d)), name, "event_date_utc", settings.fmt) for name, (d, f) in made.items()}
+    counts, out = counts or Counts(), {}
+    for name, kind, made in (("silver_weather", "weather", silver_weather), ("silver_energy", "energy", silver_energy)):
+        captures = read_captures(spark, f"{settings.raw_root}/raw/{kind}", kind)
+        out[name] = replace_table(made(captures), name, "event_date_utc", settings.fmt, counts.of(name))
+    return out
 
 
-def build_gold(spark: SparkSession, silver: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, silver: dict[str, DataFrame], settings: Settings, counts: Counts | None = None) -> dict[str, DataFrame]:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    joined = replace_table(nearest_weather(silver["silver_energy"], silver["silver_weather"]), "gold_weather_demand_join", fmt=settings.fmt)
-    features = replace_table(feature_table(joined, span="month"), "gold_feature_engineering", fmt=settings.fmt)
-    return {"gold_weather_demand_join": joined, "gold_feature_engineering": features, "gold_demand_aggregation": replace_table(demand_rollup(features), "gold_demand_aggregation", fmt=settings.fmt)}
+    counts = counts or Counts()
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return replace_table(df, name, fmt=settings.fmt, counted=counts.of(name))
+
+    joined = stored(nearest_weather(silver["silver_energy"], silver["silver_weather"]), "gold_weather_demand_join")
+    features = stored(feature_table(joined, span="month"), "gold_feature_engineering")
+    return {"gold_weather_demand_join": joined, "gold_feature_engineering": features, "gold_demand_aggregation": stored(demand_rollup(features), "gold_demand_aggregation")}
 
 
 def run_pipeline(spark: SparkSession, settings: Settings, now: datetime | None = None) -> dict:
-    """All steps; the tables' row counts and the checks' results. A failed error-severity check raises after its history is kept."""
-    now = now or datetime.now(timezone.utc)
-    tables = build_silver(spark, settings)
-    tables |= build_gold(spark, tables, settings)
+    """All steps; the tables' row counts and the checks' results. A failed error-severity check raises after its history is kept.
+
+    Counts are gathered while the tables are written; no job counts them afterwards.
+    """
+    now, counts = now or datetime.now(timezone.utc), Counts()
+    tables = build_silver(spark, settings, counts)
+    tables |= build_gold(spark, tables, settings, counts)
     results = run_checks(spark, tables, standard_checks(F.lit(now), settings.lag_hours), now, settings.history, settings.fmt)
-    return {"rows": {name: df.count() for name, df in tables.items()}, "checks": results}
+    return {"rows": counts.rows(), "checks": results}
