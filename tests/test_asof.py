@@ -1,10 +1,13 @@
+import bisect
 import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import frames
 from tidemark.operators.asof import candidate_pairs, nearest_weather, nearest_weather_by_minute
+from tidemark.operators.ranges import TimeRanges
 
 EPOCH = frames.time("1970-01-01")
 
@@ -80,3 +83,56 @@ def test_minute_crossings_differ_from_cut_minutes(spark):
 def test_the_plan_has_no_nested_loop(spark):
     plan = nearest_weather(frames.energy(spark, []), frames.weather(spark, []))._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("bounds", [(), (0,), tuple(range(-3, 4))])
+def test_ranges_count_bounds(spark, bounds):
+    ranges = TimeRanges(bounds)
+    df = spark.createDataFrame([(v,) for v in (None, -9, -3, -1, 0, 2, 3, 9)], "us LONG")
+    got = df.select("us", ranges.of_time(F.col("us")).alias("first"), ranges.dealt(F.col("us"), "us").alias("dealt")).collect()
+    assert all(r.first == sum(b < r.us for b in bounds) for r in got if r.us is not None)
+    assert all(r.first <= r.dealt <= sum(b <= r.us for b in bounds) for r in got if r.us is not None)
+    assert all(0 <= r.dealt < ranges.count for r in got)
+
+
+def test_an_instant_of_many_rows_is_dealt_over_its_ranges(spark):
+    times = spark.range(4000).select(F.when(F.col("id") % 4 != 0, F.lit(0)).otherwise(F.col("id")).cast("timestamp").alias("event_timestamp_utc"), "id")
+    ranges = TimeRanges.of(times, ranges=16)
+    assert len(ranges.bounds) == 15 and ranges.bounds.count(0) >= 10
+    dealt = times.groupBy(ranges.dealt(F.unix_micros("event_timestamp_utc"), "id").alias("range")).count().collect()
+    assert len(dealt) == 16 and max(r["count"] for r in dealt) < 600
+    assert TimeRanges.of(times.limit(0)).bounds == ()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranges_never_change_the_match(spark, seed):
+    rng = random.Random(seed)
+    e = [("r", i, at, 1.0) for at, i in as_rows(rng, 150, "clusters")] + [("r", f"same{i}", "2024-01-01T00:00:00", 1.0) for i in range(60)] + [("r", f"none{i}", None, 1.0) for i in range(9)]
+    w = [(rng.choice(["A", "B", None]), i, at, 1.0, {"weather_description": i}) for at, i in as_rows(rng, 120, "clusters")]
+    energy, weather = frames.energy(spark, e), frames.weather(spark, w)
+    for ranges in (TimeRanges(), TimeRanges.of(energy, weather, ranges=50), TimeRanges(tuple(sorted(rng.choices([micros(frames.time(x[2])) for x in e + w if x[2]], k=20))))):
+        assert result(nearest_weather(energy, weather, ranges)) == brute(e, w, 10**6)
+        assert result(nearest_weather_by_minute(energy, weather, ranges)) == brute(e, w, 60 * 10**6)
+
+
+def test_a_dense_minute(spark):
+    """100,000 weather rows in one minute, 2,000 energy rows in it and 300 an hour before, whose reach ends within it."""
+    base = "TIMESTAMP '2024-01-01 12:00:00'"
+    day = frames.weather(spark, [("A", "0", "2024-01-01T00:00:00", 1.0)])
+    weather = day.drop("event_timestamp_utc", "source_record_id").crossJoin(spark.range(100_000).selectExpr("id", f"{base} + make_dt_interval(0, 0, 0, CAST(id AS DECIMAL(18, 6)) * 0.0006) AS event_timestamp_utc", "CAST(id AS STRING) AS source_record_id")).drop("id").select(*day.columns)
+    one = frames.energy(spark, [("r", "0", "2024-01-01T00:00:00", 1.0)])
+    at = f"{base} + make_dt_interval(0, IF(id < 2000, 0, -1), 0, CAST(id % 2000 AS DECIMAL(18, 6)) * IF(id < 2000, 0.03, 0.2))"
+    energy = one.drop("event_timestamp_utc", "source_record_id").crossJoin(spark.range(2300).selectExpr(f"{at} AS event_timestamp_utc", "CAST(id AS STRING) AS source_record_id")).select(*one.columns)
+    seen = [i * 600 for i in range(100_000)]
+    for match, unit in ((nearest_weather, 10**6), (nearest_weather_by_minute, 60 * 10**6)):
+        out = match(energy, weather)
+        start = micros(frames.time("2024-01-01T12:00:00"))
+        got = {r.source_record_id: None if r.weather_event_timestamp_utc is None else micros(r.weather_event_timestamp_utc) - start for r in out.collect()}
+        for i in range(2300):
+            e = i * 30_000 if i < 2000 else (i - 2000) * 200_000 - 3600 * 10**6
+            lo, hi = bisect.bisect_left(seen, e - 6 * 3600 * 10**6), bisect.bisect_right(seen, e + 3600 * 10**6)
+            # Distances grow away from e, so the best lies in e's own unit, or first or last in reach.
+            near = [seen[k] for k in {*range(max(lo, bisect.bisect_left(seen, e // unit * unit) - 1), min(hi, bisect.bisect_right(seen, e // unit * unit + unit - 1) + 1)), *([lo, hi - 1] if lo < hi else [])} if lo <= k < hi]
+            first = min(near, key=lambda x: abs(x // unit - e // unit), default=None)
+            rivals = [] if first is None else [x for x in seen[bisect.bisect_left(seen, first // unit * unit) : bisect.bisect_left(seen, (first // unit + 1) * unit)] if e - 6 * 3600 * 10**6 <= x <= e + 3600 * 10**6]
+            assert got[str(i)] == (max(rivals) if rivals else None), (i, unit)

@@ -1,11 +1,16 @@
 """Nearest-match join: every energy row with the weather row nearest in time, from six hours before to one hour after it.
 
-Nearest is by whole seconds, then the later weather row; of rows at the same instant the smallest city, then record id. There
-is no equality key, so a literal join compares every pair. Here both sides are dealt into short buckets of time. Each
-bucket also gets two weather rows from outside: the last one before it and the first one after it, which come from one row
-a bucket. Within a bucket two running windows find the last weather row at or before each energy row, and the first whole
-second of weather at or after. The work is linear in rows, nothing is replicated, and there are as many parallel buckets as
-the data has spans of ten minutes.
+Nearest is by whole seconds (or minutes: the unit), then the later weather row; of rows at the same instant the smallest
+city, then record id. There is no equality key, so a literal join compares every pair. Here both sides are dealt into ranges
+of time that hold about as many rows each, and in each range sorted together once. Of a unit's weather rows only the last
+can be the nearest, wherever it is in reach, so weather comes as one row a unit; running windows give each energy row the
+last unit at or before its own and the first one after. Only where an energy row's reach ends within that later unit the
+last row in reach is another one: for that, weather rows also stand an hour before their time, where the last one before an
+energy row is the last in its reach. What a range needs from others is one row each way, from one row a range.
+
+The work is linear in rows but for one sort a range, nothing is replicated, and no key grows with what a second or minute
+holds: weather is grouped by instant and unit with partial results, and energy rows of one instant go to all the ranges
+that begin with it.
 """
 
 from __future__ import annotations
@@ -14,69 +19,68 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import age_minutes, gap_minutes, minute_crossings
+from tidemark.operators.ranges import TimeRanges, micros
 from tidemark.schemas import ENERGY_KEY
 
-HOUR_US = 3_600_000_000
-BEFORE_US, AFTER_US, BUCKET_US = 6 * HOUR_US, HOUR_US, HOUR_US // 6
+SECOND_US, MINUTE_US, HOUR_US = 1_000_000, 60_000_000, 3_600_000_000
+BEFORE_US, AFTER_US = 6 * HOUR_US, HOUR_US
 WEATHER_PART = ["city", "country_code", "temperature_c", "feels_like_c", "humidity_pct", "pressure_hpa", "cloud_cover_pct", "wind_speed_mps", "weather_main", "weather_description"]
 ENERGY_PART = ["demand_mw", "generation_mw", "import_mw", "solar_mw", "wind_mw", "stor_mw", "other_mw"]
-
-
-def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
-
-
-def _bucket(us: Column) -> Column:
-    return F.floor(us / BUCKET_US)
-
-
-def _carried(w: DataFrame) -> DataFrame:
-    """For each bucket in reach of weather, the last row before it and the first row after it, of rows of one an instant."""
-    row = F.struct("us", "side", "w", "ahead")
-    ends = w.groupBy("bucket").agg(F.min(row).alias("first"), F.max(row).alias("last"))
-    later = F.explode(F.sequence(F.col("bucket") + 1, F.col("bucket") + BEFORE_US // BUCKET_US + 1))
-    earlier = F.explode(F.sequence(F.col("bucket") - AFTER_US // BUCKET_US - 1, F.col("bucket") - 1))
-    before = ends.select(later.alias("to"), "last").groupBy("to").agg(F.max("last").alias("r"))
-    after = ends.select(earlier.alias("to"), "first").groupBy("to").agg(F.min("first").alias("r"))
-    return before.union(after).select(F.col("to").alias("bucket"), "r.*")
-
-
-def _rank_by_second(us: Column) -> Column:
-    return F.floor(us / 1_000_000)
-
-
-def _rank_by_minute(us: Column) -> Column:
-    return F.floor(us / 60_000_000)
-
-
-def _matched(energy: DataFrame, weather: DataFrame, unit) -> DataFrame:
-    """energy rows with `w`, the chosen weather row as a struct or null. unit maps microseconds to the unit that ranks."""
-    us = _micros(F.col("event_timestamp_utc"))
-    # A later row wins within a unit; equal instants go to the smallest city and record id (no order of strings descends
-    # within a struct, so the window that makes `ahead` keeps one row an instant).
-    first = Window.partitionBy("us").orderBy(F.col("city").asc_nulls_last(), F.col("source_record_id").asc_nulls_last())
-    w = weather.where("event_timestamp_utc IS NOT NULL").withColumn("us", us).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    packed = F.struct("us", F.col("event_timestamp_utc").alias("at"), F.col("ingestion_timestamp_utc").alias("came"), *WEATHER_PART)
-    w = w.select(unit(F.col("us")).alias("u"), packed.alias("w"))
-    # All rows of a unit carry its last row; only its first carries them all, for energy rows whose reach ends within it.
-    units = w.groupBy("u").agg(F.sort_array(F.collect_list("w")).alias("all")).withColumn("end", F.element_at("all", -1))
-    ahead = F.transform("all", lambda x, i: F.struct(x["us"].alias("us"), x.alias("w"), F.struct(F.col("end").alias("end"), F.when(i == 0, F.col("all")).alias("all")).alias("ahead")))
-    w = units.select(F.inline(ahead)).select(_bucket(F.col("us")).alias("bucket"), "us", F.lit(0).alias("side"), "w", "ahead")
-    w = w.unionByName(_carried(w)).withColumn("e", F.lit(None))
-    e = energy.select(_bucket(us).alias("bucket"), us.alias("us"), F.lit(1).alias("side"), F.lit(None).alias("w"), F.lit(None).alias("ahead"), F.struct(*energy.columns).alias("e"))
-    both = w.unionByName(e)
-    back = Window.partitionBy("bucket").orderBy("us", "side").rowsBetween(Window.unboundedPreceding, 0)
-    forth = Window.partitionBy("bucket").orderBy(F.desc("us"), F.desc("side")).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("prev", F.last("w", ignorenulls=True).over(back))
-    # Descending, an energy row comes before the weather rows of its own instant; prev has those.
-    both = both.withColumn("next", F.last("ahead", ignorenulls=True).over(forth)).where("side = 1")
-    prev = F.when(F.col("prev.us") >= F.col("us") - BEFORE_US, F.col("prev"))
-    # The next row lies in the energy row's own unit, whose end is in reach, or is the first of a later unit.
-    reached = F.filter("next.all", lambda x: x["us"] <= F.col("us") + AFTER_US)
-    last = F.when(F.col("next.end.us") <= F.col("us") + AFTER_US, F.col("next.end")).otherwise(F.get(reached, F.size(reached) - 1))
-    far = lambda c: F.abs(unit(c["us"]) - unit(F.col("us")))
-    both = both.select("us", "e", prev.alias("prev"), last.alias("next"))
-    chosen = F.when(F.col("next").isNull(), F.col("prev")).when(F.col("prev").isNull() | (far(F.col("next")) <= far(F.col("prev"))), F.col("next")).otherwise(F.col("prev"))
+#: Order of rows at one place: carried in, units, weather an hour early, energy, carried from behind.
+_IN, _UNIT, _EARLY, _ENERGY, _BEHIND = range(5)
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
+
+
+def _placed(df: DataFrame, place: Column, side: int, ranges: TimeRanges, **what: Column) -> DataFrame:
+    return df.select(ranges.of_time(place).alias("range"), place.alias("place"), F.lit(side).alias("side"), *[c.alias(n) for n, c in what.items()])
+
+
+def _weather_places(weather: DataFrame, unit_us: int, ranges: TimeRanges) -> DataFrame:
+    """range, place, side, unit (the first instant and the last row of a unit, at its start), early (a row, AFTER_US before it)."""
+    city, record = F.col("city"), F.col("source_record_id")
+    packed = F.struct(city.isNull(), city, record.isNull(), record, F.struct("us", F.col("event_timestamp_utc").alias("at"), F.col("ingestion_timestamp_utc").alias("came"), *WEATHER_PART).alias("w"))
+    # One row an instant: the first by city, then record id, nulls last.
+    instants = weather.where("event_timestamp_utc IS NOT NULL").withColumn("us", micros(F.col("event_timestamp_utc"))).groupBy("us").agg(F.min(packed)["w"].alias("w"))
+    units = instants.groupBy(F.floor(F.col("us") / unit_us).alias("u")).agg(F.min("us").alias("first"), F.max("w").alias("last"))
+    pair = F.struct("first", "last")
+    at_units = _placed(units, F.col("u") * unit_us, _UNIT, ranges, unit=pair, early=F.lit(None))
+    return at_units.unionByName(_placed(instants, F.col("us") - AFTER_US, _EARLY, ranges, unit=F.lit(None), early=F.col("w")))
+
+
+def _carried(places: DataFrame, ranges: TimeRanges) -> DataFrame:
+    """For each range two rows: the last unit and early row before it, and the first unit after it."""
+    spark = places.sparkSession
+    every = spark.range(ranges.count).select(F.col("id").cast("int").alias("range"), F.lit(None).cast("bigint").alias("place"), *[F.lit(None).cast(places.schema[c].dataType).alias(c) for c in ("unit", "early")])
+    at = lambda c: F.when(F.col(c).isNotNull(), F.struct("place", F.col(c).alias("row")))
+    ends = places.select("range", "place", "unit", "early").unionByName(every).groupBy("range")
+    ends = ends.agg(F.min(at("unit")).alias("first"), F.max(at("unit")).alias("last"), F.max(at("early")).alias("last_early"))
+    # A row a range: as many as the session's tasks call for, whatever the data.
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("range", F.last("last.row", True).over(before).alias("unit"), F.last("last_early.row", True).over(before).alias("early"), F.expr("lead(first.row) IGNORE NULLS OVER (ORDER BY range)").alias("next"))
+    begin = F.struct(F.lit(_FIRST).alias("place"), F.lit(_IN).alias("side"), "unit", "early")
+    end = F.struct(F.lit(_LAST).alias("place"), F.lit(_BEHIND).alias("side"), F.col("next").alias("unit"), F.lit(None).cast(places.schema["early"].dataType).alias("early"))
+    return ends.select("range", F.inline(F.array(begin, end)))
+
+
+def _matched(energy: DataFrame, weather: DataFrame, unit_us: int, ranges: TimeRanges | None) -> DataFrame:
+    """energy rows with `w`, the chosen weather row as a struct or null."""
+    ranges = ranges or TimeRanges.of(energy, weather)
+    us = micros(F.col("event_timestamp_utc"))
+    places = _weather_places(weather, unit_us, ranges)
+    w = places.unionByName(_carried(places, ranges)).withColumn("e", F.lit(None))
+    e = energy.select(ranges.dealt(us, *ENERGY_KEY).alias("range"), us.alias("place"), F.lit(_ENERGY).alias("side"), F.lit(None).alias("unit"), F.lit(None).alias("early"), F.struct(*energy.columns).alias("e"))
+    seen = Window.partitionBy("range").orderBy("place", "side").rowsBetween(Window.unboundedPreceding, 0)
+    both = w.unionByName(e).select(
+        "place", "side", "e", F.last("unit", True).over(seen).alias("prev"), F.last("early", True).over(seen).alias("reached"),
+        F.expr("lead(unit) IGNORE NULLS OVER (PARTITION BY range ORDER BY place, side)").alias("next"),
+    ).where(F.col("side") == _ENERGY)
+    unit = lambda c: F.floor(c / unit_us)
+    place, end = F.col("place"), F.col("place") + AFTER_US
+    back = F.when(F.col("prev.last.us") >= place - BEFORE_US, F.col("prev.last"))
+    ahead = F.when(F.col("next.last.us") <= end, F.col("next.last")).when(F.col("next.first") <= end, F.col("reached"))
+    both = both.select("place", "e", back.alias("back"), ahead.alias("ahead"))
+    far = lambda c: F.abs(unit(F.col(f"{c}.us")) - unit(place))
+    chosen = F.when(F.col("ahead").isNull(), F.col("back")).when(F.col("back").isNull() | (far("ahead") <= far("back")), F.col("ahead")).otherwise(F.col("back"))
     return both.select("e.*", chosen.alias("w"))
 
 
@@ -89,14 +93,18 @@ def _joined(matched: DataFrame, age, gap) -> DataFrame:
     )
 
 
-def nearest_weather(energy: DataFrame, weather: DataFrame) -> DataFrame:
-    """Every energy row (keys are unique) with its nearest weather row, or nulls where none is in reach."""
-    return _joined(_matched(energy, weather, _rank_by_second), age_minutes, gap_minutes)
+def nearest_weather(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | None = None) -> DataFrame:
+    """Every energy row (keys are unique) with its nearest weather row, or nulls where none is in reach.
+
+    ranges deal the rows out; where none are given, a scan of both sides' times makes them. An energy row without a time
+    has no match, a weather row without one is no match.
+    """
+    return _joined(_matched(energy, weather, SECOND_US, ranges), age_minutes, gap_minutes)
 
 
-def nearest_weather_by_minute(energy: DataFrame, weather: DataFrame) -> DataFrame:
+def nearest_weather_by_minute(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | None = None) -> DataFrame:
     """As nearest_weather, but distances are minute boundaries crossed, for ranking and for the result."""
-    return _joined(_matched(energy, weather, _rank_by_minute), minute_crossings, lambda e, w: F.abs(minute_crossings(e, w)))
+    return _joined(_matched(energy, weather, MINUTE_US, ranges), minute_crossings, lambda e, w: F.abs(minute_crossings(e, w)))
 
 
 def candidate_pairs(energy: DataFrame, weather: DataFrame) -> DataFrame:
@@ -106,7 +114,7 @@ def candidate_pairs(energy: DataFrame, weather: DataFrame) -> DataFrame:
     has fewer rows, goes to the eight hours from which it can be reached; each energy row lies in its own hour alone, so
     the join finds those without a match too.
     """
-    us = _micros(F.col("event_timestamp_utc"))
+    us = micros(F.col("event_timestamp_utc"))
     hour = lambda c: F.floor(c / HOUR_US)
     e = energy.select(*ENERGY_KEY, us.alias("e_us")).withColumn("hour", hour(F.col("e_us")))
     w = weather.select(F.col("event_timestamp_utc").alias("weather_event_timestamp_utc"), "city", us.alias("w_us")).withColumn("w_hour", F.explode(F.sequence(hour(F.col("w_us") - AFTER_US), hour(F.col("w_us") + BEFORE_US))))
