@@ -1,4 +1,4 @@
-from math import isclose
+from math import ceil, isclose
 
 from pyspark.sql import functions as F
 
@@ -6,7 +6,8 @@ from tests import frames
 from tidemark.functions import measures as M
 from tidemark.operators.asof import nearest_weather
 from tidemark.operators.features import calendar_features, feature_table, series_features
-from tidemark.operators.rollup import demand_rollup
+from tidemark.operators.ranges import TimeRanges
+from tidemark.operators.rollup import LATER_MEANS, MEANS, SKETCH_K, daily_states, demand_rollup, hourly_states, rollup_base
 from tidemark.operators.serving import latest_label_by_window, serving_rollup
 
 
@@ -77,3 +78,61 @@ def test_rollup(spark):
     assert {r.demand_p95_mw for r in serving_rollup(frames.features(spark, rows)).collect()} == {None}
     labels = {(r.aggregation_level, str(r.bucket_start_utc)): r.latest_weather_main for r in latest_label_by_window(frames.features(spark, rows)).collect()}
     assert labels == {k: r.latest_weather_main for k, r in got.items()}
+
+
+def bunch(spark, n, hours=48, spread=1e9):
+    """n rows of two keys over hours, with demands about spread that differ by little."""
+    i = F.col("id")
+    return spark.range(n).select(
+        F.timestamp_seconds(i * 37 % (hours * 3600)).alias("event_timestamp_utc"), F.lit("A").alias("city"), F.when(i % 2 == 0, "x").alias("country_code"), F.lit("r").alias("resource_id"),
+        (F.lit(spread) + (i * 7919 % 1000) / 1000).alias("demand_mw"), *[F.when(i % 5 != 0, (i % 13).cast("double")).alias(c) for c in ("temperature", "humidity", "generation_mw", "import_mw", "solar_mw", "wind_mw", "wind_speed_mps", "cloud_cover_pct")],
+        F.when(i % 3 != 0, F.concat(F.lit("w"), (i % 7).cast("string"))).alias("weather_main"),
+    )
+
+
+def test_days_merged_from_hours_equal_days_from_rows(spark):
+    df = bunch(spark, 20_000)
+    base = rollup_base(df).withColumn("bucket_start_utc", F.date_trunc("day", "event_timestamp_utc"))
+    means = {**MEANS, **LATER_MEANS}
+    plain = base.groupBy("bucket_start_utc", "country_code").agg(F.count("*").alias("n"), F.stddev_samp("demand_mw").alias("s"), F.avg("demand_mw").alias("m"), *[F.avg(c).alias(k) for k, c in means.items()], F.max(F.struct("event_timestamp_utc", "weather_main"))["weather_main"].alias("w"))
+    want = {(r.bucket_start_utc, r.country_code): r for r in plain.collect()}
+    got = demand_rollup(df).where("aggregation_level = 'daily'").collect()
+    assert len(got) == len(want) == 4
+    for r in got:
+        x = want[r.bucket_start_utc, r.country_code]
+        assert (r.sample_count, r.latest_weather_main) == (x.n, x.w) and isclose(r.demand_stddev_mw, x.s, rel_tol=1e-6) and isclose(r.demand_avg_mw, x.m, rel_tol=1e-12)
+        assert all(isclose(r[k], x[k], rel_tol=1e-9) for k in means)
+    assert demand_rollup(df, ("hourly",)).exceptAll(demand_rollup(df).where("aggregation_level = 'hourly'")).count() == 0
+    assert demand_rollup(df, ("daily",)).count() == 4 and demand_rollup(df.limit(0)).count() == 0
+
+
+def test_percentiles_are_exact_up_to_a_sketch_and_near_beyond(spark):
+    few = demand_rollup(bunch(spark, 8000, hours=2)).collect()
+    assert len(few) == 6
+    for r in few:
+        values = sorted(x.demand_mw for x in bunch(spark, 8000, hours=2).where(F.col("country_code").eqNullSafe(r.country_code) & F.col("event_timestamp_utc").between(F.lit(r.bucket_start_utc), F.lit(r.bucket_end_utc) - F.expr("INTERVAL 1 SECOND"))).collect())
+        assert len(values) == r.sample_count <= SKETCH_K and r.demand_p95_mw == values[ceil(0.95 * len(values)) - 1]
+    many = demand_rollup(bunch(spark, 120_000, hours=24, spread=0.0), ("daily",)).collect()
+    assert all(r.sample_count == 60_000 and abs(r.demand_p95_mw - 0.949) <= 0.004 for r in many)
+
+
+def test_a_day_shuffles_one_row_an_hour_and_key(spark):
+    states = hourly_states(bunch(spark, 5000))
+    assert states.count() == 96 and daily_states(states).count() == 4 and {len(r.hours) for r in daily_states(states).collect()} == {24}
+    plan = demand_rollup(bunch(spark, 50))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate inline(concat" in plan.replace("\n", " ") and plan.count("Range (") == 1
+
+
+def test_one_long_series_is_cut_by_ranges(spark):
+    df = spark.range(3000).select(
+        F.concat(F.lit("r"), (F.col("id") % 1).cast("string")).alias("resource_id"), F.when(F.col("id") % 2 == 0, "c").alias("city"), F.timestamp_seconds(F.col("id") * F.col("id") % 4001).alias("event_timestamp_utc"),
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("source_record_id"), F.when(F.col("id") % 6 != 0, F.sqrt("id")).alias("demand_mw"), (F.col("id") % 11).cast("double").alias("temperature"),
+    )
+    rows = lambda out: sorted(map(str, out.collect()))
+    for ranges in (TimeRanges(), TimeRanges.of(df, ranges=9), TimeRanges.of(df, ranges=400), TimeRanges((5_000_000,) * 3)):
+        for width in (12, 2, 1):
+            sliced = series_features(df, width, ranges=ranges)
+            assert rows(sliced) == rows(series_features(df, width))
+    plan = series_features(df, ranges=TimeRanges.of(df, ranges=9))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Exchange hashpartitioning(resource_id") == 2 and "Exchange hashpartitioning(resource_id#" in plan
+    assert all("__slice" in x or "__edge" in x for x in plan.split("\n") if "Exchange hashpartitioning(resource_id" in x)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import measures as M
 from tidemark.operators import asof, features, quality, rollup, serving, silver
+from tidemark.operators.ranges import TimeRanges
 from tidemark.plans.adapter import energy_events, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
 from tidemark.schemas import ENERGY_KEY, WEATHER_KEY
 from tidemark.sources.contracts import WEATHER_CONTRACT, with_violations
@@ -80,16 +81,21 @@ def _done(df: DataFrame) -> DataFrame:
     return df.withColumns(times | means)
 
 
-def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return asof.nearest_weather(energy_events(spark, d), weather_events(spark, d))
+def _ranges(spark: SparkSession, d: str) -> TimeRanges:
+    return TimeRanges.of(energy_events(spark, d), weather_events(spark, d))
 
 
-def _base(spark: SparkSession, d: str) -> DataFrame:
-    return features.feature_base(_joined(spark, d))
+def _joined(spark: SparkSession, d: str, ranges: TimeRanges | None = None) -> DataFrame:
+    return asof.nearest_weather(energy_events(spark, d), weather_events(spark, d), ranges)
+
+
+def _base(spark: SparkSession, d: str, ranges: TimeRanges | None = None) -> DataFrame:
+    return features.feature_base(_joined(spark, d, ranges))
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    return features.feature_table(_joined(spark, d))
+    ranges = _ranges(spark, d)
+    return features.feature_table(_joined(spark, d, ranges), ranges=ranges)
 
 
 def _now() -> F.Column:
@@ -142,7 +148,8 @@ _IDS = ", ".join(_ID)
 
 
 def _series(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return features.series_features(_base(spark, d)).select(*_ID, *columns)
+    ranges = _ranges(spark, d)
+    return features.series_features(_base(spark, d, ranges), ranges=ranges).select(*_ID, *columns)
 
 
 def _rolled(spark: SparkSession, d: str, levels: tuple[str, ...], *columns: str) -> DataFrame:

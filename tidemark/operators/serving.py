@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.asof import nearest_weather_by_minute
 from tidemark.operators.features import feature_table
+from tidemark.operators.ranges import TimeRanges
 from tidemark.operators.rollup import KEYS, demand_rollup, in_buckets, rollup_base
 
 
-def serving_join(energy: DataFrame, weather: DataFrame) -> DataFrame:
-    return nearest_weather_by_minute(energy, weather)
+def serving_join(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | None = None) -> DataFrame:
+    return nearest_weather_by_minute(energy, weather, ranges)
 
 
 def serving_features(energy: DataFrame, weather: DataFrame) -> DataFrame:
-    return feature_table(serving_join(energy, weather), monday_first=True)
+    ranges = TimeRanges.of(energy, weather)
+    return feature_table(serving_join(energy, weather, ranges), monday_first=True, ranges=ranges)
 
 
 def latest_label_by_window(features: DataFrame, levels: tuple[str, ...] = ("hourly", "daily")) -> DataFrame:

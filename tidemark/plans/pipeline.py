@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import nearest_weather
 from tidemark.operators.features import feature_table
 from tidemark.operators.quality import run_checks, standard_checks
+from tidemark.operators.ranges import TimeRanges
 from tidemark.operators.rollup import demand_rollup
 from tidemark.operators.silver import silver_energy, silver_weather
 from tidemark.sources.bronze import read_captures
@@ -62,8 +63,9 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], settings: Sett
     def stored(df: DataFrame, name: str) -> DataFrame:
         return replace_table(df, name, fmt=settings.fmt, counted=counts.of(name))
 
-    joined = stored(nearest_weather(silver["silver_energy"], silver["silver_weather"]), "gold_weather_demand_join")
-    features = stored(feature_table(joined, span="month"), "gold_feature_engineering")
+    ranges = TimeRanges.of(silver["silver_energy"], silver["silver_weather"])
+    joined = stored(nearest_weather(silver["silver_energy"], silver["silver_weather"], ranges), "gold_weather_demand_join")
+    features = stored(feature_table(joined, ranges=ranges), "gold_feature_engineering")
     return {"gold_weather_demand_join": joined, "gold_feature_engineering": features, "gold_demand_aggregation": stored(demand_rollup(features), "gold_demand_aggregation")}
 
 
