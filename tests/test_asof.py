@@ -89,7 +89,7 @@ def test_the_plan_has_no_nested_loop(spark):
 def test_ranges_count_bounds(spark, bounds):
     ranges = TimeRanges(bounds)
     df = spark.createDataFrame([(v,) for v in (None, -9, -3, -1, 0, 2, 3, 9)], "us LONG")
-    got = df.select("us", ranges.of_time(F.col("us")).alias("first"), ranges.dealt(F.col("us"), "us").alias("dealt")).collect()
+    got = df.select("us", ranges.of_time("us").alias("first"), ranges.dealt("us", ["us"]).alias("dealt")).collect()
     assert all(r.first == sum(b < r.us for b in bounds) for r in got if r.us is not None)
     assert all(r.first <= r.dealt <= sum(b <= r.us for b in bounds) for r in got if r.us is not None)
     assert all(0 <= r.dealt < ranges.count for r in got)
@@ -99,7 +99,7 @@ def test_an_instant_of_many_rows_is_dealt_over_its_ranges(spark):
     times = spark.range(4000).select(F.when(F.col("id") % 4 != 0, F.lit(0)).otherwise(F.col("id")).cast("timestamp").alias("event_timestamp_utc"), "id")
     ranges = TimeRanges.of(times, ranges=16)
     assert len(ranges.bounds) == 15 and ranges.bounds.count(0) >= 10
-    dealt = times.groupBy(ranges.dealt(F.unix_micros("event_timestamp_utc"), "id").alias("range")).count().collect()
+    dealt = times.groupBy(ranges.dealt("unix_micros(event_timestamp_utc)", ["id"]).alias("range")).count().collect()
     assert len(dealt) == 16 and max(r["count"] for r in dealt) < 600
     assert TimeRanges.of(times.limit(0)).bounds == ()
 

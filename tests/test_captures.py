@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.silver import silver_energy, silver_weather
 from tidemark.schemas import SILVER_ENERGY, SILVER_WEATHER
 from tidemark.sources import feeds
-from tidemark.sources.bronze import land_capture, read_captures, with_file_times
-from tidemark.sources.contracts import ENERGY_CONTRACT, WEATHER_CONTRACT, ContractError, check_contract, load_contract, resolve_contract, validate, violations, with_violations
+from tidemark.sources.bronze import land_capture, land_captures, read_captures, scan_captures, with_file_times
+from tidemark.sources.contracts import ENERGY_CONTRACT, WEATHER_CONTRACT, ContractError, check_contract, load_contract, message, resolve_contract, validate, violations, with_violations
 from tidemark.sources.tables import append_by_date, create_view, replace_table
 
 NOW = datetime(2025, 11, 3, 7, 5, 9, tzinfo=timezone.utc)
@@ -163,3 +163,45 @@ def test_a_capture_lands_on_a_file_system_named_by_a_uri(spark, tmp_path):
     assert [r.name for r in read_captures(spark, f"{root}/raw/weather", "weather").collect()] == ["Örebro"]
     with pytest.raises(FileExistsError):
         land_capture(root, "weather", {}, NOW)
+
+
+def test_a_scan_parts_good_files_from_bad_ones(spark, tmp_path):
+    put(tmp_path, "weather", "weather_20251103_060000.json", weather())
+    put(tmp_path, "weather", "deep/er/weather_20251103_073000.json", weather(name="Örebro", extra={"x": [1]}))
+    put(tmp_path, "weather", "other.json", weather(dt=..., sys=...))
+    bad = {"cut.json": json.dumps(weather(), indent=2)[:80], "blank.json": " \n\t", "list.json": "[1, 2]", "text.json": '"x"', "types.json": weather(dt="soon", main="hot"), "inner.json": weather(main={"temp": "hot"})}
+    for name, payload in bad.items():
+        put(tmp_path, "weather", name, payload)
+    put(tmp_path, "weather", "note.txt", "not a capture")
+    good, rest = scan_captures(spark, str(tmp_path / "raw" / "weather"), "weather", str(tmp_path / "scanned"))
+    assert good.columns == read_captures(spark, str(tmp_path / "raw" / "weather"), "weather").columns
+    assert sorted((r.source_file, r.name, r.dt) for r in good.collect()) == [("other.json", "Leeds", None), ("weather_20251103_060000.json", "Leeds", 1704110400), ("weather_20251103_073000.json", "Örebro", 1704110400)]
+    errors = {r.source_file: r.error for r in rest.collect()}
+    assert errors == {"cut.json": "is not JSON", "blank.json": "is empty", "list.json": "is not an object", "text.json": "is not an object", "types.json": "has fields of other types: dt, main", "inner.json": "has fields of other types: within objects or arrays"}
+    assert {r.source_file: r.text for r in rest.collect()}["cut.json"] == bad["cut.json"] and all(r.modified for r in rest.collect())
+    assert silver_weather(good).count() == 3 and silver_weather(good).exceptAll(silver_weather(read_captures(spark, str(tmp_path / "raw" / "weather"), "weather"))).count() == 0
+    written = sorted(p.name for p in (tmp_path / "scanned").iterdir() if p.is_dir())
+    assert written == ["readable=false", "readable=true"]
+
+
+def test_many_captures_land_at_once(spark, tmp_path):
+    df = spark.createDataFrame([("a/x.json", '{"n": 1}'), ("b/y.json", "é"), ("c/z.json", None)], "path STRING, value STRING")
+    for root in (str(tmp_path / "plain"), f"file://{tmp_path}/uri"):
+        land_captures(df, root)
+        land_captures(df, root)
+    assert (tmp_path / "plain" / "b" / "y.json").read_text() == "é" and sorted(p.name for p in (tmp_path / "uri").rglob("*.json")) == ["x.json", "y.json", "z.json"]
+
+
+NESTED = {"type": "object", "properties": {"grid": {"type": "array", "minItems": 2, "items": {"type": "array", "minItems": 1, "items": {"type": "integer", "minimum": 0}}}}}
+
+
+def test_messages_in_bulk_equal_those_of_the_driver(spark):
+    payloads = [weather(), weather(dt=...), weather(dt=None), weather(name="", weather=[]), weather(weather=[{"main": "x"}, {"description": 1}, None, 5]), weather(main={"temp": "x"}, wind=None, clouds=[]), [], None, "x", 5, {}]
+    payloads += [energy([{"_id": 1.5}, {"_id": True}, {}, *[{}] * 9], limit=0, total=-1), energy("no"), energy([{"_id": 1}]) | {"success": False}, {"grid": [[1, -2], [], ["x", 1.5, 2.0], 3]}, {"grid": [[1]]}, {"grid": [[0], [1, 2]]}]
+    rows = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "i INT, value STRING")
+    for contract, name in ((WEATHER_CONTRACT, "w"), (ENERGY_CONTRACT, "e"), (NESTED, "n")):
+        for p, r in zip(payloads, with_violations(rows, contract, name=name).orderBy("i").collect(), strict=True):
+            found = violations(p, contract)
+            assert r.violations == [f"{a} {b}" for a, b in found]
+            assert r.message == (message(found, name) if found else None)
+    assert "additional" in with_violations(rows, ENERGY_CONTRACT, name="e").where("i = 11").first().message

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import measures as M
 from tidemark.operators import asof, features, quality, rollup, serving, silver
 from tidemark.operators.ranges import TimeRanges
-from tidemark.plans.adapter import energy_events, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
+from tidemark.plans.adapter import energy_capture_files, energy_events, energy_payloads, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
 from tidemark.schemas import ENERGY_KEY, WEATHER_KEY
-from tidemark.sources.contracts import WEATHER_CONTRACT, with_violations
+from tidemark.sources.bronze import land_captures, scan_captures
+from tidemark.sources.contracts import ENERGY_CONTRACT, WEATHER_CONTRACT, with_violations
+from tidemark.sources.scratch import scratch_folder
 
 #: The checks' present: the end of the events' month, so that results don't depend on the clock.
 NOW = "2024-01-30 12:00:00"
@@ -81,21 +83,24 @@ def _done(df: DataFrame) -> DataFrame:
     return df.withColumns(times | means)
 
 
-def _ranges(spark: SparkSession, d: str) -> TimeRanges:
-    return TimeRanges.of(energy_events(spark, d), weather_events(spark, d))
+def _joined_ranges(spark: SparkSession, d: str) -> tuple[DataFrame, TimeRanges]:
+    """The matched table and the ranges of time that both sides were dealt into."""
+    energy, weather = energy_events(spark, d), weather_events(spark, d)
+    ranges = TimeRanges.of(energy, weather)
+    return asof.nearest_weather(energy, weather, ranges), ranges
 
 
-def _joined(spark: SparkSession, d: str, ranges: TimeRanges | None = None) -> DataFrame:
-    return asof.nearest_weather(energy_events(spark, d), weather_events(spark, d), ranges)
+def _joined(spark: SparkSession, d: str) -> DataFrame:
+    return _joined_ranges(spark, d)[0]
 
 
-def _base(spark: SparkSession, d: str, ranges: TimeRanges | None = None) -> DataFrame:
-    return features.feature_base(_joined(spark, d, ranges))
+def _base(spark: SparkSession, d: str) -> DataFrame:
+    return features.feature_base(_joined(spark, d))
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    ranges = _ranges(spark, d)
-    return features.feature_table(_joined(spark, d, ranges), ranges=ranges)
+    joined, ranges = _joined_ranges(spark, d)
+    return features.feature_table(joined, ranges=ranges)
 
 
 def _now() -> F.Column:
@@ -148,8 +153,8 @@ _IDS = ", ".join(_ID)
 
 
 def _series(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    ranges = _ranges(spark, d)
-    return features.series_features(_base(spark, d, ranges), ranges=ranges).select(*_ID, *columns)
+    joined, ranges = _joined_ranges(spark, d)
+    return features.series_features(features.feature_base(joined), ranges=ranges).select(*_ID, *columns)
 
 
 def _rolled(spark: SparkSession, d: str, levels: tuple[str, ...], *columns: str) -> DataFrame:
@@ -170,6 +175,17 @@ _RIVALS = """WITH {w}, r AS (SELECT * REPLACE ('capture-' || lpad(source_record_
 SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ingestion_timestamp_utc DESC NULLS LAST, source_file DESC) AS place FROM r) WHERE place = 1"""
 _LABELS = " UNION ALL ".join(f"SELECT '{n}' AS aggregation_level, date_trunc('{u}', event_timestamp_utc) AS bucket_start_utc, city, country_code, resource_id, arg_max(weather_main, (event_timestamp_utc, weather_main)) AS latest_weather_main FROM rb GROUP BY ALL" for n, u in (("hourly", "hour"), ("daily", "day")))
 
+def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The events' captures, landed as files in the shared folder and scanned."""
+    folder = scratch_folder(spark, "captures")
+    land_captures(energy_capture_files(spark, d), f"{folder}/raw/energy")
+    return scan_captures(spark, f"{folder}/raw/energy", "energy", f"{folder}/scanned")
+
+
+_BROKEN = "CASE right(resource_id, 1) || '-' || day(event_date_utc) % 10 WHEN '2-5' THEN 'is not JSON' WHEN '1-7' THEN 'is empty' WHEN '0-9' THEN 'is not an object' WHEN '3-3' THEN 'has fields of other types: within objects or arrays' END"
+_FILE = "'energy_' || strftime(event_date_utc, '%Y%m%d') || '_12000' || right(resource_id, 1) || '.json'"
+
+
 #: name: (query, SQL or None)
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "silver_energy_projection": (energy_events, f"WITH {WITH}\nSELECT * FROM se"),
@@ -185,6 +201,18 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         f"WITH {WITH}, n AS (SELECT *, CAST(source_record_id AS BIGINT) AS n FROM sw)\nSELECT * EXCLUDE (n) REPLACE (CASE WHEN n % 10 = 0 THEN 'other.json' ELSE 'weather_' || strftime(event_timestamp_utc, '%Y%m%d_%H%M%S') || '.json' END AS source_file, CASE WHEN n % 10 <> 0 THEN date_trunc('second', event_timestamp_utc) END AS ingestion_timestamp_utc, date_trunc('second', event_timestamp_utc) AS event_timestamp_utc, CASE WHEN n % 17 <> 0 THEN weather_main END AS weather_main, CASE WHEN n % 17 <> 0 THEN weather_description END AS weather_description) FROM n"),
     "contract_violations": (lambda s, d: with_violations(weather_payloads(s, d), WEATHER_CONTRACT).select("id", (F.size("violations") == 0).alias("valid")),
         f"WITH {WITH}, n AS (SELECT *, CAST(source_record_id AS BIGINT) AS id FROM sw)\nSELECT id, id % 11 <> 0 AND id % 9 <> 0 AND id % 12 <> 0 AND id % 17 <> 0 AND temperature_c IS NOT NULL AND feels_like_c IS NOT NULL AND humidity_pct IS NOT NULL AND cloud_cover_pct IS NOT NULL AND wind_speed_mps IS NOT NULL AS valid FROM n"),
+    "contract_messages_weather": (lambda s, d: with_violations(weather_payloads(s, d), WEATHER_CONTRACT, name="weather_schema.json").select("id", "message"),
+        f"""WITH {WITH}, n AS (SELECT *, CAST(source_record_id AS BIGINT) AS id FROM sw),
+m AS (SELECT id, CASE WHEN id % 11 = 0 THEN ['$ is not JSON'] ELSE list_filter([CASE WHEN id % 9 = 0 THEN '$ lacks the required field ''dt''' END, CASE WHEN humidity_pct IS NULL THEN '$.main lacks the required field ''humidity''' END,
+  CASE WHEN temperature_c IS NULL THEN '$.main lacks the required field ''temp''' END, CASE WHEN id % 12 = 0 THEN '$.name is shorter than 1' END, CASE WHEN id % 17 = 0 THEN '$.weather has fewer than 1 items' END], lambda x: x IS NOT NULL) END AS ms FROM n)
+SELECT id, CASE WHEN len(ms) > 0 THEN 'payload breaks weather_schema.json: ' || array_to_string(ms, '; ') END AS message FROM m"""),
+    "contract_messages_energy": (lambda s, d: with_violations(energy_payloads(s, d), ENERGY_CONTRACT, name="energy_schema.json").select("resource_id", "event_date_utc", "message"),
+        f"""WITH {WITH}, p AS (SELECT resource_id, event_date_utc, CAST(source_record_id AS BIGINT) AS id, row_number() OVER (PARTITION BY resource_id, event_date_utc ORDER BY CAST(source_record_id AS BIGINT)) - 1 AS i FROM se),
+m AS (SELECT resource_id, event_date_utc, list_sort(coalesce(list('$.result.records[' || i || '] lacks the required field ''_id''') FILTER (id % 7 = 0), [])) AS ms FROM p GROUP BY 1, 2)
+SELECT resource_id, event_date_utc, CASE WHEN len(ms) > 0 THEN 'payload breaks energy_schema.json: ' || array_to_string(ms[1:5], '; ') || CASE WHEN len(ms) > 5 THEN '; ... ' || (len(ms) - 5) || ' additional' ELSE '' END END AS message FROM m"""),
+    "captures_scanned_energy": (lambda s, d: silver.typed_energy(_scanned(s, d)[0]),
+        f"WITH {WITH}\nSELECT * REPLACE ({_FILE} AS source_file, date_trunc('second', event_timestamp_utc) AS event_timestamp_utc, CAST(event_date_utc AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 SECOND * CAST(right(resource_id, 1) AS INTEGER) AS ingestion_timestamp_utc) FROM se WHERE CAST(source_record_id AS BIGINT) % 101 <> 0 AND {_BROKEN} IS NULL"),
+    "captures_quarantined": (lambda s, d: _scanned(s, d)[1].select("source_file", "error"), f"WITH {WITH}\nSELECT DISTINCT {_FILE} AS source_file, {_BROKEN} AS error FROM se WHERE {_BROKEN} IS NOT NULL"),
     "range_join_candidates": (lambda s, d: asof.candidate_pairs(energy_events(s, d), weather_events(s, d)).groupBy(*ENERGY_KEY).agg(F.count("weather_event_timestamp_utc").alias("candidates")),
         f"WITH {WITH}\nSELECT e.resource_id, e.source_record_id, e.event_timestamp_utc, count(w.event_timestamp_utc) AS candidates FROM se e LEFT JOIN sw w ON w.event_timestamp_utc BETWEEN e.event_timestamp_utc - INTERVAL 6 HOUR AND e.event_timestamp_utc + INTERVAL 1 HOUR GROUP BY 1, 2, 3"),
     "nearest_weather_join": (_joined, f"WITH {WITH},{JOIN}\nSELECT * FROM wj"),

@@ -28,11 +28,11 @@ WEATHER_PART = ["city", "country_code", "temperature_c", "feels_like_c", "humidi
 ENERGY_PART = ["demand_mw", "generation_mw", "import_mw", "solar_mw", "wind_mw", "stor_mw", "other_mw"]
 #: Order of rows at one place: carried in, units, weather an hour early, energy, carried from behind.
 _IN, _UNIT, _EARLY, _ENERGY, _BEHIND = range(5)
-_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
+_FIRST, _LAST = 1 - (1 << 63), (1 << 63) - 1
 
 
 def _placed(df: DataFrame, place: Column, side: int, ranges: TimeRanges, **what: Column) -> DataFrame:
-    return df.select(ranges.of_time(place).alias("range"), place.alias("place"), F.lit(side).alias("side"), *[c.alias(n) for n, c in what.items()])
+    return df.withColumn("place", place).select(ranges.of_time("place").alias("range"), "place", F.lit(side).alias("side"), *[c.alias(n) for n, c in what.items()])
 
 
 def _weather_places(weather: DataFrame, unit_us: int, ranges: TimeRanges) -> DataFrame:
@@ -50,16 +50,15 @@ def _weather_places(weather: DataFrame, unit_us: int, ranges: TimeRanges) -> Dat
 def _carried(places: DataFrame, ranges: TimeRanges) -> DataFrame:
     """For each range two rows: the last unit and early row before it, and the first unit after it."""
     spark = places.sparkSession
-    every = spark.range(ranges.count).select(F.col("id").cast("int").alias("range"), F.lit(None).cast("bigint").alias("place"), *[F.lit(None).cast(places.schema[c].dataType).alias(c) for c in ("unit", "early")])
-    at = lambda c: F.when(F.col(c).isNotNull(), F.struct("place", F.col(c).alias("row")))
+    every = spark.range(ranges.count).selectExpr("CAST(id AS INT) AS range", "CAST(NULL AS BIGINT) AS place", "NULL AS unit", "NULL AS early")
+    at = "IF({0} IS NOT NULL, struct(place, {0} AS row), NULL)"
     ends = places.select("range", "place", "unit", "early").unionByName(every).groupBy("range")
-    ends = ends.agg(F.min(at("unit")).alias("first"), F.max(at("unit")).alias("last"), F.max(at("early")).alias("last_early"))
+    ends = ends.agg(F.expr(f"min({at.format('unit')}) AS first"), F.expr(f"max({at.format('unit')}) AS last"), F.expr(f"max({at.format('early')}) AS last_early"))
     # A row a range: as many as the session's tasks call for, whatever the data.
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select("range", F.last("last.row", True).over(before).alias("unit"), F.last("last_early.row", True).over(before).alias("early"), F.expr("lead(first.row) IGNORE NULLS OVER (ORDER BY range)").alias("next"))
-    begin = F.struct(F.lit(_FIRST).alias("place"), F.lit(_IN).alias("side"), "unit", "early")
-    end = F.struct(F.lit(_LAST).alias("place"), F.lit(_BEHIND).alias("side"), F.col("next").alias("unit"), F.lit(None).cast(places.schema["early"].dataType).alias("early"))
-    return ends.select("range", F.inline(F.array(begin, end)))
+    before = "OVER (ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    ends = ends.selectExpr("range", f"last(last.row, true) {before} AS unit", f"last(last_early.row, true) {before} AS early", "lead(first.row) IGNORE NULLS OVER (ORDER BY range) AS next")
+    begin, end = f"struct({_FIRST}L AS place, {_IN} AS side, unit, early)", f"struct({_LAST}L AS place, {_BEHIND} AS side, next AS unit, CAST(NULL AS {places.schema['early'].dataType.simpleString()}) AS early)"
+    return ends.selectExpr("range", f"inline(array({begin}, {end}))")
 
 
 def _matched(energy: DataFrame, weather: DataFrame, unit_us: int, ranges: TimeRanges | None) -> DataFrame:
@@ -68,20 +67,17 @@ def _matched(energy: DataFrame, weather: DataFrame, unit_us: int, ranges: TimeRa
     us = micros(F.col("event_timestamp_utc"))
     places = _weather_places(weather, unit_us, ranges)
     w = places.unionByName(_carried(places, ranges)).withColumn("e", F.lit(None))
-    e = energy.select(ranges.dealt(us, *ENERGY_KEY).alias("range"), us.alias("place"), F.lit(_ENERGY).alias("side"), F.lit(None).alias("unit"), F.lit(None).alias("early"), F.struct(*energy.columns).alias("e"))
+    e = energy.withColumn("place", us).select(ranges.dealt("place", ENERGY_KEY).alias("range"), "place", F.lit(_ENERGY).alias("side"), F.lit(None).alias("unit"), F.lit(None).alias("early"), F.struct(*energy.columns).alias("e"))
     seen = Window.partitionBy("range").orderBy("place", "side").rowsBetween(Window.unboundedPreceding, 0)
     both = w.unionByName(e).select(
         "place", "side", "e", F.last("unit", True).over(seen).alias("prev"), F.last("early", True).over(seen).alias("reached"),
         F.expr("lead(unit) IGNORE NULLS OVER (PARTITION BY range ORDER BY place, side)").alias("next"),
     ).where(F.col("side") == _ENERGY)
-    unit = lambda c: F.floor(c / unit_us)
-    place, end = F.col("place"), F.col("place") + AFTER_US
-    back = F.when(F.col("prev.last.us") >= place - BEFORE_US, F.col("prev.last"))
-    ahead = F.when(F.col("next.last.us") <= end, F.col("next.last")).when(F.col("next.first") <= end, F.col("reached"))
-    both = both.select("place", "e", back.alias("back"), ahead.alias("ahead"))
-    far = lambda c: F.abs(unit(F.col(f"{c}.us")) - unit(place))
-    chosen = F.when(F.col("ahead").isNull(), F.col("back")).when(F.col("back").isNull() | (far("ahead") <= far("back")), F.col("ahead")).otherwise(F.col("back"))
-    return both.select("e.*", chosen.alias("w"))
+    back = f"IF(prev.last.us >= place - {BEFORE_US}L, prev.last, NULL) AS back"
+    ahead = f"CASE WHEN next.last.us <= place + {AFTER_US}L THEN next.last WHEN next.first <= place + {AFTER_US}L THEN reached END AS ahead"
+    far = "abs(floor({0}.us / {1}) - floor(place / {1}))"
+    nearer = f"back IS NULL OR {far.format('ahead', unit_us)} <= {far.format('back', unit_us)}"
+    return both.selectExpr("place", "e", back, ahead).selectExpr("e.*", f"CASE WHEN ahead IS NULL THEN back WHEN {nearer} THEN ahead ELSE back END AS w")
 
 
 def _joined(matched: DataFrame, age, gap) -> DataFrame:

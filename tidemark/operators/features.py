@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tidemark.functions.measures import is_weekend, weekday_from_monday
-from tidemark.operators.ranges import TimeRanges, micros
+from tidemark.operators.ranges import TimeRanges
 
 CARRIED = ["event_timestamp_utc", "event_date_utc", "city", "country_code", "resource_id"]
 MEASURES = ["demand_mw", "generation_mw", "import_mw", "solar_mw", "wind_mw", "stor_mw", "other_mw", "pressure_hpa", "cloud_cover_pct", "wind_speed_mps", "weather_main", "weather_description", "weather_age_minutes"]
@@ -67,8 +67,7 @@ def series_features(df: DataFrame, rows: int = ROLLING_ROWS, span: str | None =
     """
     series, order = ["resource_id", "city"], ["event_timestamp_utc", *(["source_record_id"] if "source_record_id" in df.columns else [])]
     if span or ranges:
-        time = F.col("event_timestamp_utc")
-        out = _in_slices(df.withColumn("__slice", ranges.of_time(micros(time)) if ranges else F.date_trunc(span, time)), series, order, rows)
+        out = _in_slices(df.withColumn("__slice", ranges.of_time("unix_micros(event_timestamp_utc)") if ranges else F.date_trunc(span, "event_timestamp_utc")), series, order, rows)
     else:
         out = df.withColumns(_looked_back(Window.partitionBy(*series).orderBy(*order), rows))
     return out.withColumns({"demand_delta_1": F.col("demand_mw") - F.col("demand_lag_1"), "temperature_delta_1": F.col("temperature") - F.col("temperature_lag_1")})

@@ -36,28 +36,20 @@ class TimeRanges:
         found = times.agg(F.percentile_approx("us", shares, 10 * ranges)).first()[0] if shares else None
         return cls(tuple(sorted(found or ())))
 
-    def _below(self, us: Column, also_equal: bool) -> Column:
-        """How many bounds are less than us (or equal, too), by halving; 0 for a null."""
-        if not self.bounds:
-            return F.when(us.isNull(), 0).otherwise(0)
-        bounds = F.split(F.lit(",".join(map(str, self.bounds))), ",").cast("array<bigint>")
-        widths = F.array(*[F.lit(1 << k) for k in range(len(self.bounds).bit_length() - 1, -1, -1)])
-
-        def step(at: Column, width: Column) -> Column:
-            bound = F.get(bounds, at + width - 1)
-            return F.when(bound <= us if also_equal else bound < us, at + width).otherwise(at)
-
-        return F.aggregate(widths, F.lit(0), step)
-
-    def of_time(self, us: Column) -> Column:
-        """The range of a time: of several that it could lie in the first."""
-        return self._below(us, False)
-
-    def dealt(self, us: Column, *key: Column | str) -> Column:
-        """A range in which a row of this time may lie: the hash of key picks one where there are several; any for a null time."""
-        first, h = self._below(us, False), F.xxhash64(*key)
-        width = self._below(us, True) - first + 1
-        return F.when(us.isNull(), F.pmod(h, F.lit(self.count)).cast("int")).otherwise(first + F.pmod(h, width).cast("int"))
+    def _below(self, us: str, less: str) -> str:
+        """SQL of how many bounds are less than us (< or <=), by halving; 0 for a null."""
+        bounds = f"CAST(split('{','.join(map(str, self.bounds))}', ',') AS ARRAY<BIGINT>)"
+        widths = ", ".join(str(1 << k) for k in range(len(self.bounds).bit_length() - 1, -1, -1))
+        return f"aggregate(array({widths}), 0, (at, width) -> IF(get({bounds}, at + width - 1) {less} {us}, at + width, at))" if self.bounds else "0"
+
+    def of_time(self, us: str) -> Column:
+        """The range of a time, a column's name: of several that it could lie in the first."""
+        return F.expr(self._below(us, "<"))
+
+    def dealt(self, us: str, key: list[str]) -> Column:
+        """A range in which a row of this time may lie: the hash of its key picks one where there are several; any for a null time."""
+        first, h = self._below(us, "<"), f"xxhash64({', '.join(key)})"
+        return F.expr(f"CAST(IF({us} IS NULL, pmod({h}, {self.count}), {first} + pmod({h}, {self._below(us, '<=')} - {first} + 1)) AS INT)")
 
     @property
     def count(self) -> int:

@@ -89,3 +89,28 @@ def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_weather(spark, sf_dir).withColumns({"dt": F.when(n % 9 != 0, F.col("dt")), "name": F.when(n % 12 == 0, F.lit("")).otherwise(F.col("name"))})
     text = F.to_json(F.struct(*[c for c in raw.columns if c not in ("source_file", "_corrupt")]))
     return raw.select("id", F.when(n % 11 == 0, F.lit("{")).otherwise(text).alias("value"))
+
+
+def _energy_documents(spark: SparkSession, sf_dir: str, lacking: int) -> DataFrame:
+    """resource_id, event_date_utc, doc: energy captures as whole documents, records in order; every lacking-th has no _id."""
+    raw = raw_energy(spark, sf_dir).where("result.resource_id <> 'none'").select("result.*", "source_file")
+    record = F.transform(F.sort_array("records"), lambda r: r.withField("_id", F.when(r["_id"] % lacking != 0, r["_id"])))
+    fields = F.struct("resource_id", record.alias("records"), F.lit(1000).alias("limit"), F.size("records").alias("total"))
+    day = F.to_date(F.substring("source_file", 8, 8), "yyyyMMdd")
+    return raw.select("resource_id", day.alias("event_date_utc"), F.struct(F.lit("h").alias("help"), F.lit(True).alias("success"), fields.alias("result")).alias("doc"))
+
+
+def energy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """resource_id, event_date_utc, value: a capture a day and resource as JSON, of whose records every 7th has no _id."""
+    return _energy_documents(spark, sf_dir, 7).select("resource_id", "event_date_utc", F.to_json("doc").alias("value"))
+
+
+def energy_capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path and value of a file a day and resource, pretty-printed JSON. Each tenth day has a broken one: cut in half (region-2,
+    5th), blank (region-1, 7th), a list (region-0, 9th), or with records of another type (region-3, 3rd)."""
+    docs = _energy_documents(spark, sf_dir, 1 << 60)
+    text, day, r = F.to_json("doc", {"pretty": "true"}), F.dayofmonth("event_date_utc") % 10, F.substring("resource_id", -1, 1)
+    other = F.lit('{"help": "h", "success": true, "result": {"resource_id": "region-3", "records": "none"}}')
+    broken = F.when((r == "2") & (day == 5), F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))).when((r == "1") & (day == 7), "\n").when((r == "0") & (day == 9), "[]").when((r == "3") & (day == 3), other)
+    path = F.concat("resource_id", F.lit("/energy_"), F.date_format("event_date_utc", "yyyyMMdd"), F.lit("_12000"), r, F.lit(".json"))
+    return docs.select(path.alias("path"), F.coalesce(broken, text).alias("value"))

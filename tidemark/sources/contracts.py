@@ -114,19 +114,25 @@ def validate(payload, contract: dict, name: str) -> None:
     """Raise a ContractError that names the contract and shows the first violations and how many more there are."""
     found = violations(payload, contract)
     if found:
-        more = f"; ... {len(found) - SHOWN} additional" if len(found) > SHOWN else ""
-        raise ContractError(f"payload breaks {name}: " + "; ".join(f"{p} {w}" for p, w in found[:SHOWN]) + more)
+        raise ContractError(message(found, name))
+
+
+def message(found: list[tuple[str, str]], name: str) -> str:
+    """What is wrong with a payload, in one line: the first SHOWN violations and how many more there are."""
+    more = f"; ... {len(found) - SHOWN} additional" if len(found) > SHOWN else ""
+    return f"payload breaks {name}: " + "; ".join(f"{p} {w}" for p, w in found[:SHOWN]) + more
 
 
 _TYPES = {"string": "^STRING$", "boolean": "^BOOLEAN$", "array": "^ARRAY<", "object": "^(OBJECT|STRUCT)<", "number": "^(BIGINT|DOUBLE|DECIMAL|FLOAT|INT|SMALLINT|TINYINT)"}
+_FOUND = "array<struct<path: string, what: string>>"
 
 
-def _clauses(v: Column, contract: dict, path: str) -> list[Column]:
-    """Violation messages as columns, null where there is none; v is a VARIANT of a JSON value that is there."""
+def _found(v: Column, contract: dict, path: Column) -> Column:
+    """Violations (path, what) of a VARIANT, null where it isn't there, with those of its fields and of its items at their places."""
     kind, out = F.schema_of_variant(v), []
 
     def unless(ok: Column, text: str) -> None:
-        out.append(F.when(v.isNotNull() & ~F.coalesce(ok, F.lit(False)), F.lit(f"{path} {text}")))
+        out.append(F.when(v.isNotNull() & ~F.coalesce(ok, F.lit(False)), F.struct(path.alias("path"), F.lit(text).alias("what"))))
 
     want = contract.get("type")
     if want == "integer":
@@ -140,38 +146,34 @@ def _clauses(v: Column, contract: dict, path: str) -> list[Column]:
         unless(~kind.rlike("^STRING$") | (F.length(F.try_variant_get(v, "$", "string")) >= contract["minLength"]), f"is shorter than {contract['minLength']}")
     if "minimum" in contract:
         unless(~kind.rlike(_TYPES["number"]) | (F.try_variant_get(v, "$", "double") >= contract["minimum"]), f"is below {contract['minimum']}")
+    items = F.try_variant_get(v, "$", "array<variant>")
     if "minItems" in contract:
-        unless(~kind.rlike("^ARRAY<") | (F.size(F.try_variant_get(v, "$", "array<variant>")) >= contract["minItems"]), f"has fewer than {contract['minItems']} items")
+        unless(~kind.rlike("^ARRAY<") | (F.size(items) >= contract["minItems"]), f"has fewer than {contract['minItems']} items")
     for k in contract.get("required", []):
         there = F.try_variant_get(v, f"$['{k}']", "variant")
-        out.append(F.when(kind.rlike(_TYPES["object"]) & there.isNull(), F.lit(f"{path} lacks the required field '{k}'")))
-    for k, sub in contract.get("properties", {}).items():
-        out += _clauses(F.try_variant_get(v, f"$['{k}']", "variant"), sub, f"{path}.{k}")
-    return out
-
-
-def _all(v: Column, contract: dict, path: str) -> Column:
-    """Array of all violation messages of a VARIANT, items of arrays included (their path ends in [])."""
-    found = F.array_compact(F.array(*_clauses(v, contract, path), F.lit(None).cast("string")))
-    arrays = [(k, sub) for k, sub in contract.get("properties", {}).items() if "items" in sub]
-    for k, sub in arrays:
-        items = F.coalesce(F.try_variant_get(v, f"$['{k}']", "array<variant>"), F.array().cast("array<variant>"))
-        each = F.flatten(F.transform(items, _item_check(sub["items"], f"{path}.{k}[]")))
-        found = F.concat(found, F.array_distinct(each))
-    for k, sub in contract.get("properties", {}).items():
-        if sub.get("type") == "object" and any("items" in s for s in sub.get("properties", {}).values()):
-            inner = {"properties": {n: s for n, s in sub["properties"].items() if "items" in s}}
-            found = F.concat(found, _all(F.try_variant_get(v, f"$['{k}']", "variant"), {"properties": {n: {"items": s["items"]} for n, s in inner["properties"].items()}}, f"{path}.{k}"))
-    return found
-
+        unless(~kind.rlike(_TYPES["object"]) | there.isNotNull(), f"lacks the required field '{k}'")
+    parts = [F.array_compact(F.array(*out)).cast(_FOUND)] if out else []
+    parts += [_found(F.try_variant_get(v, f"$['{k}']", "variant"), sub, F.concat(path, F.lit(f".{k}"))) for k, sub in contract.get("properties", {}).items()]
+    if "items" in contract:
+        each = F.transform(F.coalesce(items, F.array().cast("array<variant>")), lambda x, i: _found(x, contract["items"], F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        parts.append(F.flatten(each))
+    return F.concat(*parts) if parts else F.array().cast(_FOUND)
 
-def _item_check(contract: dict, path: str):
-    return lambda x: _all(x, contract, path)
 
+def with_violations(captures: DataFrame, contract: dict, text: str = "value", name: str | None = None) -> DataFrame:
+    """captures (a JSON text a row) with `violations`, an array of messages sorted by path; a text that isn't JSON has one.
 
-def with_violations(captures: DataFrame, contract: dict, text: str = "value") -> DataFrame:
-    """captures (a JSON text a row) with `violations`, an array of messages; a text that isn't JSON has one."""
+    Paths name the places of array items, as in violations(). With the contract's name, `message` says the same in one line,
+    as message() does; it is null for a text that breaks nothing.
+    """
     check_contract(contract)
     v = F.try_parse_json(F.col(text))
-    bad = F.array(F.lit("$ is not JSON"))
-    return captures.withColumn("__v", v).withColumn("violations", F.when(F.col("__v").isNull(), bad).otherwise(_all(F.col("__v"), contract, "$"))).drop("__v")
+    bad = F.array(F.struct(F.lit("$").alias("path"), F.lit("is not JSON").alias("what")))
+    sorted_ = F.sort_array(F.when(F.col("__v").isNull(), bad).otherwise(_found(F.col("__v"), contract, F.lit("$"))))
+    out = captures.withColumn("__v", v).withColumn("violations", F.transform(sorted_, lambda x: F.concat_ws(" ", x["path"], x["what"]))).drop("__v")
+    if name is None:
+        return out
+    n = F.size("violations")
+    more = F.when(n > SHOWN, F.concat(F.lit("; ... "), (n - SHOWN).cast("string"), F.lit(" additional"))).otherwise("")
+    shown = F.array_join(F.slice("violations", 1, SHOWN), "; ")
+    return out.withColumn("message", F.when(n > 0, F.concat(F.lit(f"payload breaks {name}: "), shown, more)))

@@ -63,16 +63,21 @@ def load_feed(path: str, dataset: str) -> Feed:
     return Feed(dataset, url, params, api.get("timeout_seconds", 30), api.get("api_key_header"), api.get("api_key_env"), api.get("api_key_param"))
 
 
-def fetch(feed: Feed, get: Get, env: Mapping[str, str] | None = None) -> dict:
-    """The feed's payload, after the status and the contract have been checked."""
+def checked(feed: Feed, get: Get, env: Mapping[str, str] | None, contract: dict) -> dict:
+    """The payload of one GET, after the status and the contract have been checked."""
     params = dict(feed.params) | ({feed.key_param: feed.secret(env)} if feed.key_param else {})
     status, payload = get(feed.url, params, feed.headers(env), feed.timeout)
     if not 200 <= status < 300:
         raise OSError(f"{feed.dataset}: HTTP status {status}")
-    validate(payload, CONTRACTS[feed.dataset], f"{feed.dataset}_schema.json")
+    validate(payload, contract, f"{feed.dataset}_schema.json")
     return payload
 
 
+def fetch(feed: Feed, get: Get, env: Mapping[str, str] | None = None) -> dict:
+    """The feed's payload, after the status and the contract have been checked."""
+    return checked(feed, get, env, CONTRACTS[feed.dataset])
+
+
 def ingest(feeds: dict[str, Feed], get: Get, root: str, dataset: str = "all", env: Mapping[str, str] | None = None, now: datetime | None = None) -> list[str]:
     """Fetch and land the chosen dataset, or all; the paths written."""
     chosen = dataset.lower()
