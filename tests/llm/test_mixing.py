@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import mix_sources, poisson_steps, source_rates, uniform
+from tidemark.llm.shared import row_keys
 
 
 def copies(u, rate):
@@ -68,5 +69,33 @@ def test_inversion(spark, rate):
     assert abs(k.mean() - rate) <= 4 * math.sqrt(max(rate, 1e-9) / 4000) and abs(k.var() - rate) <= 0.15 * rate + 1e-9
 
 
+def test_copies_are_dealt_alike_whatever_the_order_and_join(spark, make_docs, rows):
+    """The rows of each output partition don't depend on how the input is split, on the join, or on where row keys come from."""
+    docs = row_keys(make_docs(rows))
+
+    def dealt(df):
+        return sorted((str(r.doc_id), r.text or "", str(r.source), r.copy, r.p) for r in df.withColumn("p", F.spark_partition_id()).collect())
+
+    want = dealt(mix_sources(docs, row=("__file", "__row")))
+    assert "__file" not in mix_sources(docs, row=("__file", "__row")).columns
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        joined = mix_sources(docs.repartition(7), row=("__file", "__row"))
+        assert dealt(joined) == want and "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    plain = mix_sources(docs.drop("__file", "__row").orderBy(F.rand(1)))
+    assert sorted(x[:4] for x in dealt(plain)) == sorted(x[:4] for x in want)
+    assert "monotonically" not in plain._jdf.queryExecution().toString().lower()
+
+
+def test_one_row_repeated_often_spreads(make_docs):
+    out = mix_sources(make_docs([(1, "same text", "a")] * 400))
+    sizes = Counter(r.p for r in out.withColumn("p", F.spark_partition_id()).collect())
+    assert len(sizes) > 1 and max(sizes.values()) < 0.6 * sum(sizes.values())
+
+
 def test_an_empty_table(make_docs):
     assert mix_sources(make_docs([])).count() == 0

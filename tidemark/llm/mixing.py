@@ -12,10 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import parallelism, stored
-
-#: Sources up to which their table of rates is broadcast (some 300 bytes each); beyond it, the same join shuffles.
-BROADCAST_SOURCES = 10_000
+from tidemark.llm.shared import parallelism, row_keys, stored
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -59,20 +56,23 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, power
     return rates.select("source", "size", "rate", poisson_steps(F.col("rate")).alias("steps"))
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: int = 0) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: int = 0, row: tuple[str, str] | None = None) -> DataFrame:
     """docs with each row repeated by its number of copies, shuffled, with the columns copy (from 1) and shuffle_key.
 
-    docs has doc_id, text and source. A null source is a source of its own; null texts have no characters. Rows that
-    repeat a doc_id within a source get the same number of copies. Other columns pass through (copy and shuffle_key are
-    replaced). An empty table gives no rows. Rows are dealt by shuffle_key and their place in docs (so that null or repeated
-    doc_ids spread too), and lie within an output partition in the order of shuffle_key.
+    docs has doc_id, text and source. row names two long columns that number its rows alike in every scan (see row_keys); they
+    aren't in the result. Without, docs is written once, and its rows are known by their place in those files. A null source
+    is a source of its own; null texts have no characters. Rows that repeat a doc_id within a source get the same number of
+    copies. Other columns pass through (copy and shuffle_key are replaced). An empty table gives no rows. Copies are dealt by
+    their shuffle_key and their row, so that null or repeated doc_ids spread too, and lie within an output partition in the
+    order of shuffle_key. Nothing that deals them depends on the order in which a task meets rows, so one that runs again
+    after a loss deals the same rows to the same places. Spark joins the rates as their size calls for; the rows are the same.
     """
+    names = [c for c in docs.columns if c not in ("copy", "shuffle_key", *(row or ()))]
+    if row is None:
+        docs, row = row_keys(stored(docs.select(*names), "mixing-docs")), ("__file", "__row")
     rates = stored(source_rates(docs, weights, power, epochs).select(F.col("source").alias("__source"), F.col("steps").alias("__steps")), "mixing-rates")
-    if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
-    names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    joined = docs.select(*names).join(rates, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__u", uniform(seed, F.col("doc_id")))
+    joined = docs.select(*names, *row).join(rates, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__u", uniform(seed, F.col("doc_id")))
     below = F.filter("__steps", lambda c: c <= F.col("__u"))
     copies = joined.withColumn("__n", F.size(below)).where("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    keyed = copies.withColumn("shuffle_key", _digest(seed + 1, F.col("doc_id"), F.col("copy"))).drop("__source", "__steps", "__u", "__n").withColumn("__row", F.monotonically_increasing_id())
-    return keyed.repartition(parallelism(docs.sparkSession), "shuffle_key", "__row").sortWithinPartitions("shuffle_key").drop("__row")
+    keyed = copies.withColumn("shuffle_key", _digest(seed + 1, F.col("doc_id"), F.col("copy"))).drop("__source", "__steps", "__u", "__n")
+    return keyed.repartition(parallelism(docs.sparkSession), "shuffle_key", *row).sortWithinPartitions("shuffle_key", *row).drop(*row)

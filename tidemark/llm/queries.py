@@ -106,7 +106,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN purity >= 0.5 THEN
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed so that each source's share goes with the root of its size, as large as the input."""
-    return mix_sources(table(spark, sf_dir, "documents"), power=0.5, epochs=1.0, seed=0)
+    return mix_sources(row_keys(table(spark, sf_dir, "documents")), power=0.5, epochs=1.0, seed=0, row=("__file", "__row"))
 
 
 OP4_SQL = """
