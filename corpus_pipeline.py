@@ -24,7 +24,7 @@ KEYS = ("__file", "__row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good ones."""
+    """Documents that the classifier takes for good ones; repeated rows are judged alike, null and empty texts by the model's bias."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_scores(docs, labels, 2000, 0.3, *COLUMNS).where("predicted = 1").select(*COLUMNS)
 
@@ -49,12 +49,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources reach their target shares, in a global shuffle."""
-    return mix_sources(docs, power=0.5, epochs=1.0, seed=0).select(*COLUMNS)
+    """Documents repeated or left out so that sources reach their target shares, in a global shuffle.
+
+    Null sources are a source, null texts have no characters, rows of one doc_id and source get as many copies each.
+    """
+    return mix_sources(row_keys(docs.select(*COLUMNS)), power=0.5, epochs=1.0, seed=0, row=KEYS).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 1024 token ids."""
+    """Pieces of sequences of 1024 token ids; null and empty texts are their end id alone, repeated rows are packed each."""
     return pack(docs, length=1024, end_id=0)
 
 
