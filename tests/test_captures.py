@@ -145,6 +145,37 @@ def test_feed_configuration(tmp_path):
     assert feeds.resource_ids({"result": {"resources": [{"id": "1", "name": "East"}, {"id": "2"}]}}) == {"East": "1", "2": "2"}
 
 
+CONFIG = """
+api:
+  base_url: "http://x/api/"   # with a slash
+  endpoint: search
+  timeout_seconds: 9
+  params:
+    q: "it's: a #1 \\"text\\""
+    fields: [a, 'b c']
+    filters:
+      region: East
+      days:
+        - 1
+        - 2
+other: {x: 1}
+"""
+
+
+def test_configuration_with_lists_and_quotes(tmp_path, monkeypatch):
+    pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text(CONFIG)
+    feed = feeds.load_feed(str(tmp_path / "c.yaml"), "energy")
+    assert (feed.url, feed.timeout) == ("http://x/api/search", 9)
+    assert feed.params == {"q": 'it\'s: a #1 "text"', "fields": ["a", "b c"], "filters": {"region": "East", "days": [1, 2]}}
+    for text, word in (("api: [1]", "mapping"), ("", "mapping"), ("api: {params: 3}", "params"), ("api: {", "YAML")):
+        with pytest.raises(ValueError, match=word):
+            feeds.read_config(text)
+    assert feeds.read_config("api: {base_url: u}") == {"base_url": "u"}
+    monkeypatch.setattr(feeds, "yaml", None)
+    assert feeds.read_config('api:\n  base_url: "u"\n  params:\n    limit: 3\n') == {"base_url": "u", "params": {"limit": 3}}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(4).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("event_date_utc"))
     assert replace_table(df, "t_sink", "event_date_utc").count() == 4

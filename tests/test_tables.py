@@ -81,6 +81,14 @@ def test_a_table_of_another_maker_is_replaced_too(spark, name):
     assert spark.catalog.getTable(name).tableType == "EXTERNAL"
 
 
+def test_names_may_have_capitals_and_a_database(spark, name):
+    for n in (f"{name}_Up", f"default.{name}_Up", f"`default`.`{name}_UP`"):
+        assert replace_table(numbers(spark, 2), n).count() == 2
+    assert spark.table(f"{name}_up").count() == 2 and len(versions(spark, f"{name}_up")) == 1
+    drop_table(spark, f"{name}_Up")
+    assert not spark.catalog.tableExists(f"{name}_up") and versions(spark, f"{name}_up") == []
+
+
 @pytest.mark.parametrize("step", [1, 2])
 def test_a_switch_killed_between_its_renames_is_mended(spark, name, step, monkeypatch):
     replace_table(numbers(spark, 3), name)

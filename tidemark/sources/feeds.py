@@ -8,6 +8,11 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from pathlib import Path
 
+try:
+    import yaml
+except ImportError:  # plain mappings are read without it
+    yaml = None
+
 from tidemark.sources.bronze import land_capture
 from tidemark.sources.contracts import CONTRACTS, validate
 
@@ -44,12 +49,10 @@ class Feed:
         return {self.key_header: self.secret(env)} if self.key_header else {}
 
 
-def load_feed(path: str, dataset: str) -> Feed:
-    """A feed from a YAML file with one mapping `api`; a missing file is an error that says how to make one."""
-    if not Path(path).is_file():
-        raise FileNotFoundError(f"{path} is missing: copy the template beside it (config.example.yaml) and fill it in")
+def _plain_mapping(text: str) -> dict:
+    """The mapping `api` of a YAML text with plain values and one inner mapping, `params`, for where no YAML library is."""
     api, params, inside = {}, {}, None
-    for line in Path(path).read_text().splitlines():
+    for line in text.splitlines():
         body = line.split(" #")[0].rstrip()
         if not body.strip() or body.lstrip().startswith("#"):
             continue
@@ -59,8 +62,30 @@ def load_feed(path: str, dataset: str) -> Feed:
             inside = name
             continue
         (params if inside == "params" and depth > 2 else api)[name] = int(value) if value.isdigit() else value
+    return api | {"params": params}
+
+
+def read_config(text: str) -> dict:
+    """The mapping `api` of a YAML text: with the YAML library, whatever it holds, lists and quoted texts too."""
+    if yaml is None:
+        return _plain_mapping(text)
+    try:
+        found = yaml.safe_load(text)
+    except yaml.YAMLError as e:
+        raise ValueError(f"the configuration isn't YAML: {e}") from e
+    api = found.get("api") if isinstance(found, dict) else None
+    if not isinstance(api, dict) or not isinstance(api.get("params") or {}, dict):
+        raise ValueError("the configuration needs a mapping `api`, whose `params` are a mapping if they are given")
+    return api
+
+
+def load_feed(path: str, dataset: str) -> Feed:
+    """A feed from a YAML file with a mapping `api`; a missing file is an error that says how to make one."""
+    if not Path(path).is_file():
+        raise FileNotFoundError(f"{path} is missing: copy the template beside it (config.example.yaml) and fill it in")
+    api = read_config(Path(path).read_text())
     url = "/".join(str(api[k]).strip("/") for k in ("base_url", "endpoint") if k in api)
-    return Feed(dataset, url, params, api.get("timeout_seconds", 30), api.get("api_key_header"), api.get("api_key_env"), api.get("api_key_param"))
+    return Feed(dataset, url, api.get("params") or {}, api.get("timeout_seconds", 30), api.get("api_key_header"), api.get("api_key_env"), api.get("api_key_param"))
 
 
 def checked(feed: Feed, get: Get, env: Mapping[str, str] | None, contract: dict) -> dict:

@@ -150,7 +150,7 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None, fmt
             spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
     for other in _versions(spark, database, table):
-        if other != version:
+        if other.lower() != version.lower():  # a catalog may fold case
             spark.sql(f"DROP TABLE {other}")
     return spark.table(name)
 
