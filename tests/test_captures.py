@@ -217,7 +217,7 @@ def test_a_scan_parts_good_files_from_bad_ones(spark, tmp_path):
 
 def test_many_captures_land_at_once(spark, tmp_path):
     df = spark.createDataFrame([("a/x.json", '{"n": 1}'), ("b/y.json", "é"), ("c/z.json", None)], "path STRING, value STRING")
-    for root in (str(tmp_path / "plain"), f"file://{tmp_path}/uri"):
+    for root in (str(tmp_path / "plain"), f"file://{tmp_path}/uri", f"file:{tmp_path}/uri"):
         land_captures(df, root)
         land_captures(df, root)
     assert (tmp_path / "plain" / "b" / "y.json").read_text() == "é" and sorted(p.name for p in (tmp_path / "uri").rglob("*.json")) == ["x.json", "y.json", "z.json"]

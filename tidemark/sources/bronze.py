@@ -86,7 +86,7 @@ def land_captures(captures: DataFrame, root: str) -> None:
     root is a local folder or a URI that pyarrow knows, which all executors share. Paths are one row's each; a task that
     runs again writes the same files again.
     """
-    uri = root if "://" in root else f"file://{root}"
+    uri = root if "://" in root else f"file://{root.removeprefix('file:')}"
 
     def write(rows):
         from pyarrow import fs
