@@ -76,3 +76,15 @@ def test_bounds_prune():
     noise = np.floor(1024 * noise / np.linalg.norm(noise, axis=1, keepdims=True)).astype(np.int64)
     shares = pairs_left(noise, noise[:40])
     assert shares[-1] < 0.01 and shares[-3] < 0.1
+
+
+def test_a_row_that_very_many_repeat_is_bounded_and_still_counts_k_times(spark):
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randint(-3, 3)) for _ in range(6)]) for i in range(40)]
+    hot = (500, [4.0] * 6)
+    df = spark.createDataFrame([*rows, *[hot] * 3000, *[(7, rows[7][1])] * 4], "vec_id long, embedding array<double>")
+    kept = topk.distinct_rows(df, 1024, 10).groupBy("vec_id").count().collect()
+    assert {r.vec_id: r["count"] for r in kept} == {**{i: 1 for i in range(40)}, 7: 5, 500: 10}
+    # More than k copies of a row can't show; equal query rows are one query.
+    want = brute([*rows, *[hot] * 10, *[(7, rows[7][1])] * 4])
+    assert sorted(map(tuple, top_k(df, F.col("vec_id") % 7 == 0).collect())) == sorted(set(want))

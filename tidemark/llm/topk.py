@@ -107,6 +107,16 @@ def _scored(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     return queries.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(run, "query_id long, own long, vec_id long, score long")
 
 
+def distinct_rows(vectors: DataFrame, scale: int, k: int) -> DataFrame:
+    """vec_id, v of quantised rows, of which equal ones are there k times at most.
+
+    Equal rows have equal scores and ids, so k of them fill all places that more could take. They are counted with
+    partial results, so a row that very many repeat is never one task's work.
+    """
+    counted = quantised(vectors, scale).groupBy("vec_id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("n"))
+    return counted.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).drop("copy")
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k rows with the highest integer inner product.
 
@@ -118,7 +128,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataF
     the bounds they are doubles, so that scores of 2**53 and more could be ranked by rounded floors).
     """
     work = Scratch(vectors.sparkSession)
-    table = quantised(vectors, scale).withColumn("dim", F.size("v"))
+    table = work.stored(distinct_rows(vectors, scale, k), "topk-rows").withColumn("dim", F.size("v"))
     total = table.count()
     groups = max(1, -(-total // ROW_BLOCK), min(parallelism(vectors.sparkSession), total // 256))
     asked = table.where(is_query).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("own"), F.col("v").alias("v"), F.col("dim").alias("dim"))
