@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import measures as M
 from tidemark.operators import asof, features, quality, rollup, serving, silver
 from tidemark.operators.ranges import TimeRanges
-from tidemark.plans.adapter import energy_capture_files, energy_events, energy_payloads, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
+from tidemark.plans.adapter import energy_capture_files, energy_events, energy_payloads, event_times, raw_energy, raw_weather, recaptured, rival_captures, weather_events, weather_payloads
 from tidemark.schemas import ENERGY_KEY, WEATHER_KEY
 from tidemark.sources.bronze import land_captures, scan_captures
 from tidemark.sources.contracts import ENERGY_CONTRACT, WEATHER_CONTRACT, with_violations
@@ -85,9 +85,8 @@ def _done(df: DataFrame) -> DataFrame:
 
 def _joined_ranges(spark: SparkSession, d: str) -> tuple[DataFrame, TimeRanges]:
     """The matched table and the ranges of time that both sides were dealt into."""
-    energy, weather = energy_events(spark, d), weather_events(spark, d)
-    ranges = TimeRanges.of(energy, weather)
-    return asof.nearest_weather(energy, weather, ranges), ranges
+    ranges = TimeRanges.of(event_times(spark, d))
+    return asof.nearest_weather(energy_events(spark, d), weather_events(spark, d), ranges), ranges
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +222,7 @@ SELECT resource_id, event_date_utc, CASE WHEN len(ms) > 0 THEN 'payload breaks e
     "range_join_candidates": (lambda s, d: asof.candidate_pairs(energy_events(s, d), weather_events(s, d)).groupBy(*ENERGY_KEY).agg(F.count("weather_event_timestamp_utc").alias("candidates")),
         f"WITH {WITH}\nSELECT e.resource_id, e.source_record_id, e.event_timestamp_utc, count(w.event_timestamp_utc) AS candidates FROM se e LEFT JOIN sw w ON w.event_timestamp_utc BETWEEN e.event_timestamp_utc - INTERVAL 6 HOUR AND e.event_timestamp_utc + INTERVAL 1 HOUR GROUP BY 1, 2, 3"),
     "nearest_weather_join": (_joined, f"WITH {WITH},{JOIN}\nSELECT * FROM wj"),
-    "nearest_weather_join_minute_rank": (lambda s, d: serving.serving_join(energy_events(s, d), weather_events(s, d)), f"WITH {WITH},{MINUTE_JOIN}\nSELECT * FROM wm"),
+    "nearest_weather_join_minute_rank": (lambda s, d: serving.serving_join(energy_events(s, d), weather_events(s, d), TimeRanges.of(event_times(s, d))), f"WITH {WITH},{MINUTE_JOIN}\nSELECT * FROM wm"),
     "weather_minutes_crossings": (lambda s, d: _joined(s, d).select(*_ID, M.minute_crossings(F.col("event_timestamp_utc"), F.col("weather_event_timestamp_utc")).alias("crossed")),
         _select(_IDS, "CAST(floor(epoch(event_timestamp_utc) / 60) - floor(epoch(weather_event_timestamp_utc) / 60) AS INTEGER) AS crossed", "wj", f"{WITH},{JOIN}")),
     "feature_base_filter": (_base, f"WITH {_FULL}\nSELECT * FROM fb"),
@@ -244,8 +243,8 @@ SELECT resource_id, event_date_utc, CASE WHEN len(ms) > 0 THEN 'payload breaks e
     "demand_stddev": (lambda s, d: _rolled(s, d, ("hourly", "daily"), "demand_stddev_mw"), _rolled_sql("demand_stddev_mw")),
     "latest_label_max_by": (lambda s, d: _rolled(s, d, ("hourly", "daily"), "latest_weather_main"), _rolled_sql("latest_weather_main")),
     "latest_label_first_value": (lambda s, d: serving.latest_label_by_window(_features(s, d)), f"WITH {_FULL},{RB}\n{_LABELS}"),
-    "serving_features": (lambda s, d: serving.serving_features(energy_events(s, d), weather_events(s, d)), f"WITH {_SERVE},{FEATURES.replace(CALENDAR, MONDAY)}\nSELECT * FROM ft"),
-    "serving_demand_aggregation": (lambda s, d: serving.serving_rollup(serving.serving_features(energy_events(s, d), weather_events(s, d))), f"WITH {_SERVE},{RB}\n{_level_sql('hourly', 'CAST(NULL AS DOUBLE)')} UNION ALL {_level_sql('daily', 'CAST(NULL AS DOUBLE)')}"),
+    "serving_features": (lambda s, d: serving.serving_features(energy_events(s, d), weather_events(s, d), TimeRanges.of(event_times(s, d))), f"WITH {_SERVE},{FEATURES.replace(CALENDAR, MONDAY)}\nSELECT * FROM ft"),
+    "serving_demand_aggregation": (lambda s, d: serving.serving_rollup(serving.serving_features(energy_events(s, d), weather_events(s, d), TimeRanges.of(event_times(s, d)))), f"WITH {_SERVE},{RB}\n{_level_sql('hourly', 'CAST(NULL AS DOUBLE)')} UNION ALL {_level_sql('daily', 'CAST(NULL AS DOUBLE)')}"),
     "dq_not_empty": (lambda s, d: _report(s, d, "not_empty"), _report_sql("not_empty")),
     "dq_required_fields": (lambda s, d: _report(s, d, "required_fields"), _report_sql("required_fields")),
     "dq_duplicates": (lambda s, d: _report(s, d, "duplicates"), _report_sql("duplicates")),

@@ -15,8 +15,8 @@ def serving_join(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | Non
     return nearest_weather_by_minute(energy, weather, ranges)
 
 
-def serving_features(energy: DataFrame, weather: DataFrame) -> DataFrame:
-    ranges = TimeRanges.of(energy, weather)
+def serving_features(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | None = None) -> DataFrame:
+    ranges = ranges or TimeRanges.of(energy, weather)
     return feature_table(serving_join(energy, weather, ranges), monday_first=True, ranges=ranges)
 
 

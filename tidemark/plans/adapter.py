@@ -6,10 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The tables' schemas, so that no job has to look for them.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+NATION, REGION = "n_nationkey INT, n_name STRING, n_regionkey INT", "r_regionkey INT, r_name STRING"
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     k = F.get_json_object("props", "$.k").try_cast("double")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumns({"at": F.col("ts").cast("timestamp"), "k": k})
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").withColumns({"at": F.col("ts").cast("timestamp"), "k": k})
+
+
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_timestamp_utc of all events, energy and weather."""
+    return _events(spark, sf_dir).select(F.col("at").alias("event_timestamp_utc"))
 
 
 def energy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +33,8 @@ def energy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n, user = F.col("k"), F.col("event_id"), F.col("user_id")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("nk"), "n_name", "n_regionkey")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("nk"), "n_name", "n_regionkey")
+    region = spark.read.schema(REGION).parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     places = F.broadcast(nation.join(region, "n_regionkey"))  # 25 nations
     e = _events(spark, sf_dir).where("event_type = 'view'")
     return e.join(places, user % 25 == F.col("nk")).select(
