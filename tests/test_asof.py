@@ -130,9 +130,10 @@ def test_a_dense_minute(spark):
         got = {r.source_record_id: None if r.weather_event_timestamp_utc is None else micros(r.weather_event_timestamp_utc) - start for r in out.collect()}
         for i in range(2300):
             e = i * 30_000 if i < 2000 else (i - 2000) * 200_000 - 3600 * 10**6
-            lo, hi = bisect.bisect_left(seen, e - 6 * 3600 * 10**6), bisect.bisect_right(seen, e + 3600 * 10**6)
-            # Distances grow away from e, so the best lies in e's own unit, or first or last in reach.
-            near = [seen[k] for k in {*range(max(lo, bisect.bisect_left(seen, e // unit * unit) - 1), min(hi, bisect.bisect_right(seen, e // unit * unit + unit - 1) + 1)), *([lo, hi - 1] if lo < hi else [])} if lo <= k < hi]
-            first = min(near, key=lambda x: abs(x // unit - e // unit), default=None)
-            rivals = [] if first is None else [x for x in seen[bisect.bisect_left(seen, first // unit * unit) : bisect.bisect_left(seen, (first // unit + 1) * unit)] if e - 6 * 3600 * 10**6 <= x <= e + 3600 * 10**6]
-            assert got[str(i)] == (max(rivals) if rivals else None), (i, unit)
+            # The last one in reach of e's own unit, or else of the nearest unit before or after, which wins a tie.
+            low, high = bisect.bisect_left(seen, e - 6 * 3600 * 10**6), bisect.bisect_right(seen, e + 3600 * 10**6)
+            back, ahead = bisect.bisect_left(seen, (e // unit + 1) * unit, low, high) - 1, bisect.bisect_left(seen, (e // unit + 1) * unit, low, high)
+            best = None if back < low else seen[back]
+            if ahead < high and (best is None or seen[ahead] // unit - e // unit <= e // unit - best // unit):
+                best = seen[bisect.bisect_left(seen, (seen[ahead] // unit + 1) * unit, ahead, high) - 1]
+            assert got[str(i)] == best, (i, unit)
