@@ -114,3 +114,19 @@ def test_nothing_to_learn_from(spark, make_docs):
     assert [(r.lang_pred, r.score) for r in language_scores(docs).collect()] == [("und", 0.0)] * 2
     alone = {r.doc_id: (r.lang_pred, r.score) for r in language_scores(make_docs([(1, "some words"), (2, "12"), (3, "more")])).collect()}
     assert alone == {1: ("en", 1.0), 2: ("und", 0.0), 3: ("en", 1.0)}
+
+
+def test_long_texts_are_labelled_in_pieces_and_chains(monkeypatch):
+    rng = np.random.default_rng(2)
+    say = lambda k, n: " ".join(rng.choice(["kata", "kiru", "mano"] if k == "aa" else ["strx", "glorb", "vrent"], n))
+    pieces = [(say(k, 30), k, 2 * i + (k == "bb")) for i in range(30) for k in ("aa", "bb")]
+    m = fit([t.encode() for t, *_ in pieces], [k for _, k, _ in pieces], [i for *_, i in pieces])
+    texts = [f"{say('aa', 400)}\n{say('bb', 900)}".encode(), b"", say("bb", 7).encode(), b"x" * 3000]
+    whole = [p for _, p, _ in labelled(m, texts)]
+    monkeypatch.setattr("tidemark.llm.language_id.PIECE", 500)
+    monkeypatch.setattr("tidemark.llm.shared.PIECE", 500)
+    pieced = list(labelled(m, texts))
+    assert [i for i, *_ in pieced] == [0, 1, 2, 3] and all(np.allclose(a, b) for a, (_, b, _) in zip(whole, pieced, strict=True))
+    monkeypatch.setattr("tidemark.llm.language_id.CHAIN", 64)
+    cut = [p for _, p, _ in labelled(m, texts)]
+    assert [len(p) for p in cut] == [1300, 0, 7, 1] and (cut[0].argmax(axis=1) == whole[0].argmax(axis=1)).mean() > 0.99

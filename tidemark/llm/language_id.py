@@ -309,14 +309,16 @@ def labelled(model: Model, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray
         if len(group) == 1 and len(texts[group[0]]) > PIECE:
             parts = [words_of_bytes(p) for p in _pieces(texts[group[0]])]
             cuts = np.array([0, sum(map(len, parts))])
-            chains = np.diff(np.append(np.arange(0, cuts[1], CHAIN), cuts[1]))
+            chains = [min(CHAIN, int(cuts[1]) - a) for a in range(0, int(cuts[1]), CHAIN)]
         else:
             parts = [words_of_bytes(b" ".join(texts[i] for i in group))]
             cuts = np.concatenate(([0], np.searchsorted(parts[0].byte, np.cumsum([len(texts[i]) + 1 for i in group]))))
             chains = np.diff(cuts)
         e, letters = np.concatenate([model.emissions(w) for w in parts]), np.concatenate([w.letters for w in parts])
-        ends = np.cumsum(chains)
-        p = np.concatenate([marginals(e[a:b], model.transition, n) for a, b, n in (((0, len(e), chains),) if len(group) > 1 or len(chains) < 2 else zip(ends - chains, ends, chains[:, None], strict=True))])
+        if len(group) > 1:
+            p = marginals(e, model.transition, chains)
+        else:  # chain by chain, so that only one's messages are held
+            p = np.concatenate([np.zeros((0, e.shape[1])), *[marginals(x, model.transition, [len(x)]) for x in np.split(e, np.cumsum(chains)[:-1])]])
         for k, i in enumerate(group):
             yield i, p[cuts[k] : cuts[k + 1]], letters[cuts[k] : cuts[k + 1]]
 
