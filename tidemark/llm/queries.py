@@ -166,7 +166,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a digest of every document's format spans, and all its spans."""
     out = personal_data(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(FORMATS)]
+
+    def count(i):  # a lambda with a second argument would be given the place in the array
+        return F.size(F.filter("base", lambda x: x["k"] == i)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(FORMATS)]
     return out.select("doc_id", *counts, F.sha2(spans_string(F.col("base")), 256).alias("base_sha256"), spans_string(F.concat("base", "added")).alias("spans"))
 
 
