@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import frames
-from tidemark.operators.asof import candidate_pairs, nearest_weather, nearest_weather_by_minute
+from tidemark import catalogue
+from tidemark.operators.asof import candidate_counts, candidate_pairs, nearest_weather, nearest_weather_by_minute
 from tidemark.operators.ranges import TimeRanges
 
 EPOCH = frames.time("1970-01-01")
@@ -55,6 +56,30 @@ def test_nearest_equals_brute_force(spark, seed, kind, n, m):
     assert pairs == sum(bool(near(a[2], b[2])) for a in e for b in w)
 
 
+@pytest.mark.parametrize("seed,kind,n,m", [(1, "spread", 300, 60), (2, "clusters", 300, 80), (3, "clusters", 200, 200), (4, "spread", 50, 0)])
+def test_candidate_counts_equal_brute_force(spark, seed, kind, n, m):
+    rng = random.Random(seed)
+    e = [("r", i, at, 1.0) for at, i in as_rows(rng, n, kind)] + [("r", "none", None, 1.0)]
+    w = [("A", i, at, 1.0) for at, i in as_rows(rng, m, kind)] + [("A", "null", None, 1.0)]
+    energy, weather, hour = frames.energy(spark, e), frames.weather(spark, w), 3600 * 10**6
+    times = [[micros(frames.time(r[2])) if r[2] else None for r in rows] for rows in (e, w)]
+    want = sorted((r[1], sum(x is not None and y is not None and x - 6 * hour <= y <= x + hour for y in times[1])) for r, x in zip(e, times[0], strict=True))
+    for ranges in (None, TimeRanges(), TimeRanges.of(energy, weather, ranges=300)):
+        assert sorted((r.source_record_id, r.candidates) for r in candidate_counts(energy, weather, ranges).collect()) == want
+
+
+def test_candidates_of_a_dense_hour_are_counted_without_pairs(spark, tmp_path):
+    events = spark.range(40_000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 12:00:00' + make_dt_interval(0, 0, 0, id % 1000) AS ts", "id AS user_id", "IF(id % 2 = 0, 'view', 'error') AS event_type", "1D AS value", "'{}' AS props"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'n' AS n_name", "0 AS n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(0, "r")], "r_regionkey int, r_name string").write.parquet(str(tmp_path / "region.parquet"))
+    out = catalogue.queries()["range_join_candidates"](spark, str(tmp_path))
+    assert [tuple(r) for r in out.groupBy("candidates").count().collect()] == [(20_000, 20_000)]
+    assert "LeftOuter" not in out._jdf.queryExecution().toString()  # the join that gives 400,000,000 pairs
+
+
 @pytest.mark.parametrize(
     "event,observed,expected",
     [

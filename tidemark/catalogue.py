@@ -219,7 +219,7 @@ SELECT resource_id, event_date_utc, CASE WHEN len(ms) > 0 THEN 'payload breaks e
     "captures_scanned_energy": (lambda s, d: silver.typed_energy(_scanned(s, d)[0]),
         f"WITH {WITH}\nSELECT * REPLACE ({_FILE} AS source_file, date_trunc('second', event_timestamp_utc) AS event_timestamp_utc, CAST(event_date_utc AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 SECOND * CAST(right(resource_id, 1) AS INTEGER) AS ingestion_timestamp_utc) FROM se WHERE CAST(source_record_id AS BIGINT) % 101 <> 0 AND {_BROKEN} IS NULL"),
     "captures_quarantined": (lambda s, d: _scanned(s, d)[1].select("source_file", "error"), f"WITH {WITH}\nSELECT DISTINCT {_FILE} AS source_file, {_BROKEN} AS error FROM se WHERE {_BROKEN} IS NOT NULL"),
-    "range_join_candidates": (lambda s, d: asof.candidate_pairs(energy_events(s, d), weather_events(s, d)).groupBy(*ENERGY_KEY).agg(F.count("weather_event_timestamp_utc").alias("candidates")),
+    "range_join_candidates": (lambda s, d: asof.candidate_counts(energy_events(s, d), weather_events(s, d)).groupBy(*ENERGY_KEY).agg(F.sum("candidates").alias("candidates")),
         f"WITH {WITH}\nSELECT e.resource_id, e.source_record_id, e.event_timestamp_utc, count(w.event_timestamp_utc) AS candidates FROM se e LEFT JOIN sw w ON w.event_timestamp_utc BETWEEN e.event_timestamp_utc - INTERVAL 6 HOUR AND e.event_timestamp_utc + INTERVAL 1 HOUR GROUP BY 1, 2, 3"),
     "nearest_weather_join": (_joined, f"WITH {WITH},{JOIN}\nSELECT * FROM wj"),
     "nearest_weather_join_minute_rank": (lambda s, d: serving.serving_join(energy_events(s, d), weather_events(s, d), TimeRanges.of(event_times(s, d))), f"WITH {WITH},{MINUTE_JOIN}\nSELECT * FROM wm"),

@@ -116,3 +116,28 @@ def candidate_pairs(energy: DataFrame, weather: DataFrame) -> DataFrame:
     w = weather.select(F.col("event_timestamp_utc").alias("weather_event_timestamp_utc"), "city", us.alias("w_us")).withColumn("w_hour", F.explode(F.sequence(hour(F.col("w_us") - AFTER_US), hour(F.col("w_us") + BEFORE_US))))
     reach = F.col("w_us").between(F.col("e_us") - BEFORE_US, F.col("e_us") + AFTER_US)
     return e.join(w, (F.col("hour") == F.col("w_hour")) & reach, "left").select(*ENERGY_KEY, "weather_event_timestamp_utc", "city")
+
+
+def candidate_counts(energy: DataFrame, weather: DataFrame, ranges: TimeRanges | None = None) -> DataFrame:
+    """The key of every energy row with `candidates`: how many weather rows are in reach, none where its time is null.
+
+    They are the pairs of candidate_pairs, whose number grows with the square of what an hour holds, counted without making
+    them. A weather row comes into reach AFTER_US before its time and is out of it once BEFORE_US after it have passed, so the
+    count is the sum of such steps up to the energy row's time: a running sum in each range of time, begun with the sum of
+    the ranges before it. Steps come as two rows an instant, and energy rows of one instant go to all the ranges that begin with it.
+    """
+    time = "event_timestamp_utc"
+    if ranges is None:
+        ranges = TimeRanges.of(energy, *[weather.select((F.col(time) + F.expr(f"INTERVAL {us} MICROSECONDS")).alias(time)) for us in (-AFTER_US, BEFORE_US)])
+    us = micros(F.col(time))
+    instants = weather.where(f"{time} IS NOT NULL").groupBy(us.alias("us")).agg(F.count("*").alias("n"))
+    steps = instants.selectExpr(f"inline(array(struct(us - {AFTER_US}L AS place, n AS step), struct(us + {BEFORE_US + 1}L AS place, -n AS step)))")
+    steps = steps.select(ranges.of_time("place").alias("range"), "place", F.lit(_UNIT).alias("side"), "step")
+    every = weather.sparkSession.range(ranges.count).selectExpr("CAST(id AS INT) AS range", "0L AS step")
+    totals = steps.select("range", "step").unionByName(every).groupBy("range").agg(F.sum("step").alias("step"))
+    # A row a range: as many as the session's tasks call for, whatever the data.
+    before = totals.selectExpr("range", f"{_FIRST}L AS place", f"{_IN} AS side", "sum(step) OVER (ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS step")
+    e = energy.select(*ENERGY_KEY, us.alias("place")).select(ranges.dealt("place", ENERGY_KEY).alias("range"), "place", F.lit(_ENERGY).alias("side"), *ENERGY_KEY)
+    seen = Window.partitionBy("range").orderBy("place", "side").rowsBetween(Window.unboundedPreceding, 0)
+    both = e.unionByName(steps.unionByName(before), allowMissingColumns=True).withColumn("sum", F.sum("step").over(seen)).where(F.col("side") == _ENERGY)
+    return both.select(*ENERGY_KEY, F.when(F.col("place").isNotNull(), F.coalesce("sum", F.lit(0))).otherwise(0).alias("candidates"))
