@@ -1,8 +1,10 @@
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
+from tidemark.llm import tokens
 from tidemark.llm.token_store import build_index, find, lookup, mix, read_store, write_store
 from tests.llm.test_packing import plain
 
@@ -52,3 +54,31 @@ def test_a_key_whose_rows_fill_several_parts(spark, make_docs, tmp_path):
     assert spark.read.parquet(f"{path}/manifest").where("low <= 5 AND high >= 5").count() > 1
     got = lookup(spark, path, spark.createDataFrame([(5,), (9,)], "doc_id long")).toPandas()
     assert sorted(got.doc_id) == [5] * 400 + [9] and got.start.nunique() == 401
+
+
+class Counted:
+    """A tokenizer whose calls are counted."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, 0
+
+    def __getattr__(self, name):
+        self.calls += name.startswith("encode")
+        return getattr(self.tokenizer, name)
+
+
+def test_new_pieces_of_a_batch_are_encoded_together(monkeypatch, words):
+    whole, load = plain(), tokens.Tokenizer.from_file
+    monkeypatch.setattr(tokens, "Tokenizer", SimpleNamespace(from_file=lambda path: Counted(load(path))))
+    enc = tokens.Encoder(tokens.default_vocabulary())
+    enc.tokenizer.calls = 0
+    texts = ["\n".join(words), " ".join(f"{w}{i}," for i, w in enumerate(words)), "\n".join(f"{w.title()}!" for w in words), " ".join(words) + " " + "x" * 100]
+    for _ in range(2):
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in enc.encode_many(texts)] == [whole(t) for t in texts]
+    assert enc.tokenizer.calls < 10  # not one a piece; the long piece again each time
+    # What isn't remembered leaves nothing behind.
+    monkeypatch.setattr(tokens, "REMEMBERED", 0)
+    size = enc.pool.entries, enc.pool.used, len(enc.known)
+    more = [" ".join(w[::-1] + "q" for w in words), "y" * 70]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in enc.encode_many(more)] == [whole(t) for t in more]
+    assert (enc.pool.entries, enc.pool.used, len(enc.known)) == size

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import as_batch, bounded_batches, slices, stored
+from tidemark.llm.shared import as_batch, bounded_batches, slices, slices_of_bytes, stored
 from tidemark.llm.tokens import default_vocabulary, encoder
 
 ENCODED = "part int, place long, doc_id long, n long, ids binary"
@@ -32,7 +32,7 @@ def encoded_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFram
         enc, part, place, end = encoder(vocabulary), TaskContext.get().partitionId(), 0, np.array([end_id], dtype="<u4").tobytes()
         kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for whole in batches:
-            for batch in slices(whole, ROWS):
+            for batch in slices_of_bytes(whole):
                 rows = []
                 doc_ids, texts = (c.to_pylist() for c in batch.columns)
                 for doc_id, data in zip(doc_ids, enc.encode_many(texts), strict=True):

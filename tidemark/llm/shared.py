@@ -225,3 +225,8 @@ def as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def slices_of_bytes(batch: pa.RecordBatch, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about size bytes where its rows are alike."""
+    yield from slices(batch, max(16, size * batch.num_rows // max(1, batch.nbytes)))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch, as_batch, bounded_batches, mix, parallelism, slices
+from tidemark.llm.shared import Scratch, as_batch, bounded_batches, mix, parallelism, slices, slices_of_bytes
 from tidemark.llm.tokens import default_vocabulary, encoder
 
 NULL_KEY = -(1 << 63)
@@ -118,7 +118,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
         enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for whole in batches:
-            for batch in slices(whole, 128):
+            for batch in slices_of_bytes(whole):
                 rows = []
                 doc_ids, ties, texts = (c.to_pylist() for c in batch.columns)
                 for doc_id, tie, data in zip(doc_ids, ties, enc.encode_many(texts), strict=True):
